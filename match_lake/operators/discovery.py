@@ -12,7 +12,7 @@ from match_lake import schemas
 from match_lake.functions.identity import split_identity, trimmed
 from match_lake.functions.moments import instant
 from match_lake.operators.cohort import on_platform
-from match_lake.operators.ordering import SLICES, number_rows, running_total, spread_join, top_per_key
+from match_lake.operators.ordering import number_rows, running_total, spread_join, top_per_key
 from match_lake.session import cut_lineage
 
 
@@ -62,19 +62,19 @@ def list_ids(
     return top_per_key(rows, ["account"], [F.col("played_at").desc(), F.col("match_id").desc()], max_games)
 
 
-def known_ids(candidates: DataFrame, stored: DataFrame, platform: str | None = None) -> DataFrame:
-    """Distinct candidate ids already stored.
+def stored_ids(stored: DataFrame, platform: str | None = None) -> DataFrame:
+    """Distinct stored ids. Copies of one match are dropped before they are shuffled."""
+    return on_platform(stored, platform).select("match_id").distinct()
 
-    Both sides are reduced to distinct ids before they meet, so copies of one
-    match cost nothing past the map side.
-    """
-    have = on_platform(stored, platform).select("match_id").distinct()
-    return candidates.select("match_id").distinct().join(have, "match_id", "left_semi")
+
+def known_ids(candidates: DataFrame, stored: DataFrame, platform: str | None = None) -> DataFrame:
+    """Distinct candidate ids already stored."""
+    return candidates.select("match_id").distinct().join(stored_ids(stored, platform), "match_id", "left_semi")
 
 
 def unseen_ids(candidates: DataFrame, stored: DataFrame, platform: str | None = None) -> DataFrame:
     """Candidate rows whose id is not stored; duplicates and other columns are kept."""
-    return candidates.join(known_ids(candidates, stored, platform), "match_id", "left_anti")
+    return candidates.join(stored_ids(stored, platform), "match_id", "left_anti")
 
 
 def complete_ids(matches: DataFrame, timelines: DataFrame) -> DataFrame:
@@ -89,12 +89,11 @@ def missing_timelines(matches: DataFrame, timelines: DataFrame) -> DataFrame:
 
 
 def account_batches(
-    accounts: DataFrame, key: str = "puuid", batch: int = schemas.ACCOUNTS_PER_BATCH, at_most: int | None = None,
-    slices: int = SLICES,
+    accounts: DataFrame, key: str = "puuid", batch: int = schemas.ACCOUNTS_PER_BATCH, at_most: int | None = None
 ) -> DataFrame:
     """(account, pos, batch_no): accounts in order, `batch` to a batch."""
-    unique = accounts.select(F.col(key).alias("account")).distinct()
-    numbered = number_rows(unique, ["account"], "pos", at_most, slices)
+    unique = cut_lineage(accounts.select(F.col(key).alias("account")).distinct())
+    numbered = number_rows(unique, ["account"], "pos", at_most)
     return numbered.withColumn("batch_no", F.expr(f"pos div {batch}"))
 
 
@@ -139,7 +138,6 @@ def crawl_plan(
     fetch_batch: int = schemas.MATCHES_PER_FETCH,
     max_accounts: int | None = None,
     salts: int = 8,
-    slices: int = SLICES,
 ) -> CrawlPlan:
     """Which matches to fetch, in which order, by which worker.
 
@@ -149,19 +147,20 @@ def crawl_plan(
     match overall (from 0), in a batch that ends the first k accounts, is affordable
     exactly when 2 * (g + 1) + k <= budget. No loop and no state are needed.
     """
-    numbered = cut_lineage(account_batches(accounts, key, batch, max_accounts, slices))
-    reach = numbered
+    numbered = account_batches(accounts, key, batch, max_accounts)
+    reach, batches_at_most = numbered, None
     if budget is not None:
         # Every full batch costs `batch` calls before it fetches anything, so
         # later batches than this one cannot be reached.
-        reach = numbered.filter(F.col("batch_no") <= budget // batch + 1)
+        last = budget // batch + 1
+        reach, batches_at_most = numbered.filter(F.col("batch_no") <= last), last + 1
     found = cut_lineage(batch_matches(reach, listing, salts))
     unseen = cut_lineage(unseen_ids(_first_batch(found), stored, platform))
-    batches = cut_lineage(_batch_costs(numbered, found, unseen, budget))
+    batches = cut_lineage(_batch_costs(reach, found, unseen, budget, batch, batches_at_most))
 
     cost = schemas.CALLS_PER_MATCH
     at_most = None if budget is None else max(0, budget) // cost
-    ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", at_most, slices)
+    ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", at_most)
     starts = batches.select("batch_no", "unseen_before", (F.col("accounts_before") + F.col("accounts")).alias("_through"))
     chosen = ordered.join(starts, "batch_no")
     if budget is not None:
@@ -176,8 +175,10 @@ def crawl_plan(
     return CrawlPlan(fetch, deferred.select("batch_no", "match_id"), batches, numbered)
 
 
-def _batch_costs(numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None) -> DataFrame:
-    """One row per account batch: sizes, calls used before it, whether it is listed.
+def _batch_costs(
+    numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None, batch: int, at_most: int | None
+) -> DataFrame:
+    """One row per account batch: sizes, what came before it, whether it is listed.
 
     The first batch is always listed and a later one while calls are left. Since a
     match costs two calls, an odd remainder leaves one call over when a batch is
@@ -185,25 +186,28 @@ def _batch_costs(numbered: DataFrame, found: DataFrame, unseen: DataFrame, budge
     """
     cost = schemas.CALLS_PER_MATCH
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("batch_no").agg(F.count(F.lit(1)).alias(name))
+    def ones(df: DataFrame, name: str, shift: int = 0) -> DataFrame:
+        return df.select((F.col("batch_no") + shift).alias("batch_no"), F.lit(name).alias("_of"))
 
-    sizes = count(numbered, "accounts").join(count(found, "found"), "batch_no", "left").join(
-        count(unseen, "unseen"), "batch_no", "left"
-    )
-    sizes = sizes.na.fill(0, ["found", "unseen"])
-    totals = running_total(sizes, "batch_no", {"accounts": "accounts_before", "unseen": "unseen_before"})
+    names = ["accounts", "found", "unseen", "unseen_in_previous"]
+    members = ones(numbered, "accounts").union(ones(found, "found")).union(ones(unseen, "unseen"))
+    members = members.union(ones(unseen, "unseen_in_previous", 1))
+    sizes = members.groupBy("batch_no").agg(*[F.count(F.when(F.col("_of") == n, 1)).alias(n) for n in names])
+    sizes = sizes.filter(F.col("accounts") > 0)
+    totals = running_total(sizes, "batch_no", {"accounts": "accounts_before", "unseen": "unseen_before"}, at_most)
     if budget is None:
-        return totals.withColumn("listed", F.lit(True)).withColumn("fetched", F.col("unseen"))
-    used = F.col("accounts_before") + cost * F.col("unseen_before")
-    left = F.lit(budget) - used - F.col("accounts")
-    odd_call_left = (left > 0) & (F.pmod(left, F.lit(cost)) == 1) & (cost * F.col("unseen") > left)
-    reached = F.when(odd_call_left, F.col("batch_no") + 1).when((used < budget) | (F.col("batch_no") == 0), F.col("batch_no"))
-    last = totals.agg(F.max(reached).alias("_last"))
-    affordable = F.greatest(F.lit(0), F.floor(left / cost))
-    return totals.withColumn("listed", F.col("batch_no") <= last.scalar()).withColumn(
-        "fetched", F.when(F.col("listed"), F.least("unseen", affordable)).otherwise(F.lit(0)).cast("bigint")
-    )
+        listed, fetched = F.lit(True), F.col("unseen")
+    else:
+        used = F.col("accounts_before") + cost * F.col("unseen_before")
+        left_in_previous = budget - used + cost * F.col("unseen_in_previous")
+        odd_call_left = (F.col("batch_no") > 0) & (
+            (left_in_previous > 0) & (F.pmod(left_in_previous, F.lit(cost)) == 1)
+            & (cost * F.col("unseen_in_previous") > left_in_previous)
+        )
+        listed = (F.col("batch_no") == 0) | (used < budget) | odd_call_left
+        affordable = F.greatest(F.lit(0), F.floor((budget - used - F.col("accounts")) / cost))
+        fetched = F.when(F.col("listed"), F.least("unseen", affordable)).otherwise(F.lit(0)).cast("bigint")
+    return totals.withColumn("listed", listed).withColumn("fetched", fetched).drop("unseen_in_previous")
 
 
 def landed_checkpoint(

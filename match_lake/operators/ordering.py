@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICES = 256
-SAMPLE_PER_SLICE = 4
 # Up to this many narrow rows are ordered by one task.
 SINGLE_TASK_ROWS = 100_000
+SAMPLE_KEYS = 4_096
+MAX_SLICES = 1_024
 # Largest k for which Spark prunes each group before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1_000
@@ -40,54 +40,68 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
-def slice_of(df: DataFrame, order_by: Sequence[str], name: str = "_slice", slices: int = SLICES) -> DataFrame:
-    """Add a slice number that never decreases along `order_by`.
+def sample_keys(df: DataFrame, order_by: Sequence[str]) -> tuple[int, list[Row]]:
+    """Number of rows, and at most SAMPLE_KEYS keys spread evenly over them, in order.
 
-    The cut points come from a sample chosen by the hash of the key, so every
-    evaluation of the plan, retried tasks included, gets the same ones. The
-    sample has at most slices * SAMPLE_PER_SLICE keys. `order_by` should
-    be unique or nearly so: equal keys always share a slice.
+    One pass. A key is taken for its hash, not for where it lies, so every run over
+    the same rows gives the same sample.
     """
-    keyed = df.withColumn("_key", F.struct(*order_by))
-    hashed = keyed.select("_key", F.xxhash64(*order_by).alias("_hash"))
-    sample = hashed.groupBy(F.pmod("_hash", F.lit(slices * SAMPLE_PER_SLICE))).agg(
-        F.min_by("_key", "_hash").alias("_key")
+    hashed = df.select(F.struct(*order_by).alias("_key"), F.xxhash64(*order_by).alias("_hash"))
+    picked = hashed.groupBy(F.pmod("_hash", F.lit(SAMPLE_KEYS))).agg(
+        F.min_by("_key", "_hash").alias("_key"), F.count(F.lit(1)).alias("_rows")
     )
-    cuts = sample.agg(F.sort_array(F.collect_list("_key")).alias("_cuts")).select(
-        F.filter("_cuts", lambda _, i: i % SAMPLE_PER_SLICE == SAMPLE_PER_SLICE - 1).alias("_cuts")
-    )
-    # Binary search: the slice is the number of cut points at or below the key.
-    found = keyed.withColumn(name, F.lit(0))
-    step = 1 << (slices.bit_length() - 1)
+    found = picked.agg(F.sort_array(F.collect_list("_key")).alias("_keys"), F.sum("_rows").alias("_rows")).first()
+    return found["_rows"] or 0, found["_keys"]
+
+
+def slice_of(df: DataFrame, order_by: Sequence[str], cuts: Sequence[Row], name: str = "_slice") -> DataFrame:
+    """Add the number of cut points at or below the key: a slice that never decreases along it."""
+    points = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(order_by, cut)]) for cut in cuts])
+    out = df.withColumn("_key", F.struct(*order_by)).withColumn(name, F.lit(0))
+    step = 1 << (len(cuts).bit_length() - 1) if cuts else 0
     while step:
-        at = F.col(name) + F.lit(step)
-        hit = F.try_element_at(cuts.scalar(), at) <= F.col("_key")
-        found = found.withColumn(name, F.col(name) + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
+        hit = F.try_element_at(points, F.col(name) + F.lit(step)) <= F.col("_key")
+        out = out.withColumn(name, F.col(name) + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
         step //= 2
-    return found.drop("_key")
+    return out.drop("_key")
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], name: str = "pos", at_most: int | None = None, slices: int = SLICES
+    df: DataFrame, order_by: Sequence[str], name: str = "pos", at_most: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Add the 0-based position of each row along `order_by` (which must be unique).
+    """Add the 0-based position of each row along `order_by`, which must be unique and not NULL.
 
-    With `at_most`, only the first that many rows are kept; a small bound is met by
-    a top-k and one task, anything else by numbering each slice and adding the
-    count of rows in the slices before it.
+    With `at_most`, only the first that many rows are kept. A small bound is met by
+    a top-k and one task. Otherwise one pass counts the rows and samples their keys;
+    more rows than one task should order are numbered slice by slice, each slice
+    starting at the count of rows before it. As long as `df` gives the same rows
+    the numbers are the same, whatever tasks are lost or run twice.
     """
-    if at_most is not None and at_most <= SINGLE_TASK_ROWS:
-        first = df.orderBy(*order_by).limit(at_most)
-        return first.withColumn(name, (F.row_number().over(W.orderBy(*order_by)) - 1).cast("bigint"))
-    sliced = slice_of(df, order_by, "_slice", slices)
+    if at_most is not None and at_most <= single_task_rows:
+        return _number_in_one_task(df.orderBy(*order_by).limit(at_most), order_by, name)
+    rows, keys = sample_keys(df, order_by)
+    if rows <= single_task_rows:
+        numbered = _number_in_one_task(df, order_by, name)
+    else:
+        slices = min(MAX_SLICES, len(keys), 2 * rows // single_task_rows + 1)
+        cuts = [keys[i * len(keys) // slices] for i in range(1, slices)]
+        numbered = _number_by_slice(slice_of(df, order_by, cuts), df.columns, order_by, name)
+    return numbered if at_most is None else numbered.filter(F.col(name) < at_most)
+
+
+def _number_in_one_task(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    return df.withColumn(name, (F.row_number().over(W.orderBy(*order_by)) - 1).cast("bigint"))
+
+
+def _number_by_slice(sliced: DataFrame, columns: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     within = F.row_number().over(W.partitionBy("_slice").orderBy(*order_by)) - 1
-    # offsets has at most slices + 1 rows
+    # offsets has a row per slice, MAX_SLICES at most
     numbered = sliced.withColumn("_within", within).join(F.broadcast(offsets), "_slice")
-    out = numbered.select(*df.columns, (F.col("_offset") + F.col("_within")).alias(name))
-    return out if at_most is None else out.filter(F.col(name) < at_most)
+    return numbered.select(*columns, (F.col("_offset") + F.col("_within")).alias(name))
 
 
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
@@ -97,13 +111,17 @@ def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     return number_rows(df, order_by, "_pos", n).drop("_pos")
 
 
-def running_total(df: DataFrame, index: str, values: dict[str, str]) -> DataFrame:
+def running_total(df: DataFrame, index: str, values: dict[str, str], at_most: int | None = None) -> DataFrame:
     """Add, per row, the sum of each value over all rows with a smaller index.
 
-    `index` is a dense 0-based integer. Totals are taken per block of indexes
-    first, so the one ordered pass over everything sees a row per block.
-    `values` maps a column to the name of its running total.
+    `index` is a dense 0-based integer and `values` maps a column to the name of its
+    running total. Unless a bound on the rows says that one task can do it, totals
+    are taken per block of indexes first, so the one ordered pass over everything
+    sees a row per block.
     """
+    if at_most is not None and at_most <= SINGLE_TASK_ROWS:
+        earlier = W.orderBy(index).rowsBetween(W.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for c, name in values.items()])
     blocked = df.withColumn("_block", F.expr(f"`{index}` div {BLOCK}"))
     blocks = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_sum_{c}") for c in values])
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

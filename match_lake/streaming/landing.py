@@ -83,7 +83,9 @@ def stream_land(
         out = picked.select(
             "match_id", stamp.alias("fetched_at"), "payload", F.lit(platform).alias("platform"), F.lit(own).alias(INGEST)
         )
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        # only the folders written to are replaced; this session is the stream's own
+        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        out.write.mode("overwrite").insertInto(table)
 
     return (
         documents.writeStream.queryName(stream)

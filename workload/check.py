@@ -29,7 +29,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def normal(df: pd.DataFrame) -> list[tuple]:
     """Rows as sorted tuples of plain values, columns by name."""
     def plain(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if pd.isna(value):
             return "~null"
         if isinstance(value, pd.Timestamp):
             return value.isoformat()

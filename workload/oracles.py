@@ -129,10 +129,6 @@ PLAYERS = """
       CAST((o_orderkey * 11 + s) % 97 AS INTEGER) AS vision_score, (s <= 5) = (o_orderstatus = 'F') AS win
     FROM orders, range(1, 11) r(s)"""
 
-WORDS = """
-    SELECT 'M_' || (conv_id * 10 + turn) AS match_id, 'br1' AS platform,
-           CAST(i - 1 AS INTEGER) AS minute, CAST(length(words[i]) AS INTEGER) AS size
-    FROM (SELECT *, string_split(text, ' ') AS words FROM conversations), range(1, 100000) r(i) WHERE i <= len(words)"""
 WORDS = """
     SELECT match_id, 'br1' AS platform, CAST(i - 1 AS INTEGER) AS minute, CAST(length(word) AS INTEGER) AS size
     FROM (SELECT 'M_' || (conv_id * 10 + turn) AS match_id, unnest(string_split(text, ' ')) AS word,
@@ -143,7 +139,7 @@ SEATS = f"""
            CAST((size + p) % 7 AS INTEGER) AS cs
     FROM ({WORDS}), range(1, 11) r(p) WHERE p <= CASE WHEN size = 1 THEN 9 ELSE 10 END"""
 PIVOT = "SELECT match_id, platform, minute, " + ", ".join(
-    f"max(gold) FILTER (participant = {p}) AS p{p}" for p in range(1, 11)
+    f"coalesce(max(gold) FILTER (participant = {p}), -1) AS p{p}" for p in range(1, 11)
 ) + f" FROM ({SEATS}) GROUP BY ALL"
 HAPPENED = f"""
     SELECT match_id, platform, minute, size, 0 AS pos,
@@ -152,10 +148,10 @@ HAPPENED = f"""
     SELECT match_id, platform, minute, size, 1, 'CHAMPION_KILL' FROM ({WORDS}) WHERE size > 6"""
 FEED = f"""
     SELECT match_id, minute, pos, type, CAST(minute AS BIGINT) * 60000 + pos AS timestamp,
-      CASE WHEN kill THEN minute % 10 + 1 END AS killer_id,
-      CASE WHEN kill THEN (minute + 5) % 10 + 1 END AS victim_id,
+      CASE WHEN kill THEN minute % 10 + 1 ELSE -1 END AS killer_id,
+      CASE WHEN kill THEN (minute + 5) % 10 + 1 ELSE -1 END AS victim_id,
       CASE WHEN kill THEN ((minute + 1) % 10 + 1) || ',' || ((minute + 2) % 10 + 1) END AS assists,
-      CASE WHEN kill THEN minute * 10 END AS x, CASE WHEN kill THEN size * 10 END AS y
+      CASE WHEN kill THEN minute * 10 ELSE -1 END AS x, CASE WHEN kill THEN size * 10 ELSE -1 END AS y
     FROM (SELECT *, type = 'CHAMPION_KILL' AS kill FROM ({HAPPENED}))"""
 
 DOUBTFUL = """
@@ -179,15 +175,14 @@ BUCKETS = f"""
       FROM range(0, 10) r(i))"""
 
 
-def pages(tail: str) -> str:
-    return f"""
+PAGES = f"""
     SELECT puuid, 'br1' AS platform, queue_type, tier, division, league_points, wins, losses, inactive,
            TIMESTAMP '2024-02-01 06:00:00' AS fetched_at FROM (
       SELECT 'acct-' || event_id AS puuid, 'RANKED_SOLO_5x5' AS queue_type, {TIER} AS tier, 'I' AS division,
              CAST(floor(value) AS INTEGER) AS league_points, {K} AS wins, CAST(user_id AS INTEGER) AS losses,
              event_type = 'error' AS inactive FROM events
       UNION ALL
-      SELECT 'bare-' || event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events) {tail}"""
+      SELECT 'bare-' || event_id, NULL, NULL, NULL, -1, -1, -1, false FROM events)"""
 
 
 def shares(sizes: str) -> str:
@@ -309,7 +304,7 @@ ORACLES: dict[str, str] = {
             || ',"gameVersion":"14.' || month(o_orderdate) || '"}}') AS chars FROM orders
           UNION ALL SELECT 'page-' || page_id, length(html) FROM pages)""",
     "landing_rejects": "SELECT page_id FROM pages",
-    "parse_ladder_page": pages(""),
+    "parse_ladder_page": PAGES,
     "append_bronze": """
         SELECT 'matches' AS table_name, count(*) AS written, count(*) AS stored, count(DISTINCT o_orderkey) AS ids FROM orders
         UNION ALL SELECT 'timelines', count(*), count(*), count(DISTINCT conv_id * 10 + turn) FROM conversations""",
@@ -323,7 +318,7 @@ ORACLES: dict[str, str] = {
         SELECT account, match_id, max(played_at) AS played_at, CAST(arg_max(queue_id, played_at) AS INTEGER) AS queue_id
         FROM ({LISTING}) WHERE match_id NOT IN ({STORED})
           AND account IN (SELECT 'acct-' || c_custkey FROM customer) GROUP BY account, match_id""",
-    "ladder_snapshot": totals(pages("")),
+    "ladder_snapshot": totals(PAGES),
     "lookback_cutoff": f"""
         SELECT event_id, strftime(ts - INTERVAL 24 HOUR, '%Y-%m-%dT%H:%M:%S+00:00') AS since,
                ts > {AS_OF} - INTERVAL 24 HOUR AS recent FROM events""",

@@ -40,6 +40,11 @@ def plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def no_gaps(df: DataFrame) -> DataFrame:
+    """Missing numbers as -1 and missing flags as false, which every tool prints alike."""
+    return df.na.fill(-1).na.fill(False)
+
+
 def new_database(spark: SparkSession) -> str:
     """A database of its own for a query that writes, kept in the shared scratch folder."""
     name = f"lake_{uuid.uuid4().hex[:12]}"
@@ -297,13 +302,13 @@ def timeline_frames(spark, sf):
 
 @query
 def pivot_gold(spark, sf):
-    return timeline.pivot_metric(timeline.participant_frames(given.timeline_docs(spark, sf), ["totalGold"]))
+    return no_gaps(timeline.pivot_metric(timeline.participant_frames(given.timeline_docs(spark, sf), ["totalGold"])))
 
 
 @query
 def last_minutes(spark, sf):
     pivoted = timeline.pivot_metric(timeline.participant_frames(given.timeline_docs(spark, sf), ["totalGold"]))
-    return timeline.last_minutes(pivoted, 5)
+    return no_gaps(timeline.last_minutes(pivoted, 5))
 
 
 @query
@@ -315,14 +320,17 @@ def pivot_embeddings(spark, sf):
     return timeline.pivot_metric(cells, "value", ["vec_id"], "component", range(64), "c")
 
 
+def _plain_events(events: DataFrame, *more: str) -> DataFrame:
+    assists = F.array_join(F.transform("assisting_participant_ids", lambda i: i.cast("string")), ",")
+    return no_gaps(events.select(
+        "match_id", "minute", "pos", *more, "timestamp", "killer_id", "victim_id", assists.alias("assists"),
+        F.col("position.x").alias("x"), F.col("position.y").alias("y"),
+    ))
+
+
 @query
 def timeline_events(spark, sf):
-    rows = timeline.events(given.timeline_docs(spark, sf))
-    return rows.select(
-        "match_id", "minute", "pos", "type", "timestamp", "killer_id", "victim_id",
-        F.array_join(F.transform("assisting_participant_ids", lambda i: i.cast("string")), ",").alias("assists"),
-        F.col("position.x").alias("x"), F.col("position.y").alias("y"),
-    )
+    return _plain_events(timeline.events(given.timeline_docs(spark, sf)), "type")
 
 
 @query
@@ -340,22 +348,14 @@ def event_counts_relational(spark, sf):
     return timeline.event_counts(given.table(spark, sf, "events"), (), "event_type")
 
 
-def _flat_kills(kills: DataFrame) -> DataFrame:
-    return kills.select(
-        "match_id", "minute", "pos", "timestamp", "killer_id", "victim_id",
-        F.array_join(F.transform("assisting_participant_ids", lambda i: i.cast("string")), ",").alias("assists"),
-        F.col("position.x").alias("x"), F.col("position.y").alias("y"),
-    )
-
-
 @query
 def kill_feed(spark, sf):
-    return _flat_kills(timeline.kill_feed(timeline.events(given.timeline_docs(spark, sf))))
+    return _plain_events(timeline.kill_feed(timeline.events(given.timeline_docs(spark, sf))))
 
 
 @query
 def kill_feed_head(spark, sf):
-    return _flat_kills(timeline.kill_feed(timeline.events(given.timeline_docs(spark, sf)), 20))
+    return _plain_events(timeline.kill_feed(timeline.events(given.timeline_docs(spark, sf)), 20))
 
 
 # --- quality -----------------------------------------------------------------
@@ -442,7 +442,7 @@ def landing_rejects(spark, sf):
 @query
 def parse_ladder_page(spark, sf):
     rows = landing.parse_ladder_page(given.ladder_pages(spark, sf), given.PLATFORM, given.FETCHED_AT)
-    return plain_time(rows, "fetched_at")
+    return no_gaps(plain_time(rows, "fetched_at"))
 
 
 @query

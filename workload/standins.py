@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that are about to grow into documents, over all cores if their file gave fewer parts."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def lookup(mapping: dict, key: Column) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])[key]
 
@@ -134,7 +140,7 @@ def match_info(participants: Column | None = None) -> Column:
 
 
 def _bronze(df: DataFrame, match_id: Column, payload: Column) -> DataFrame:
-    return df.select(
+    return spread(df).select(
         match_id.alias("match_id"), F.lit(PLATFORM).alias("platform"), instant(FETCHED_AT).alias("fetched_at"),
         payload.alias("payload"),
     )
