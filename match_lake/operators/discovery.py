@@ -92,14 +92,15 @@ def account_batches(
     accounts: DataFrame, key: str = "puuid", batch: int = schemas.ACCOUNTS_PER_BATCH, at_most: int | None = None
 ) -> DataFrame:
     """(account, pos, batch_no): accounts in order, `batch` to a batch."""
-    unique = cut_lineage(accounts.select(F.col(key).alias("account")).distinct())
+    named = accounts.select(F.col(key).alias("account")).filter(F.col("account").isNotNull())
+    unique = cut_lineage(named.distinct())
     numbered = number_rows(unique, ["account"], "pos", at_most)
     return numbered.withColumn("batch_no", F.expr(f"pos div {batch}"))
 
 
 def batch_matches(batches: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame:
     """Distinct (batch_no, match_id): every match found while listing each batch."""
-    pairs = listing.select("account", "match_id").distinct()
+    pairs = listing.select("account", "match_id").filter(F.col("match_id").isNotNull()).distinct()
     keyed = batches.select("account", "batch_no")
     return spread_join(pairs, keyed, "account", "match_id", "inner", salts).select("batch_no", "match_id").distinct()
 
