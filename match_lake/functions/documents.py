@@ -25,6 +25,10 @@ def text_schema(paths: Iterable[str]) -> T.StructType:
         *parents, leaf = path.split(".")
         for name in parents:
             node = node.setdefault(name, {})
+            if node is None:
+                raise ValueError(f"{path}: {name} is taken as a value by another path")
+        if node.get(leaf) is not None:
+            raise ValueError(f"{path} is the parent of another path")
         node[leaf] = None
 
     def build(node: dict) -> T.StructType:

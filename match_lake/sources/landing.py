@@ -19,7 +19,7 @@ def read_documents(spark: SparkSession, path: str, whole_files: bool = True) ->
     One document per file, or one per line. Many small files cost a listing and a
     task's time each, so producers that can should write lines.
     """
-    files = spark.read.option("wholetext", whole_files).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=whole_files, recursiveFileLookup=True)
     return files.select("value", F.col("_metadata.file_name").alias("file_name"))
 
 

@@ -21,13 +21,11 @@ def read_landing_stream(
     spark: SparkSession, path: str, whole_files: bool = True, files_per_batch: int = 1_000
 ) -> DataFrame:
     """(value, file_path, file_name) of documents as they arrive."""
-    lines = (
-        spark.readStream.option("wholetext", whole_files)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.text(path, wholetext=whole_files, recursiveFileLookup=True)
+    return files.select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")
     )
-    return lines.select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
 
 
 # Up to this many (id, origin) pairs are sent to every task.

@@ -1,0 +1,215 @@
+import json
+from datetime import datetime, timezone
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from match_lake import schemas
+from match_lake.operators import discovery, silver
+from match_lake.plans import jobs
+from match_lake.sources import landing, tables
+from match_lake.streaming import landing as streaming
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def doc(match_id=None, duration=60):
+    return json.dumps({"metadata": {"matchId": match_id} if match_id else {}, "info": {"gameDuration": duration}})
+
+
+def write(folder, files):
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, text in files.items():
+        (folder / name).write_text(text)
+    return str(folder)
+
+
+def test_landing_takes_the_id_from_the_document_or_the_file(spark, tmp_path):
+    path = write(tmp_path / "in", {"x.json": doc("m1"), "m2.json": doc(), ".hidden": doc("no"), "m3": doc()})
+    got = landing.land_payloads(spark, path, "br1", T0)
+    assert rows(got, "match_id", "platform") == [("m1", "br1"), ("m2", "br1"), ("m3", "br1")]
+    assert got.filter("match_id = 'm1'").first()["payload"] == doc("m1")
+    assert got.select("fetched_at").distinct().count() == 1
+    assert got.columns == tables.stored_columns(schemas.MATCHES)
+
+
+def test_landing_lines(spark, tmp_path):
+    path = write(tmp_path / "in", {"a.jsonl": doc("m1") + "\n" + doc() + "\n" + doc("m2") + "\n"})
+    assert rows(landing.land_payloads(spark, path, "br1", T0, whole_files=False), "match_id") == [("m1",), ("m2",)]
+    documents = landing.read_documents(spark, path, whole_files=False)
+    assert landing.landing_rejects(documents, id_from_file=False).count() == 1
+
+
+def test_ladder_pages(spark, tmp_path):
+    full = {"puuid": "a", "queueType": "RANKED_SOLO_5x5", "tier": "MASTER", "rank": "I", "leaguePoints": 5, "wins": 1, "losses": 2, "inactive": False}
+    path = write(tmp_path / "in", {
+        "1.json": json.dumps([full, {"puuid": "b"}]), "2.json": "[]", "3.json": json.dumps([{"tier": "GOLD"}]), "4.json": json.dumps([full], indent=1),
+    })
+    pages = landing.read_documents(spark, path)
+    got = landing.parse_ladder_page(pages, "br1", T0)
+    assert got.columns == tables.stored_columns(schemas.LEAGUE_ENTRIES)
+    assert rows(got.drop("fetched_at")) == sorted([
+        ("a", "br1", "RANKED_SOLO_5x5", "MASTER", "I", 5, 1, 2, False), ("a", "br1", "RANKED_SOLO_5x5", "MASTER", "I", 5, 1, 2, False),
+        ("b", "br1", None, None, None, None, None, None, None),
+    ], key=repr)
+    assert rows(landing.ladder_rejects(pages), "tier") == [("GOLD",)]
+
+
+def bronze(spark, ids, platform="br1"):
+    return spark.createDataFrame([(i, platform, T0, doc(i)) for i in ids], schemas.TABLES[schemas.MATCHES])
+
+
+def test_missing_table_reads_as_empty(spark, database):
+    got = tables.read_or_empty(spark, database, schemas.MATCHES)
+    assert got.count() == 0 and got.columns == tables.stored_columns(schemas.MATCHES)
+
+
+def test_append_counts_and_keeps_what_was_there(spark, database):
+    assert tables.append_bronze(bronze(spark, ["m1", "m2"]), bronze(spark, ["m1"]), database) == {"matches": 2, "timelines": 1}
+    assert tables.append_bronze(bronze(spark, ["m3"], "kr"), bronze(spark, []), database) == {"matches": 1, "timelines": 0}
+    assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "match_id") == [("m1",), ("m2",), ("m3",)]
+    assert rows(tables.read_or_empty(spark, database, schemas.MATCHES, "kr"), "match_id") == [("m3",)]
+    stored = tables.read_or_empty(spark, database, schemas.MATCHES)
+    assert rows(discovery.missing_timelines(stored, tables.read_or_empty(spark, database, schemas.TIMELINES)), "match_id") == [("m2",), ("m3",)]
+
+
+def test_an_empty_append_still_makes_the_table(spark, database):
+    tables.append_bronze(bronze(spark, []), bronze(spark, []), database)
+    assert spark.catalog.tableExists(f"{database}.matches")
+    assert tables.read_or_empty(spark, database, schemas.MATCHES).count() == 0
+
+
+def test_ids_are_read_without_documents_and_only_of_the_platform(spark, database):
+    tables.append_bronze(bronze(spark, ["m1"]), bronze(spark, ["m1"]), database)
+    stored = tables.read_or_empty(spark, database, schemas.MATCHES)
+    plan = plan_of(discovery.unseen_ids(bronze(spark, ["m1", "m2"]), stored, "br1"))
+    scans = [part for part in plan.split("FileScan")[1:]]
+    assert len(scans) == 1 and "payload" not in scans[0].split("ReadSchema")[1].split("\n")[0]
+    assert "PartitionFilters: [isnotnull(platform" in scans[0] and "(platform#" in scans[0]
+
+
+def test_checkpoint_and_ladder_appends(spark, database):
+    accounts = spark.createDataFrame([("a",), ("b",)], "puuid string")
+    assert tables.append_checkpoint(accounts, "br1", T0, database) == 2
+    assert tables.append_checkpoint(accounts.limit(0), "br1", T0, database) == 0
+    assert tables.read_or_empty(spark, database, schemas.LISTED_ACCOUNTS).count() == 2
+    pages = spark.createDataFrame([('[{"puuid": "a", "tier": "IRON", "rank": "IV"}]',)], "value string")
+    for hour in (1, 2):
+        snap = jobs.ladder_snapshot(pages, "br1", T0.replace(hour=hour), database)
+        assert snap.written == 1
+        assert {(r["level"], r["n"]) for r in snap.totals.collect()} == {("bucket", 1), ("tier", 1), ("total", 1)}
+        assert snap.buckets.count() == 31 and snap.buckets.filter("n > 0").count() == 1
+    assert tables.read_or_empty(spark, database, schemas.LEAGUE_ENTRIES).count() == 2
+
+
+def test_silver_is_rebuilt_in_full(spark, database):
+    first = jobs.silver_build(bronze(spark, ["m1", "m2"]), database)
+    assert first.table.count() == 2 and all(r["passed"] for r in first.checks.collect()) and first.rejects.count() == 0
+    second = jobs.silver_build(bronze(spark, ["m3", "m3"]), database)
+    assert rows(second.table, "match_id") == [("m3",), ("m3",)]
+    assert rows(second.checks.filter("not passed"), "test", "failures") == [("unique", 1)]
+
+
+def stream(spark, folder, database, state, whole=True, kind=schemas.MATCHES, **options):
+    arriving = streaming.read_landing_stream(spark, folder, whole)
+    streaming.stream_land(arriving, database, kind, "br1", state, fetched_at=T0, whole_files=whole, **options).awaitTermination()
+    return tables.read_or_empty(spark, database, kind)
+
+
+def test_stream_lands_only_what_is_new(spark, database, tmp_path):
+    state = str(tmp_path / "state")
+    folder = write(tmp_path / "in", {"a.json": doc("m1"), "b.json": doc("m1", 61), "c.json": doc("m2")})
+    got = stream(spark, folder, database, state)
+    assert rows(got, "match_id", "payload") == [("m1", doc("m1")), ("m2", doc("m2"))]
+    write(tmp_path / "in", {"d.json": doc("m2", 5), "e.json": doc("m3")})
+    assert rows(stream(spark, folder, database, state), "match_id", "payload") == [("m1", doc("m1")), ("m2", doc("m2")), ("m3", doc("m3"))]
+    assert stream(spark, folder, database, state).count() == 3  # nothing new at all
+
+
+def test_stream_of_lines_drops_copies_within_one_file(spark, database, tmp_path):
+    lines = "\n".join([doc("m1")] * 50 + [doc("m2"), doc("m1", 7), doc()])
+    folder = write(tmp_path / "in", {"a.jsonl": lines, "b.jsonl": lines})
+    got = stream(spark, folder, database, str(tmp_path / "state"), whole=False)
+    assert rows(got, "match_id") == [("m1",), ("m2",)]
+
+
+def test_stream_without_the_broadcast(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming, "BROADCAST_ROWS", 1)
+    folder = write(tmp_path / "in", {f"{i}.json": doc(f"m{i % 5}", i) for i in range(12)})
+    got = stream(spark, folder, database, str(tmp_path / "state"))
+    assert rows(got, "match_id") == [(f"m{i}",) for i in range(5)]
+
+
+def test_a_batch_run_twice_leaves_the_table_as_once(spark, database, tmp_path):
+    folder = write(tmp_path / "in", {"a.json": doc("m1"), "b.json": doc("m2")})
+    stream(spark, folder, database, str(tmp_path / "one"))
+    tables.append_bronze(bronze(spark, ["m9"]), bronze(spark, []), database)
+    # a lost state folder makes the stream start over at batch 0 with the same files
+    got = stream(spark, folder, database, str(tmp_path / "two"))
+    assert rows(got, "match_id") == [("m1",), ("m2",), ("m9",)]
+
+
+def test_two_streams_do_not_overwrite_each_other(spark, database, tmp_path):
+    one = write(tmp_path / "one", {"a.json": doc("m1")})
+    other = write(tmp_path / "other", {"a.json": doc("m2"), "b.json": doc("m1", 9)})
+    stream(spark, one, database, str(tmp_path / "s1"), name="personal")
+    got = stream(spark, other, database, str(tmp_path / "s2"), name="cohort")
+    assert rows(got, "match_id", "payload") == [("m1", doc("m1")), ("m2", doc("m2"))]
+
+
+def test_timelines_stream_on_their_own(spark, database, tmp_path):
+    folder = write(tmp_path / "in", {"a.json": doc("m1")})
+    assert stream(spark, folder, database, str(tmp_path / "s"), kind=schemas.TIMELINES).count() == 1
+    with pytest.raises(ValueError):
+        stream(spark, folder, database, str(tmp_path / "s"), kind="other")
+
+
+def test_crawl_from_stored_tables_to_the_next_run(spark, database, tmp_path):
+    """Ladder, plan, landing, checkpoint; the next run then finds nothing left."""
+    pages = spark.createDataFrame([(json.dumps([{"puuid": p, "tier": "DIAMOND", "rank": "I"} for p in "abc"]),)], "value string")
+    jobs.ladder_snapshot(pages, "br1", T0, database)
+    now = T0.replace(day=2)
+    listing = spark.createDataFrame([("a", "m1", now, 420), ("b", "m1", now, 420), ("c", "m2", now, 420), ("z", "m3", now, 420)], schemas.LISTING)
+
+    def crawl():
+        read = {t: tables.read_or_empty(spark, database, t) for t in schemas.TABLES}
+        return jobs.cohort_crawl(
+            read[schemas.LEAGUE_ENTRIES], read[schemas.LISTED_ACCOUNTS], listing, read[schemas.MATCHES], now.replace(hour=1),
+            timelines=read[schemas.TIMELINES],
+        )
+
+    run = crawl()
+    assert rows(run.plan.fetch, "match_id") == [("m1",), ("m2",)]
+    assert run.progress.first()["budget_used"] == 3 + 2 * 2
+
+    def landed(ids):
+        return ids.select("match_id", F.lit("br1").alias("platform"), F.lit(now).alias("fetched_at"), F.lit("{}").alias("payload"))
+
+    tables.append_bronze(landed(run.plan.fetch), landed(run.plan.fetch.filter("match_id = 'm1'")), database)
+    stored = [tables.read_or_empty(spark, database, t) for t in (schemas.MATCHES, schemas.TIMELINES)]
+    assert discovery.landed_checkpoint(run.plan, *stored, now, "br1").count() == 0  # one timeline is missing
+    again = crawl()
+    assert again.plan.fetch.count() == 1  # so that match is asked for again
+    tables.append_bronze(landed(again.plan.fetch.limit(0)), landed(again.plan.fetch), database)
+    stored = [tables.read_or_empty(spark, database, t) for t in (schemas.MATCHES, schemas.TIMELINES)]
+    done = discovery.landed_checkpoint(run.plan, *stored, now, "br1")
+    assert rows(done, "puuid") == [("a",), ("b",), ("c",)]
+    tables.append_checkpoint(done, "br1", now, database)
+    assert crawl().cohort.count() == 0
+
+
+def test_personal_crawl(spark, database):
+    resolved = spark.createDataFrame([("Ann", "BR1", "a"), ("Bo", "1", "b"), ("Bo", "2", "x")], "game_name string, tag_line string, puuid string")
+    named = discovery.parse_ids(spark.createDataFrame([(" Ann#BR1, Bo#1 ,",)], "spec string"))
+    keys = jobs.account_keys(named, resolved)
+    listing = spark.createDataFrame([("a", "m1", T0, 420), ("b", "m2", T0, 440), ("x", "m3", T0, 420), ("a", "m4", T0, 420)], schemas.LISTING)
+    got = jobs.personal_crawl(keys, listing, bronze(spark, ["m4"]))
+    assert rows(got, "account", "match_id") == [("a", "m1"), ("b", "m2")]
+    assert rows(jobs.personal_crawl(keys, listing, bronze(spark, []), queue=440), "match_id") == [("m2",)]
+
+
+def test_silver_view_of_a_landed_stream(spark, database, tmp_path):
+    folder = write(tmp_path / "in", {"a.json": doc("m1", 77)})
+    got = stream(spark, folder, database, str(tmp_path / "state"))
+    assert rows(silver.flatten_matches(got), "match_id", "duration_seconds") == [("m1", 77)]
