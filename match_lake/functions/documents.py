@@ -47,10 +47,15 @@ def typed(text: Column, kind: str, strict: bool = True) -> Column:
 
 
 def with_document(df: DataFrame, paths: Iterable[str], payload: str = "payload", keep: Iterable[str] = ()) -> DataFrame:
-    """`keep` columns plus the parsed document, with a flag for malformed text."""
+    """`keep` columns plus the parsed document, with a flag for malformed text.
+
+    The document comes out of a generator rather than a projection: a later filter
+    on a parsed field would otherwise be pushed down with the parsing in it, and
+    every document be read twice.
+    """
     schema = text_schema(paths).add(MALFORMED, T.StringType())
     doc = F.from_json(payload, schema, {"columnNameOfCorruptRecord": MALFORMED})
-    return df.select(*keep, doc.alias(DOC))
+    return df.select(*keep, F.explode(F.array(doc)).alias(DOC))
 
 
 def flatten_payload(

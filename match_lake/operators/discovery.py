@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from match_lake import schemas
@@ -114,6 +114,15 @@ def _first_batch(found: DataFrame) -> DataFrame:
     return found.groupBy("match_id").agg(F.min("batch_no").alias("batch_no"))
 
 
+def fetch_slots(fetch_batch: int, workers: int) -> list[Column]:
+    """pos, the fetch batch it falls into, and the worker that takes it."""
+    return [
+        F.col("pos"),
+        F.expr(f"pos div {fetch_batch}").alias("fetch_no"),
+        F.pmod("pos", F.lit(workers)).cast("int").alias("worker"),
+    ]
+
+
 class CrawlPlan(NamedTuple):
     """fetch: ids within the budget. deferred: ids of listed batches beyond it.
 
@@ -163,16 +172,15 @@ def crawl_plan(
     at_most = None if budget is None else max(0, budget) // cost
     ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", at_most)
     starts = batches.select("batch_no", "unseen_before", (F.col("accounts_before") + F.col("accounts")).alias("_through"))
-    chosen = ordered.join(starts, "batch_no")
+    chosen = spread_join(ordered, starts, "batch_no", "match_id", "inner", salts)
     if budget is not None:
         chosen = chosen.filter(cost * (F.col("_overall") + 1) + F.col("_through") <= budget)
-    fetch = chosen.withColumn("pos", F.col("_overall") - F.col("unseen_before")).select(
-        "batch_no", "match_id", "pos",
-        F.expr(f"pos div {fetch_batch}").alias("fetch_no"),
-        F.pmod("pos", F.lit(workers)).cast("int").alias("worker"),
-    )
+    placed = chosen.withColumn("pos", F.col("_overall") - F.col("unseen_before"))
+    fetch = placed.select("batch_no", "match_id", *fetch_slots(fetch_batch, workers))
+    # two rows at most: the batch the budget cuts, and the one an odd call still lists
     cut_off = batches.filter(F.col("listed") & (F.col("fetched") < F.col("unseen"))).select("batch_no")
-    deferred = unseen.join(cut_off, "batch_no", "left_semi").join(fetch.select("match_id"), "match_id", "left_anti")
+    beyond = unseen.join(F.broadcast(cut_off), "batch_no", "left_semi")
+    deferred = beyond.join(fetch.select("match_id"), "match_id", "left_anti")
     return CrawlPlan(fetch, deferred.select("batch_no", "match_id"), batches, numbered)
 
 

@@ -73,7 +73,10 @@ def storage_by(df: DataFrame, group: str, payload: str = "payload") -> DataFrame
 
 
 def _with_shares(sizes: DataFrame) -> DataFrame:
-    total = sizes.agg(F.sum("logical_bytes").alias("_total")).scalar()
+    # Both columns are summed so that the subquery groups exactly as the rows do:
+    # Spark then runs that grouping, which reads every document, only once.
+    sums = sizes.agg(F.struct(F.sum("logical_bytes").alias("logical_bytes"), F.sum("records").alias("records")).alias("_all"))
+    total = sums.scalar()["logical_bytes"]
     return sizes.select(
         "table_name", "records", "logical_bytes",
         F.try_divide(F.col("logical_bytes").cast("double"), F.col("records")).alias("bytes_per_record"),

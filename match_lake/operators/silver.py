@@ -66,6 +66,16 @@ def stable_view(matches: DataFrame) -> DataFrame:
     return participants(matches).drop("fetched_at")
 
 
+def differences(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows that occur more often in one table than in the other, with the surplus.
+
+    `surplus` is positive for the first table, negative for the second. Both are
+    read once and meet in a single grouping; copies are added up before they move.
+    """
+    counted = one.withColumn("_n", F.lit(1)).unionByName(other.withColumn("_n", F.lit(-1)))
+    return counted.groupBy(*one.columns).agg(F.sum("_n").alias("surplus")).filter(F.col("surplus") != 0)
+
+
 def player_matches(matches: DataFrame) -> DataFrame:
     """(player, match_id, platform): who played what, by the stable identity."""
     return participants(matches, ()).filter(F.col("player").isNotNull()).select("player", "match_id", "platform")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from match_lake import schemas
 from match_lake.functions.moments import instant
 from match_lake.operators import cohort, discovery, metrics, quality, silver
+from match_lake.operators.ordering import number_rows, spread_join
+from match_lake.session import cut_lineage
 from match_lake.sources import landing, tables
 
 
@@ -64,25 +66,35 @@ def personal_crawl(
     platform: str = "br1",
     queue: int | None = None,
     max_games: int | None = None,
+    workers: int = 1,
+    fetch_batch: int = schemas.MATCHES_PER_FETCH,
 ) -> DataFrame:
-    """(account, match_id, played_at, queue_id): unseen matches in the full history of the accounts.
+    """Unseen matches in the full history of the accounts, in the order to fetch them.
 
-    No look-back and no budget. `accounts` has one column, account.
+    No look-back and no budget. `accounts` holds (account, ordinal); a match played
+    by several of them is fetched for the first. Newest first within an account.
     """
-    keyed = accounts.select("account").distinct()
-    own = listing.join(keyed, "account", "left_semi")
-    return discovery.unseen_ids(discovery.list_ids(own, None, queue, max_games), matches, platform)
+    keyed = accounts.groupBy("account").agg(F.min("ordinal").alias("ordinal"))
+    own = spread_join(listing, keyed.drop("ordinal"), "account", "match_id")
+    history = discovery.unseen_ids(discovery.list_ids(own, None, queue, max_games), matches, platform)
+    ranked = spread_join(history, keyed, "account", "match_id")
+    row = F.struct("account", "played_at", "queue_id", "ordinal")
+    first = ranked.groupBy("match_id").agg(F.min_by(row, F.struct("ordinal", "account")).alias("_row"))
+    todo = cut_lineage(first.select("match_id", "_row.*").withColumn("_age", -F.unix_micros("played_at")))
+    numbered = number_rows(todo, ["ordinal", "account", "_age", "match_id"], "_overall")
+    starts = numbered.groupBy("account").agg(F.min("_overall").alias("_start"))
+    placed = spread_join(numbered, starts, "account", "match_id").withColumn("pos", F.col("_overall") - F.col("_start"))
+    return placed.select("account", "match_id", "played_at", "queue_id", *discovery.fetch_slots(fetch_batch, workers))
 
 
 def account_keys(ids: DataFrame, resolved: DataFrame) -> DataFrame:
-    """(account, game_name, tag_line) of the named players found among the resolved accounts.
+    """(account, ordinal) of the named players found among the resolved accounts.
 
-    Names compare as written; `resolved` holds (game_name, tag_line, puuid).
+    Names compare as written; `ids` holds (game_name, tag_line, ordinal) and
+    `resolved` (game_name, tag_line, puuid).
     """
-    names = ids.select("game_name", "tag_line").distinct()
-    return resolved.join(names, ["game_name", "tag_line"], "left_semi").select(
-        F.col("puuid").alias("account"), "game_name", "tag_line"
-    )
+    names = ids.groupBy("game_name", "tag_line").agg(F.min("ordinal").alias("ordinal"))
+    return resolved.join(names, ["game_name", "tag_line"]).select(F.col("puuid").alias("account"), "ordinal")
 
 
 class Snapshot(NamedTuple):

@@ -57,6 +57,8 @@ def test_a_wrong_type_raises_when_strict_and_is_reported_otherwise(spark):
 
 
 def test_one_parse_however_many_fields(spark):
+    assert plan_of(silver.flatten_matches(bronze(spark, ODD)).filter("duration_seconds > 5")).count("from_json") == 1
+    assert plan_of(silver.match_rejects(bronze(spark, ODD))).count("from_json") == 1
     plan = plan_of(silver.flatten_matches(bronze(spark, ODD)))
     assert plan.count("from_json") == 1 and "get_json_object" not in plan
 
@@ -106,6 +108,8 @@ def test_two_renditions_are_the_same_in_the_stable_view(spark):
     one = silver.stable_view(bronze(spark, [("m1", rendition("k1"))]))
     other = silver.stable_view(bronze(spark, [("m1", rendition("k2"))]))
     assert one.exceptAll(other).count() == 0 == other.exceptAll(one).count() and one.count() == 3
+    assert silver.differences(one, other).count() == 0
+    assert sorted(r["surplus"] for r in silver.differences(one.unionByName(one), other.limit(2)).collect()) == [1, 1, 2]
 
 
 def test_half_an_identity_is_none(spark):

@@ -201,12 +201,18 @@ def test_crawl_from_stored_tables_to_the_next_run(spark, database, tmp_path):
 
 def test_personal_crawl(spark, database):
     resolved = spark.createDataFrame([("Ann", "BR1", "a"), ("Bo", "1", "b"), ("Bo", "2", "x")], "game_name string, tag_line string, puuid string")
-    named = discovery.parse_ids(spark.createDataFrame([(" Ann#BR1, Bo#1 ,",)], "spec string"))
+    named = discovery.parse_ids(spark.createDataFrame([(" Bo#1, Ann#BR1 ,",)], "spec string"))
     keys = jobs.account_keys(named, resolved)
-    listing = spark.createDataFrame([("a", "m1", T0, 420), ("b", "m2", T0, 440), ("x", "m3", T0, 420), ("a", "m4", T0, 420)], schemas.LISTING)
-    got = jobs.personal_crawl(keys, listing, bronze(spark, ["m4"]))
-    assert rows(got, "account", "match_id") == [("a", "m1"), ("b", "m2")]
-    assert rows(jobs.personal_crawl(keys, listing, bronze(spark, []), queue=440), "match_id") == [("m2",)]
+    assert rows(keys) == [("a", 1), ("b", 0)]
+    listing = spark.createDataFrame([
+        ("a", "m1", T0, 420), ("a", "m1", T0, 420), ("b", "m2", T0, 440), ("x", "m3", T0, 420), ("a", "m4", T0, 420),
+        ("a", "m2", T0, 440), ("a", "m5", T0.replace(day=3), 420), ("b", "m6", T0.replace(day=2), 440),
+    ], schemas.LISTING)
+    got = jobs.personal_crawl(keys, listing, bronze(spark, ["m4"]), workers=2, fetch_batch=1)
+    assert rows(got, "account", "match_id", "pos", "fetch_no", "worker") == [
+        ("a", "m1", 1, 1, 1), ("a", "m5", 0, 0, 0), ("b", "m2", 1, 1, 1), ("b", "m6", 0, 0, 0),
+    ]
+    assert rows(jobs.personal_crawl(keys, listing, bronze(spark, []), queue=440, max_games=1), "match_id") == [("m2",), ("m6",)]
 
 
 def test_silver_view_of_a_landed_stream(spark, database, tmp_path):

@@ -48,6 +48,19 @@ def test_an_absent_participant_is_null_in_the_pivot(spark):
     assert plan_of(timeline.pivot_metric(frames)).count("Exchange") == 1
 
 
+def test_the_pivot_straight_from_the_document(spark):
+    df = docs(spark, DOC, {"info": {"frames": [{"participantFrames": {}}, {"participantFrames": {"4": stat(9)}}, {}]}}, "junk", {"info": {}})
+    pivoted = timeline.pivot_metric(timeline.participant_frames(df, ["totalGold"]))
+    direct = timeline.stat_by_minute(df, "totalGold")
+    assert rows(direct) == rows(pivoted.select(*direct.columns)) and direct.count() == 4
+    assert "Exchange" not in plan_of(direct) and plan_of(direct).count("from_json") == 1
+    tail = timeline.stat_by_minute(docs(spark, DOC, DOC), "xp", last=2)
+    assert rows(tail, "match_id", "minute", "p1") == [("m0", 1, 300), ("m0", 2, None), ("m1", 1, 300), ("m1", 2, None)]
+    assert timeline.stat_by_minute(docs(spark, DOC), last=50).count() == 3
+    assert rows(timeline.stat_by_minute(df, last=1), "match_id", "minute") == [("m0", 2), ("m1", 1)]
+    assert rows(timeline.last_minutes(pivoted, 1), "match_id", "minute") == [("m0", 2), ("m1", 1)]
+
+
 def test_last_minutes_per_match(spark):
     pivoted = timeline.pivot_metric(timeline.participant_frames(docs(spark, DOC, DOC), ["totalGold"]))
     got = timeline.last_minutes(pivoted, 2)

@@ -141,6 +141,9 @@ SEATS = f"""
 PIVOT = "SELECT match_id, platform, minute, " + ", ".join(
     f"coalesce(max(gold) FILTER (participant = {p}), -1) AS p{p}" for p in range(1, 11)
 ) + f" FROM ({SEATS}) GROUP BY ALL"
+PIVOT_TAIL = f"""
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY match_id, platform ORDER BY minute DESC) AS rn FROM ({PIVOT})) WHERE rn <= 5"""
 HAPPENED = f"""
     SELECT match_id, platform, minute, size, 0 AS pos,
            ['ITEM_PURCHASED','WARD_PLACED','CHAMPION_KILL','LEVEL_UP'][size % 4 + 1] AS type FROM ({WORDS}) WHERE size > 0
@@ -252,7 +255,7 @@ ORACLES: dict[str, str] = {
     "key_scoped_ids": """
         SELECT 'M_' || o_orderkey AS match_id, CAST(s AS INTEGER) AS seat, 'k1-' || o_orderkey || '-' || s AS puuid,
                's-k1-' || o_orderkey AS summoner_id FROM orders, range(1, 11) r(s)""",
-    "stable_view": f"SELECT * EXCLUDE (fetched_at) FROM ({PLAYERS}) WHERE player IS NULL",
+    "stable_view": f"SELECT * EXCLUDE (fetched_at), 0 AS surplus FROM ({PLAYERS}) WHERE player IS NULL",
     "player_matches": f"SELECT player, count(*) AS matches FROM ({PLAYERS}) GROUP BY player",
     "identity": """
         SELECT c_mktsegment || '#' || c_name AS player, c_name || '#' || nullif(c_mktsegment, 'BUILDING') AS half,
@@ -270,9 +273,9 @@ ORACLES: dict[str, str] = {
     "region_rejects": f"SELECT puuid, platform, league_points FROM ({ladder(PLATFORM_CASE)}) WHERE platform = 'xx9'",
     "timeline_frames": SEATS,
     "pivot_gold": PIVOT,
-    "last_minutes": f"""
-        SELECT * EXCLUDE (rn) FROM (
-          SELECT *, row_number() OVER (PARTITION BY match_id, platform ORDER BY minute DESC) AS rn FROM ({PIVOT})) WHERE rn <= 5""",
+    "last_minutes": PIVOT_TAIL,
+    "gold_by_minute": PIVOT,
+    "gold_tail": PIVOT_TAIL,
     "pivot_embeddings": "SELECT vec_id, " + ", ".join(
         f"CAST(embedding[{i + 1}] AS DOUBLE) AS c{i}" for i in range(64)) + " FROM embeddings",
     "timeline_events": FEED,
@@ -315,9 +318,14 @@ ORACLES: dict[str, str] = {
     "stream_land": SILVER,
     "cohort_crawl": crawl(COHORT_NUMBERED, since_last(24 * 365), 1_500, FETCH),
     "personal_crawl": f"""
-        SELECT account, match_id, max(played_at) AS played_at, CAST(arg_max(queue_id, played_at) AS INTEGER) AS queue_id
-        FROM ({LISTING}) WHERE match_id NOT IN ({STORED})
-          AND account IN (SELECT 'acct-' || c_custkey FROM customer) GROUP BY account, match_id""",
+        SELECT account, match_id, played_at, queue_id, pos, pos // 50 AS fetch_no, CAST(pos % 4 AS INTEGER) AS worker FROM (
+          SELECT *, row_number() OVER (PARTITION BY account ORDER BY played_at DESC, match_id) - 1 AS pos FROM (
+            SELECT * FROM (
+              SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY CAST(substr(account, 6) AS BIGINT)) AS rn FROM (
+                SELECT account, match_id, max(played_at) AS played_at,
+                       CAST(arg_max(queue_id, played_at) AS INTEGER) AS queue_id
+                FROM ({LISTING}) WHERE match_id NOT IN ({STORED})
+                  AND account IN (SELECT 'acct-' || c_custkey FROM customer) GROUP BY account, match_id)) WHERE rn = 1))""",
     "ladder_snapshot": totals(PAGES),
     "lookback_cutoff": f"""
         SELECT event_id, strftime(ts - INTERVAL 24 HOUR, '%Y-%m-%dT%H:%M:%S+00:00') AS since,

@@ -254,7 +254,7 @@ def stable_view(spark, sf):
     """What differs between the documents of one match fetched with two keys: nothing."""
     one = silver.stable_view(given.match_docs(spark, sf, "k1"))
     other = silver.stable_view(given.match_docs(spark, sf, "k2"))
-    return one.exceptAll(other).unionByName(other.exceptAll(one))
+    return silver.differences(one, other)
 
 
 @query
@@ -311,6 +311,16 @@ def last_minutes(spark, sf):
     return no_gaps(timeline.last_minutes(pivoted, 5))
 
 
+@query
+def gold_by_minute(spark, sf):
+    return no_gaps(timeline.stat_by_minute(given.timeline_docs(spark, sf), "totalGold"))
+
+
+@query
+def gold_tail(spark, sf):
+    return no_gaps(timeline.stat_by_minute(given.timeline_docs(spark, sf), "totalGold", last=5))
+
+
 @query
 def pivot_embeddings(spark, sf):
     """The first ten components as one column each, rows first unfolded."""
@@ -533,14 +543,16 @@ def cohort_crawl(spark, sf):
 @query
 def personal_crawl(spark, sf):
     """Named players, found among the customers, with all their unseen matches."""
-    named = discovery.parse_ids(given.id_specs(spark, sf).select("spec"))
+    named = discovery.parse_ids(given.id_specs(spark, sf), "spec", ("request",)).withColumn("ordinal", F.col("request"))
     customers = given.table(spark, sf, "customer").select(
         F.lit("Customer").alias("game_name"),
         F.concat(F.substr("c_name", F.lit(10)), F.lit("#"), F.col("c_mktsegment")).alias("tag_line"),
         given.prefixed("acct-", "c_custkey").alias("puuid"),
     )
     keys = jobs.account_keys(named, customers)
-    rows = jobs.personal_crawl(keys, given.listing(spark, sf), given.stored_matches(spark, sf), given.PLATFORM)
+    rows = jobs.personal_crawl(
+        keys, given.listing(spark, sf), given.stored_matches(spark, sf), given.PLATFORM, workers=WORKERS
+    )
     return plain_time(rows, "played_at")
 
 
