@@ -14,13 +14,17 @@ MATCH_ID = "$.metadata.matchId"
 
 
 def read_documents(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """(value, file_name) for every document below a folder.
+    """(value, file_path, file_name) for every document below a folder.
 
     One document per file, or one per line. Many small files cost a listing and a
     task's time each, so producers that can should write lines.
     """
     files = spark.read.text(path, wholetext=whole_files, recursiveFileLookup=True)
-    return files.select("value", F.col("_metadata.file_name").alias("file_name"))
+    return files.select("value", *file_columns())
+
+
+def file_columns() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")]
 
 
 def document_id(value: str | Column = "value", file_name: str | Column | None = "file_name") -> Column:

@@ -5,16 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from match_lake import schemas
-from match_lake.functions.moments import instant
-from match_lake.session import cut_lineage
-from match_lake.sources.landing import document_id
-from match_lake.sources.tables import INGEST, ensure_table
-
-KINDS = (schemas.MATCHES, schemas.TIMELINES)
+from match_lake.sources.landing import file_columns
+from match_lake.sources.store import KINDS, check_kind, store_new
+from match_lake.sources.tables import ensure_table
 
 
 def read_landing_stream(
@@ -23,13 +18,7 @@ def read_landing_stream(
     """(value, file_path, file_name) of documents as they arrive."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     files = reader.text(path, wholetext=whole_files, recursiveFileLookup=True)
-    return files.select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")
-    )
-
-
-# Up to this many (id, origin) pairs are sent to every task.
-BROADCAST_ROWS = 100_000
+    return files.select("value", *file_columns())
 
 
 def stream_land(
@@ -46,44 +35,17 @@ def stream_land(
     """Store every document of a stream whose match is not stored yet, then stop.
 
     One stream per kind (matches, timelines), each with a checkpoint folder of its
-    own. A batch writes the folder named after the stream and the batch number; run
-    again after a crash it sees the same files and the same earlier folders, so it
-    replaces what it wrote and the table ends up as if it had run once.
+    own. A batch is stored under the name of the stream and the number of the batch;
+    run again after a crash it sees the same files and the same earlier batches, so
+    it replaces what it wrote and the table ends up as if it had run once.
 
-    The look-back is everything stored, not a watermark. Which documents are new is
-    settled on ids alone.
+    The look-back is everything stored, not a watermark.
     """
-    if kind not in KINDS:
-        raise ValueError(f"kind is one of {', '.join(KINDS)}")
-    spark = documents.sparkSession
-    table = ensure_table(spark, database, kind, fmt)
+    ensure_table(documents.sparkSession, database, check_kind(kind), fmt)
     stream = name or f"{kind}-{platform}"
 
     def store(batch: DataFrame, number: int) -> None:
-        own = f"{stream}-{number}"
-        stamp = F.current_timestamp() if fetched_at is None else instant(fetched_at)
-        origin = F.struct("file_path") if whole_files else F.struct("file_path", F.sha2("value", 256).alias("digest"))
-        rows = batch.select(
-            document_id("value", "file_name" if whole_files else None).alias("match_id"),
-            origin.alias("origin"),
-            F.col("value").alias("payload"),
-        ).filter(F.col("match_id").isNotNull())
-        stored = batch.sparkSession.table(table).filter((F.col("platform") == platform) & (F.col(INGEST) != own))
-        first = rows.groupBy("match_id").agg(F.min("origin").alias("origin"))
-        new = cut_lineage(first.join(stored.select("match_id").distinct(), "match_id", "left_anti"))
-        # While the list of new documents is short, the documents themselves stay
-        # where they were read.
-        few = new.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        picked = rows.join(F.broadcast(new) if few else new, ["match_id", "origin"], "left_semi")
-        if not whole_files:
-            # what is left to drop are repeats of one line within one file
-            picked = picked.dropDuplicates(["match_id"])
-        out = picked.select(
-            "match_id", stamp.alias("fetched_at"), "payload", F.lit(platform).alias("platform"), F.lit(own).alias(INGEST)
-        )
-        # only the folders written to are replaced; this session is the stream's own
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.write.mode("overwrite").insertInto(table)
+        store_new(batch, database, kind, platform, f"{stream}-{number}", fetched_at, whole_files, fmt)
 
     return (
         documents.writeStream.queryName(stream)
@@ -92,3 +54,16 @@ def stream_land(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_folders(
+    spark: SparkSession, root: str, database: str, platform: str, state: str, whole_files: bool = True, **options
+) -> dict[str, StreamingQuery]:
+    """One stream for each of root/matches and root/timelines, by kind."""
+    return {
+        kind: stream_land(
+            read_landing_stream(spark, f"{root}/{kind}", whole_files), database, kind, platform,
+            f"{state}/{kind}", whole_files=whole_files, **options,
+        )
+        for kind in KINDS
+    }

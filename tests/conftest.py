@@ -20,6 +20,8 @@ def spark():
         "tests", "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            # the tables are tiny: compiling a plan takes longer than running it
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": f"{home}/warehouse",
             "spark.checkpoint.dir": f"{home}/scratch",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from match_lake import schemas
 from match_lake.operators import discovery, silver
 from match_lake.plans import jobs
-from match_lake.sources import landing, tables
+from match_lake.sources import landing, store, tables
 from match_lake.streaming import landing as streaming
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -135,7 +135,7 @@ def test_stream_of_lines_drops_copies_within_one_file(spark, database, tmp_path)
 
 
 def test_stream_without_the_broadcast(spark, database, tmp_path, monkeypatch):
-    monkeypatch.setattr(streaming, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 1)
     folder = write(tmp_path / "in", {f"{i}.json": doc(f"m{i % 5}", i) for i in range(12)})
     got = stream(spark, folder, database, str(tmp_path / "state"))
     assert rows(got, "match_id") == [(f"m{i}",) for i in range(5)]
@@ -150,6 +150,29 @@ def test_a_batch_run_twice_leaves_the_table_as_once(spark, database, tmp_path):
     assert rows(got, "match_id") == [("m1",), ("m2",), ("m9",)]
 
 
+def test_a_load_run_again_replaces_only_itself(spark, database, tmp_path):
+    one = landing.read_documents(spark, write(tmp_path / "one", {"a.json": doc("m1"), "b.json": doc("m2")}))
+    other = landing.read_documents(spark, write(tmp_path / "other", {"a.json": doc("m2", 9), "b.json": doc("m3")}))
+    for documents, name in ((one, "monday"), (other, "tuesday"), (one, "monday"), (other.limit(0), "wednesday")):
+        store.store_new(documents, database, schemas.MATCHES, "br1", name, T0)
+        got = tables.read_or_empty(spark, database, schemas.MATCHES)
+        assert rows(got, "match_id", "payload")[:2] == [("m1", doc("m1")), ("m2", doc("m2"))]
+    assert rows(got, "match_id") == [("m1",), ("m2",), ("m3",)]
+    assert spark.conf.get(store.OVERWRITE_MODE).lower() == "static"
+
+
+def test_both_folders_of_a_landing_zone(spark, database, tmp_path):
+    write(tmp_path / "in" / "matches", {"m1.json": doc("m1"), "m2.json": doc("m2")})
+    write(tmp_path / "in" / "timelines", {"m1.json": doc("m1")})
+    for _ in range(2):
+        running = streaming.stream_folders(spark, str(tmp_path / "in"), database, "br1", str(tmp_path / "state"))
+        for query in running.values():
+            query.awaitTermination()
+    stored = [tables.read_or_empty(spark, database, kind) for kind in running]
+    assert [df.count() for df in stored] == [2, 1]
+    assert rows(discovery.complete_ids(*stored), "match_id") == [("m1",)]
+
+
 def test_two_streams_do_not_overwrite_each_other(spark, database, tmp_path):
     one = write(tmp_path / "one", {"a.json": doc("m1")})
     other = write(tmp_path / "other", {"a.json": doc("m2"), "b.json": doc("m1", 9)})
