@@ -8,12 +8,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas
+from match_lake import schemas, session
 from match_lake.functions.identity import split_identity, trimmed
 from match_lake.functions.moments import instant
 from match_lake.operators.cohort import on_platform
 from match_lake.operators.ordering import number_rows, running_total, spread_join, top_per_key
-from match_lake.session import cut_lineage
+from match_lake.session import cut_lineage, no_more_than
 
 
 def parse_ids(df: DataFrame, spec: str = "spec", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -39,6 +39,16 @@ def _split_ids(df: DataFrame, spec: str, keep: tuple[str, ...]) -> DataFrame:
     return entries.select(*keep, "ordinal", "raw", name.alias("game_name"), tag.alias("tag_line"))
 
 
+def played(listing: DataFrame, since: datetime | str | None = None, queue: int | None = None) -> DataFrame:
+    """Listing rows later than `since`, in one queue."""
+    rows = listing
+    if since is not None:
+        rows = rows.filter(F.col("played_at") > instant(since))
+    if queue is not None:
+        rows = rows.filter(F.col("queue_id") == queue)
+    return rows
+
+
 def list_ids(
     listing: DataFrame,
     since: datetime | str | None = None,
@@ -49,12 +59,7 @@ def list_ids(
 
     A match repeated for one account counts once.
     """
-    rows = listing
-    if since is not None:
-        rows = rows.filter(F.col("played_at") > instant(since))
-    if queue is not None:
-        rows = rows.filter(F.col("queue_id") == queue)
-    rows = rows.groupBy("account", "match_id").agg(
+    rows = played(listing, since, queue).groupBy("account", "match_id").agg(
         F.max("played_at").alias("played_at"), F.max_by("queue_id", "played_at").alias("queue_id")
     )
     if max_games is None:
@@ -99,10 +104,18 @@ def account_batches(
 
 
 def batch_matches(batches: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame:
-    """Distinct (batch_no, match_id): every match found while listing each batch."""
-    pairs = listing.select("account", "match_id").filter(F.col("match_id").isNotNull()).distinct()
+    """Distinct (batch_no, match_id): every match found while listing each batch.
+
+    Few accounts go to where the listing is read, and only what they played is
+    shuffled. Many meet it in a salted join, copies dropped beforehand.
+    """
     keyed = batches.select("account", "batch_no")
-    return spread_join(pairs, keyed, "account", "match_id", "inner", salts).select("batch_no", "match_id").distinct()
+    pairs = listing.select("account", "match_id").filter(F.col("match_id").isNotNull())
+    if no_more_than(keyed, session.BROADCAST_ROWS):
+        hits = pairs.join(F.broadcast(keyed), "account")
+    else:
+        hits = spread_join(pairs.distinct(), keyed, "account", "match_id", "inner", salts)
+    return hits.select("batch_no", "match_id").distinct()
 
 
 def discovered_ids(batches: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame:
@@ -166,7 +179,7 @@ def crawl_plan(
         reach, batches_at_most = numbered.filter(F.col("batch_no") <= last), last + 1
     found = cut_lineage(batch_matches(reach, listing, salts))
     unseen = cut_lineage(unseen_ids(_first_batch(found), stored, platform))
-    batches = cut_lineage(_batch_costs(reach, found, unseen, budget, batch, batches_at_most))
+    batches = _batch_costs(reach, found, unseen, budget, batch, batches_at_most)
 
     cost = schemas.CALLS_PER_MATCH
     at_most = None if budget is None else max(0, budget) // cost

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from match_lake.session import no_more_than
+
 # Up to this many narrow rows are ordered by one task.
 SINGLE_TASK_ROWS = 100_000
 SAMPLE_KEYS = 4_096
@@ -73,17 +75,17 @@ def number_rows(
     """Add the 0-based position of each row along `order_by`, which must be unique and not NULL.
 
     With `at_most`, only the first that many rows are kept. A small bound is met by
-    a top-k and one task. Otherwise one pass counts the rows and samples their keys;
-    more rows than one task should order are numbered slice by slice, each slice
-    starting at the count of rows before it. As long as `df` gives the same rows
-    the numbers are the same, whatever tasks are lost or run twice.
+    a top-k and one task, and so are few rows. Otherwise one pass samples the keys,
+    and rows are numbered slice by slice, each slice starting at the count of rows
+    before it. As long as `df` gives the same rows the numbers are the same,
+    whatever tasks are lost or run twice.
     """
     if at_most is not None and at_most <= single_task_rows:
         return _number_in_one_task(df.orderBy(*order_by).limit(at_most), order_by, name)
-    rows, keys = sample_keys(df, order_by)
-    if rows <= single_task_rows:
+    if no_more_than(df, single_task_rows):
         numbered = _number_in_one_task(df, order_by, name)
     else:
+        rows, keys = sample_keys(df, order_by)
         slices = min(MAX_SLICES, len(keys), 2 * rows // single_task_rows + 1)
         cuts = [keys[i * len(keys) // slices] for i in range(1, slices)]
         numbered = _number_by_slice(slice_of(df, order_by, cuts), df.columns, order_by, name)

@@ -8,11 +8,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas
+from match_lake import schemas, session
 from match_lake.functions.moments import instant
 from match_lake.operators import cohort, discovery, metrics, quality, silver
 from match_lake.operators.ordering import number_rows, spread_join
-from match_lake.session import cut_lineage
+from match_lake.session import cut_lineage, no_more_than
 from match_lake.sources import landing, tables
 
 
@@ -51,7 +51,7 @@ def cohort_crawl(
     if per_account:
         recent = cohort.since_last_listed(listing, checkpoint, as_of, lookback_hours, platform)
     else:
-        recent = discovery.list_ids(listing, since=as_of - timedelta(hours=lookback_hours))
+        recent = discovery.played(listing, since=as_of - timedelta(hours=lookback_hours))
     stored = matches if timelines is None else discovery.complete_ids(matches, timelines)
     plan = discovery.crawl_plan(
         chosen, recent, stored, call_budget, workers, platform, max_accounts=max_accounts
@@ -74,10 +74,16 @@ def personal_crawl(
     No look-back and no budget. `accounts` holds (account, ordinal); a match played
     by several of them is fetched for the first. Newest first within an account.
     """
-    keyed = accounts.groupBy("account").agg(F.min("ordinal").alias("ordinal"))
-    own = spread_join(listing, keyed.drop("ordinal"), "account", "match_id")
+    keyed = cut_lineage(accounts.groupBy("account").agg(F.min("ordinal").alias("ordinal")))
+
+    def with_accounts(rows: DataFrame, columns: list[str]) -> DataFrame:
+        if no_more_than(keyed, session.BROADCAST_ROWS):
+            return rows.join(F.broadcast(keyed.select(*columns)), "account")
+        return spread_join(rows, keyed.select(*columns), "account", "match_id")
+
+    own = with_accounts(listing, ["account"])
     history = discovery.unseen_ids(discovery.list_ids(own, None, queue, max_games), matches, platform)
-    ranked = spread_join(history, keyed, "account", "match_id")
+    ranked = with_accounts(history, ["account", "ordinal"])
     row = F.struct("account", "played_at", "queue_id", "ordinal")
     first = ranked.groupBy("match_id").agg(F.min_by(row, F.struct("ordinal", "account")).alias("_row"))
     todo = cut_lineage(first.select("match_id", "_row.*").withColumn("_age", -F.unix_micros("played_at")))

@@ -79,3 +79,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Narrow rows up to this many are sent to every task.
+BROADCAST_ROWS = 100_000
+
+
+def no_more_than(df: DataFrame, n: int) -> bool:
+    """Whether a table has at most n rows. No task counts past n."""
+    return df.limit(n + 1).count() <= n

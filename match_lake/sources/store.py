@@ -7,16 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas
+from match_lake import schemas, session
 from match_lake.functions.moments import instant
-from match_lake.session import cut_lineage
+from match_lake.session import cut_lineage, no_more_than
 from match_lake.sources.landing import document_id
 from match_lake.sources.tables import INGEST, ensure_table
 
 KINDS = (schemas.MATCHES, schemas.TIMELINES)
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-# Up to this many (id, origin) pairs are sent to every task.
-BROADCAST_ROWS = 100_000
 
 
 def check_kind(kind: str) -> str:
@@ -57,7 +55,7 @@ def store_new(
     new = cut_lineage(first.join(stored.select("match_id").distinct(), "match_id", "left_anti"))
     # While the list of new documents is short, the documents themselves stay where
     # they were read.
-    few = new.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = no_more_than(new, session.BROADCAST_ROWS)
     picked = rows.join(F.broadcast(new) if few else new, ["match_id", "origin"], "left_semi")
     if not whole_files:
         # what is left to drop are repeats of one line within one file

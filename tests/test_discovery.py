@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from conftest import rows
 
-from match_lake import schemas
+from match_lake import schemas, session
 from match_lake.operators import discovery, metrics, ordering
 from match_lake.sources.tables import empty
 
@@ -85,8 +85,9 @@ def walk(accounts, played, known, budget, batch):
 @pytest.mark.parametrize("seed", range(14))
 def test_crawl_plan_equals_the_walk(spark, seed, monkeypatch):
     rng = random.Random(seed)
-    if seed % 2:  # number rows in slices, not in one task
+    if seed % 2:  # as with many accounts and rows: slices instead of one task, no broadcast
         monkeypatch.setattr(ordering.number_rows, "__defaults__", ("pos", None, 10))
+        monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
     batch = rng.choice([2, 3, 5])
     accounts = [f"a{i}" for i in range(rng.randint(1, 30))]
     played = {a: [f"m{rng.randint(0, 60)}" for _ in range(rng.randint(0, 8))] for a in accounts}

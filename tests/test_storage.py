@@ -5,7 +5,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from match_lake import schemas
+from match_lake import schemas, session
 from match_lake.operators import discovery, silver
 from match_lake.plans import jobs
 from match_lake.sources import landing, store, tables
@@ -135,7 +135,7 @@ def test_stream_of_lines_drops_copies_within_one_file(spark, database, tmp_path)
 
 
 def test_stream_without_the_broadcast(spark, database, tmp_path, monkeypatch):
-    monkeypatch.setattr(store, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
     folder = write(tmp_path / "in", {f"{i}.json": doc(f"m{i % 5}", i) for i in range(12)})
     got = stream(spark, folder, database, str(tmp_path / "state"))
     assert rows(got, "match_id") == [(f"m{i}",) for i in range(5)]

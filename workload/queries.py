@@ -138,7 +138,7 @@ def account_batches(spark, sf):
 @query
 def discovered_ids(spark, sf):
     batches = discovery.account_batches(given.accounts(spark, sf))
-    return discovery.discovered_ids(batches, discovery.list_ids(given.listing(spark, sf), SINCE))
+    return discovery.discovered_ids(batches, discovery.played(given.listing(spark, sf), SINCE))
 
 
 @query
@@ -164,7 +164,7 @@ def missing_timelines(spark, sf):
 
 def _crawl(spark, sf, budget) -> discovery.CrawlPlan:
     return discovery.crawl_plan(
-        given.accounts(spark, sf), discovery.list_ids(given.listing(spark, sf), SINCE),
+        given.accounts(spark, sf), discovery.played(given.listing(spark, sf), SINCE),
         given.stored_matches(spark, sf), budget, WORKERS, given.PLATFORM,
     )
 
