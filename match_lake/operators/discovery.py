@@ -140,7 +140,7 @@ class CrawlPlan(NamedTuple):
     """fetch: ids within the budget. deferred: ids of listed batches beyond it.
 
     batches: one row per account batch with what it costs and yields.
-    accounts: account to batch.
+    accounts: account to batch, as far as the budget can reach.
     """
 
     fetch: DataFrame
@@ -170,20 +170,20 @@ def crawl_plan(
     match overall (from 0), in a batch that ends the first k accounts, is affordable
     exactly when 2 * (g + 1) + k <= budget. No loop and no state are needed.
     """
-    numbered = account_batches(accounts, key, batch, max_accounts)
-    reach, batches_at_most = numbered, None
+    at_most, batches_at_most = max_accounts, None
     if budget is not None:
         # Every full batch costs `batch` calls before it fetches anything, so
-        # later batches than this one cannot be reached.
-        last = budget // batch + 1
-        reach, batches_at_most = numbered.filter(F.col("batch_no") <= last), last + 1
-    found = cut_lineage(batch_matches(reach, listing, salts))
+        # later batches than these cannot be reached.
+        batches_at_most = max(0, budget) // batch + 2
+        at_most = min(batches_at_most * batch, at_most if at_most is not None else batches_at_most * batch)
+    numbered = account_batches(accounts, key, batch, at_most)
+    found = cut_lineage(batch_matches(numbered, listing, salts))
     unseen = cut_lineage(unseen_ids(_first_batch(found), stored, platform))
-    batches = _batch_costs(reach, found, unseen, budget, batch, batches_at_most)
+    batches = _batch_costs(numbered, found, unseen, budget, batches_at_most)
 
     cost = schemas.CALLS_PER_MATCH
-    at_most = None if budget is None else max(0, budget) // cost
-    ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", at_most)
+    affordable = None if budget is None else max(0, budget) // cost
+    ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", affordable)
     starts = batches.select("batch_no", "unseen_before", (F.col("accounts_before") + F.col("accounts")).alias("_through"))
     chosen = spread_join(ordered, starts, "batch_no", "match_id", "inner", salts)
     if budget is not None:
@@ -198,7 +198,7 @@ def crawl_plan(
 
 
 def _batch_costs(
-    numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None, batch: int, at_most: int | None
+    numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None, at_most: int | None
 ) -> DataFrame:
     """One row per account batch: sizes, what came before it, whether it is listed.
 
