@@ -36,12 +36,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
-def scratch_root(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in spark.checkpoint.dir.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder all executors share, which the cluster names in spark.checkpoint.dir.
 
-    Where the setting is missing, a local session gets a temporary folder of its
-    own; a cluster session gets None, since a folder of one machine is of no use
-    to the others.
+    Where the setting is missing, a session whose executor is this very process gets a
+    temporary folder of its own; on a cluster the setting is asked for, since a folder
+    of one machine is of no use to the others.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,8 +49,8 @@ def scratch_root(spark: SparkSession) -> str | None:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(named)
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL_ROOTS:
         root = tempfile.mkdtemp(prefix="match_lake-")
         context.setCheckpointDir(root)
@@ -60,27 +60,27 @@ def scratch_root(spark: SparkSession) -> str | None:
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder below the shared scratch folder."""
-    root = scratch_root(spark)
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{root}/{purpose}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a narrow intermediate that several later steps read, and read it back.
+def cut_lineage(df: DataFrame, purpose: str = "step") -> DataFrame:
+    """Write an intermediate that several later steps read, and read it back.
 
-    The copy lies in the shared folder, so it outlives lost executors. Without
-    such a folder the plan is left as it is: every result is the same either way,
-    only computed again.
+    The copy lies in the shared folder, so it outlives lost executors.
     """
     spark = df.sparkSession
-    if scratch_root(spark) is None:
-        return df
-    path = scratch_dir(spark, "step")
+    path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # Narrow rows up to this many are sent to every task.
 BROADCAST_ROWS = 100_000
 
