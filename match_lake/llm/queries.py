@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, mixing, packing
+from match_lake.llm import exact_dedup, jaccard, mixing, packing, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,11 +27,22 @@ def op2_length_buckets(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_ngram_jaccard(spark, sf_dir):
+    found = jaccard.similar_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_lempel_ziv_repeats(spark, sf_dir):
+    return substring.repeats(table(spark, sf_dir, "documents")).drop("factors")
+
+
 @query
 def op10_curriculum_mix(spark, sf_dir):
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
