@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from match_lake.llm.components import component_labels
 from match_lake.llm.wordhash import mixed, shingles, word_groups
+from match_lake.llm.words import free_names
 from match_lake.session import cut_lineage
 
 WORDS = 5
@@ -225,7 +226,7 @@ def similar_components(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT,
     extra: int = EXTRA_PERCENT, deepest: int = DEEPEST,
 ) -> DataFrame:
-    """One row per row of `docs`: id, n_shingles, class, component_id (the smallest id reachable by links)."""
+    """One row per row of `docs`: id, text_hash, n_shingles, component_id (the smallest id reachable by links), stays."""
     outlines = cut_lineage(_outlines(docs, id_col, text, k, percent, extra), "outlines")
     # Of a class every row has the same set.
     classes = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(
@@ -238,10 +239,27 @@ def similar_components(
     crossing = _verified(_cross_pairs(posts, component_labels(stars), percent), sets, percent)
     labels = component_labels(stars.union(crossing))
     # Names of components with more than one class, then of classes with more than one row.
-    groups = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("members"))
+    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
+    groups = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("members"))
     rooted = groups.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    several = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("members").alias("members")).filter("members > 1")
-    named = rooted.join(several.select("root", "component_id"), "root").select("class", "component_id")
+    several = rooted.groupBy("root").agg(F.min("first").alias("lead"), F.sum("members").alias("members")).filter("members > 1")
+    named = rooted.join(several.select("root", "lead"), "root").select("class", "lead")
     return outlines.join(named, "class", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class", F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"), F.coalesce("lead.id", "id").alias("component_id"),
+        F.coalesce(row == F.col("lead"), F.lit(True)).alias("stays"),
     )
+
+
+def drop_similar(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT,
+) -> DataFrame:
+    """The rows of `docs` without those that are linked to a row that stays, or through others to it.
+
+    Of a component the row with the smallest id stays, of rows sharing it the one with the smallest
+    text hash; rows that repeat both are the same document and all stay.
+    """
+    gone, digest = free_names(docs.columns, "_gone", "_digest")
+    found = similar_components(docs, id_col, text, k, percent).filter("not stays")
+    dropped = found.select(F.col(id_col).alias(gone), F.col("text_hash").alias(digest)).distinct()
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(gone)) & (F.xxhash64(f"`{text}`") == F.col(digest))
+    return docs.join(dropped.hint("shuffle_hash"), same, "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, jaccard, mixing, packing, substring
+from match_lake.llm import exact_dedup, jaccard, mixing, packing, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,14 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_byte_convolution_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality.is_held_out("doc_id").alias("held_out"), quality.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= quality.KEEP_FROM, 1).otherwise(0))
+
+
 @query
 def op8_lempel_ziv_repeats(spark, sf_dir):
     return substring.repeats(table(spark, sf_dir, "documents")).drop("factors")
