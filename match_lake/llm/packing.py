@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from match_lake.llm.words import word_count
+from match_lake.session import cut_lineage
 
 FINE = 512
 STEPS = 32
@@ -102,7 +103,8 @@ def pack(
     `length` counts a row's tokens; words by default. `batch` counts from 0 within a bucket.
     """
     measured = word_count(text) if length is None else F.coalesce(length, F.lit(0)).cast("bigint")
-    lengths = docs.select(F.col(f"`{id_col}`").alias("id"), measured.alias("length"))
+    # Lengths are read several times and texts are dear to measure: once, into a narrow table.
+    lengths = cut_lineage(docs.select(F.col(f"`{id_col}`").alias("id"), measured.alias("length")), "lengths")
     found = buckets(lengths, n_buckets, fine)
     if not found:
         found = [(0, 0, 0)]
