@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, jaccard, mixing, packing, quality, substring
+from match_lake.llm import exact_dedup, jaccard, mixing, packing, pii, quality, secrets, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,17 +22,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_secrets(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return secrets.digests(found, secrets.BASE)
+
+
 @query
 def op2_length_buckets(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal(docs, pii.train(docs))
+    return secrets.digests(found, pii.BASE)
+
+
 @query
 def op4_ngram_jaccard(spark, sf_dir):
     found = jaccard.similar_components(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op5_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
