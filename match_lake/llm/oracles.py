@@ -1,6 +1,8 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from match_lake.llm import licenses
+
+ORACLES: dict[str, str] = {"op9_license_notices": licenses.oracle_sql()}
 
 ORACLES["op6_exact_dedup"] = r"""
 with hashed as (

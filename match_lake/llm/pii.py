@@ -136,7 +136,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0,
         span.count(" "), span.count("-"), span.count("."), span.count("(") + span.count("["), span.startswith("+"), "@" in span,
         bool(re.search(r"[\[({\x20]at[\])}\x20]", span, re.I)), bool(re.search(r"[\[({\x20]dot[\])}\x20]", span, re.I)),
-        luhn(digits) if digits else 0, sum(map(octet, groups)), len(parts[-1]), sum(c.isalpha() for c in span),
+        luhn(digits) if digits else 0, len(groups) - sum(map(octet, groups)), len(groups) == 4 and all(map(octet, groups)), len(parts[-1]), sum(c.isalpha() for c in span),
         *[any(cue in before for cue in cues) for cues in CUES.values()],
         before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ":=", sum(c.isdigit() for c in around) / max(1, len(around)),
     ]
@@ -169,7 +169,7 @@ def rewritten(kind: int, span: str, rng: random.Random) -> str:
         return name + at + host.replace(".", dot)
     digits = "".join(_DIGIT.findall(span))
     if kind == 1:
-        return " . ".join(span.split(".")) if rng.random() < 0.5 else ": ".join(["ip", span])[4:]
+        return rng.choice([" . ", ". ", " ."]).join(span.split("."))
     if kind == 2:
         return rng.choice([".", "/"]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
     local = digits[-10:]
@@ -211,7 +211,7 @@ def training_rows(contexts: list[tuple[int, str, str, str]], seed: int = 5) -> t
         add(led, rewritten(kind, span, rng), after, 1, kind + 4)
         for wrong in (kind, 3):
             add(before, spoiled(wrong, span, rng), after, 0)
-    return np.array(x, float).reshape(len(y), -1), np.array(y, float)
+    return np.array(x, float).reshape(len(y), len(x[0]) if x else 1), np.array(y, float)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> Chooser | None:

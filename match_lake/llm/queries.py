@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, jaccard, mixing, packing, pii, quality, secrets, substring, topk
+from match_lake.llm import exact_dedup, jaccard, licenses, mixing, packing, pii, quality, secrets, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,11 @@ def op8_lempel_ziv_repeats(spark, sf_dir):
     return substring.repeats(table(spark, sf_dir, "documents")).drop("factors")
 
 
+@query
+def op9_license_notices(spark, sf_dir):
+    return licenses.summary(licenses.find_licenses(table(spark, sf_dir, "documents")))
+
+
 @query
 def op10_curriculum_mix(spark, sf_dir):
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
