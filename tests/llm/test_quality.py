@@ -1,0 +1,82 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from corpora import frame, odd_texts, sentence
+from pyspark.sql import functions as F
+
+from match_lake.llm import quality
+
+
+def corpus(rng, n=300):
+    rows, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        text = sentence(rng, rng.randrange(20, 400))
+        rows.append((i, text if good else text.upper().replace(" ", "!! ")))
+        labels.append((i, int(good), 0, "x"))
+    return rows, labels
+
+
+def test_chunks_cover_every_byte():
+    for n in (0, 1, 32, 480, 511, 512, 513, 992, 993, 5000):
+        starts = quality.chunk_starts(n)
+        covered = np.zeros(n, bool)
+        for s in starts:
+            covered[s : s + quality.CHUNK] = True
+        assert covered.all() and len(starts) == len(set(starts)) and (n == 0 or starts[-1] < n)
+
+
+def test_responses_are_the_filters_over_all_windows():
+    rng = np.random.default_rng(1)
+    net = quality.train_filters(rng.integers(0, 256, (8, quality.CHUNK)).astype(np.int16), np.array([0, 1] * 4, np.float32), np.ones(8, np.float32), 1)
+    x = rng.integers(0, 257, (3, quality.CHUNK)).astype(np.int16)
+    r = net.responses(x)
+    for k in range(3):
+        for p in range(0, r.shape[1], 17):
+            window = net.vectors[x[k, p * quality.STEP : p * quality.STEP + quality.WIDTH]].ravel()
+            assert r[k, p] == pytest.approx(window @ net.filters, abs=1e-4)
+
+
+def test_gradient_learns_and_scores_whole_texts(spark):
+    rng = random.Random(6)
+    rows, labels = corpus(rng)
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    model = quality.train(docs, marks)
+    out = docs.select("doc_id", quality.is_held_out("doc_id").alias("h"), quality.score(model, F.col("text")).alias("s")).collect()
+    truth = {i: q for i, q, _, _ in labels}
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
+    assert np.mean([(r.s >= 0.5) == truth[r.doc_id] for r in out if r.h]) > 0.95
+    again = quality.train(docs.repartition(7), marks)
+    assert {r.doc_id: r.s for r in docs.select("doc_id", quality.score(again, F.col("text")).alias("s")).collect()} == pytest.approx({r.doc_id: r.s for r in out})
+    # the last chunk of a long text counts as well
+    good = sentence(rng, 2000)
+    bad = sentence(rng, 1800).upper().replace(" ", "!! ")
+    long = frame(spark, [(0, good), (1, good + " " + bad)])
+    s = {r.doc_id: r.s for r in long.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()}
+    assert s[1] < s[0]
+    odd = frame(spark, odd_texts())
+    scores = [r.s for r in odd.select(quality.score(model, F.col("text")).alias("s")).collect()]
+    assert len(scores) == odd.count() and all(0 <= x <= 1 for x in scores)
+    assert odd.limit(0).select(quality.score(model, F.col("text"))).count() == 0
+
+
+def test_held_out_labels_train_nothing(spark):
+    rng = random.Random(7)
+    rows, labels = corpus(rng, 120)
+    docs = frame(spark, rows)
+    held = [i for i, *_ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    kind = "doc_id long, quality int, toxic int, text string"
+    turned = [(i, 1 - q if i in held else q, t, x) for i, q, t, x in labels]
+    a, b = (quality.train(docs, spark.createDataFrame(m, kind)) for m in (labels, turned))
+    assert np.array_equal(a.filters, b.filters) and np.array_equal(a.mix, b.mix)
+
+
+def test_labels_of_one_kind_or_none(spark):
+    docs = frame(spark, odd_texts())
+    kind = "doc_id long, quality int"
+    assert quality.train(docs, spark.createDataFrame([], kind)) == 0.5
+    assert quality.train(docs, spark.createDataFrame([(1, 1), (2, 1), (3, None), (None, 0), (10**6, 0)], kind)) in (1.0, 0.5)
+    assert docs.select(quality.score(0.5, F.col("text")).alias("s")).first().s == 0.5
+    assert quality.train(docs.limit(0), spark.createDataFrame([(1, 1), (2, 0)], kind)) == 0.5
