@@ -8,12 +8,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas, session
+from match_lake import schemas
 from match_lake.functions.identity import split_identity, trimmed
 from match_lake.functions.moments import instant
 from match_lake.operators.cohort import on_platform
 from match_lake.operators.ordering import number_rows, running_total, spread_join, top_per_key
-from match_lake.session import cut_lineage, no_more_than
+from match_lake.session import cut_lineage
 
 
 def parse_ids(df: DataFrame, spec: str = "spec", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -67,19 +67,24 @@ def list_ids(
     return top_per_key(rows, ["account"], [F.col("played_at").desc(), F.col("match_id").desc()], max_games)
 
 
-def stored_ids(stored: DataFrame, platform: str | None = None) -> DataFrame:
-    """Distinct stored ids. Copies of one match are dropped before they are shuffled."""
-    return on_platform(stored, platform).select("match_id").distinct()
+def stored_among(candidates: DataFrame, stored: DataFrame) -> DataFrame:
+    """Distinct candidate ids that are stored.
+
+    The stored side is met where it is read and only its hits are de-duplicated, so a
+    short list of candidates, which Spark broadcasts by its size, leaves it unshuffled.
+    """
+    wanted = candidates.select("match_id").distinct()
+    return stored.select("match_id").join(wanted, "match_id", "left_semi").distinct()
 
 
 def known_ids(candidates: DataFrame, stored: DataFrame, platform: str | None = None) -> DataFrame:
     """Distinct candidate ids already stored."""
-    return candidates.select("match_id").distinct().join(stored_ids(stored, platform), "match_id", "left_semi")
+    return stored_among(candidates, on_platform(stored, platform))
 
 
 def unseen_ids(candidates: DataFrame, stored: DataFrame, platform: str | None = None) -> DataFrame:
     """Candidate rows whose id is not stored; duplicates and other columns are kept."""
-    return candidates.join(stored_ids(stored, platform), "match_id", "left_anti")
+    return candidates.join(known_ids(candidates, stored, platform), "match_id", "left_anti")
 
 
 def complete_ids(matches: DataFrame, timelines: DataFrame) -> DataFrame:
@@ -103,24 +108,20 @@ def account_batches(
     return numbered.withColumn("batch_no", F.expr(f"pos div {batch}"))
 
 
-def batch_matches(batches: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame:
+def batch_matches(batches: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct (batch_no, match_id): every match found while listing each batch.
 
-    Few accounts go to where the listing is read, and only what they played is
-    shuffled. Many meet it in a salted join, copies dropped beforehand.
+    The accounts are written first, so Spark knows their size: few go to where the
+    listing is read, and only what they played is shuffled.
     """
-    keyed = batches.select("account", "batch_no")
+    keyed = cut_lineage(batches.select("account", "batch_no"), "accounts")
     pairs = listing.select("account", "match_id").filter(F.col("match_id").isNotNull())
-    if no_more_than(keyed, session.BROADCAST_ROWS):
-        hits = pairs.join(F.broadcast(keyed), "account")
-    else:
-        hits = spread_join(pairs.distinct(), keyed, "account", "match_id", "inner", salts)
-    return hits.select("batch_no", "match_id").distinct()
+    return pairs.join(keyed, "account").select("batch_no", "match_id").distinct()
 
 
-def discovered_ids(batches: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame:
+def discovered_ids(batches: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct match ids with the first batch that finds each."""
-    return _first_batch(batch_matches(batches, listing, salts))
+    return _first_batch(batch_matches(batches, listing))
 
 
 def _first_batch(found: DataFrame) -> DataFrame:
@@ -161,6 +162,7 @@ def crawl_plan(
     fetch_batch: int = schemas.MATCHES_PER_FETCH,
     max_accounts: int | None = None,
     salts: int = 8,
+    pending: DataFrame | None = None,
 ) -> CrawlPlan:
     """Which matches to fetch, in which order, by which worker.
 
@@ -169,17 +171,24 @@ def crawl_plan(
     Seen over all batches that is one running cost along (batch, id): the g-th
     match overall (from 0), in a batch that ends the first k accounts, is affordable
     exactly when 2 * (g + 1) + k <= budget. No loop and no state are needed.
+
+    `pending` (match_id) are ids an earlier plan deferred. They belong to the first
+    batch, so they are fetched before anything newly found in later ones.
     """
-    at_most, batches_at_most = max_accounts, None
+    at_most = max_accounts
     if budget is not None:
         # Every full batch costs `batch` calls before it fetches anything, so
         # later batches than these cannot be reached.
         batches_at_most = max(0, budget) // batch + 2
         at_most = min(batches_at_most * batch, at_most if at_most is not None else batches_at_most * batch)
-    numbered = account_batches(accounts, key, batch, at_most)
-    found = cut_lineage(batch_matches(numbered, listing, salts))
+    numbered = cut_lineage(account_batches(accounts, key, batch, at_most), "numbered")
+    found = batch_matches(numbered, listing)
+    if pending is not None:
+        first = pending.filter(F.col("match_id").isNotNull()).select(F.lit(0).cast("bigint").alias("batch_no"), "match_id")
+        found = found.union(first).distinct()
+    found = cut_lineage(found)
     unseen = cut_lineage(unseen_ids(_first_batch(found), stored, platform))
-    batches = _batch_costs(numbered, found, unseen, budget, batches_at_most)
+    batches = cut_lineage(_batch_costs(numbered, found, unseen, budget), "costs")
 
     cost = schemas.CALLS_PER_MATCH
     affordable = None if budget is None else max(0, budget) // cost
@@ -198,7 +207,7 @@ def crawl_plan(
 
 
 def _batch_costs(
-    numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None, at_most: int | None
+    numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None
 ) -> DataFrame:
     """One row per account batch: sizes, what came before it, whether it is listed.
 
@@ -216,7 +225,7 @@ def _batch_costs(
     members = members.union(ones(unseen, "unseen_in_previous", 1))
     sizes = members.groupBy("batch_no").agg(*[F.count(F.when(F.col("_of") == n, 1)).alias(n) for n in names])
     sizes = sizes.filter(F.col("accounts") > 0)
-    totals = running_total(sizes, "batch_no", {"accounts": "accounts_before", "unseen": "unseen_before"}, at_most)
+    totals = running_total(sizes, "batch_no", {"accounts": "accounts_before", "unseen": "unseen_before"})
     if budget is None:
         listed, fetched = F.lit(True), F.col("unseen")
     else:
@@ -238,12 +247,13 @@ def landed_checkpoint(
     """Checkpoint rows for the accounts whose batch has fully landed.
 
     Taken from what is stored, not from what was asked for: a run that dies
-    between listing and landing leaves its accounts to be listed again. Accounts of
-    a batch that found nothing count as landed.
+    between listing and landing leaves its accounts to be listed again, and so does a
+    budget that cuts a batch or lists one it cannot fetch. Accounts of a batch that
+    found nothing new count as landed.
     """
     stored = complete_ids(on_platform(matches, platform), on_platform(timelines, platform))
     waiting = unseen_ids(plan.fetch, stored).select("batch_no").distinct()
-    done = plan.batches.filter("listed").select("batch_no").join(waiting, "batch_no", "left_anti")
+    done = plan.batches.filter("listed and fetched = unseen").select("batch_no").join(waiting, "batch_no", "left_anti")
     return plan.accounts.join(done, "batch_no", "left_semi").select(
         F.col("account").alias("puuid"), F.lit(platform).alias("platform"), instant(listed_at).alias("listed_at")
     )

@@ -84,13 +84,16 @@ def _with_shares(sizes: DataFrame) -> DataFrame:
     )
 
 
-def run_progress(batches: DataFrame, budget: int | None, timings: DataFrame | None = None) -> DataFrame:
+def run_progress(
+    batches: DataFrame, budget: int | None, timings: DataFrame | None = None, accounts: DataFrame | None = None, key: str = "puuid"
+) -> DataFrame:
     """State of a crawl after each listed batch, running totals included.
 
     From CrawlPlan.batches. `over_budget` marks the overshoot a batch causes when
     listing it takes more calls than were left. `timings` (batch_no, list_seconds,
     fetch_seconds), as measured by whatever does the fetching, adds the rates so
-    far; a rate is 0 while no time has passed.
+    far; a rate is 0 while no time has passed. `accounts`, the whole cohort, adds how many
+    there are to list and how many of them are still not listed after a batch.
     """
     rows = batches.filter("listed").select("batch_no", "accounts", "found", "unseen", "fetched")
     totals = {"accounts": "_accounts", "fetched": "_fetched"}
@@ -111,6 +114,9 @@ def run_progress(batches: DataFrame, budget: int | None, timings: DataFrame | No
             _rate(done, F.col("_listing") + F.col("list_seconds")).alias("accounts_per_second"),
             _rate(written, F.col("_fetching") + F.col("fetch_seconds")).alias("matches_per_second"),
         ]
+    if accounts is not None:
+        total = accounts.select(F.count_distinct(key)).scalar()
+        out += [total.alias("accounts_total"), (total - done).alias("accounts_left")]
     return running.select(*out)
 
 

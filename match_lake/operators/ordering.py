@@ -9,19 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from match_lake.session import no_more_than
+from match_lake.session import cut_lineage
 
-# Up to this many narrow rows are ordered by one task.
-SINGLE_TASK_ROWS = 100_000
-SAMPLE_KEYS = 4_096
-MAX_SLICES = 1_024
-# Largest k for which Spark prunes each group before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1_000
 BLOCK = 4_096
 
 
@@ -33,7 +26,7 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     a large share of all rows is sorted by many tasks and the last step sees at
     most n * spread of its rows.
     """
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
         df = df.withColumn("_part", part)
         df = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys, "_part").orderBy(*order)))
@@ -42,88 +35,51 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
-def sample_keys(df: DataFrame, order_by: Sequence[str]) -> tuple[int, list[Row]]:
-    """Number of rows, and at most SAMPLE_KEYS keys spread evenly over them, in order.
+def sliced(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
+    """A written copy with `_slice`, the range of the order each row lies in.
 
-    One pass. A key is taken for its hash, not for where it lies, so every run over
-    the same rows gives the same sample.
+    Spark chooses the ranges. The slice is stored with the row, so whatever reads the
+    copy, or reads it again after losing an executor, sees the same slices.
     """
-    hashed = df.select(F.struct(*order_by).alias("_key"), F.xxhash64(*order_by).alias("_hash"))
-    picked = hashed.groupBy(F.pmod("_hash", F.lit(SAMPLE_KEYS))).agg(
-        F.min_by("_key", "_hash").alias("_key"), F.count(F.lit(1)).alias("_rows")
-    )
-    found = picked.agg(F.sort_array(F.collect_list("_key")).alias("_keys"), F.sum("_rows").alias("_rows")).first()
-    return found["_rows"] or 0, found["_keys"]
-
-
-def slice_of(df: DataFrame, order_by: Sequence[str], cuts: Sequence[Row], name: str = "_slice") -> DataFrame:
-    """Add the number of cut points at or below the key: a slice that never decreases along it."""
-    points = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(order_by, cut)]) for cut in cuts])
-    out = df.withColumn("_key", F.struct(*order_by)).withColumn(name, F.lit(0))
-    step = 1 << (len(cuts).bit_length() - 1) if cuts else 0
-    while step:
-        hit = F.try_element_at(points, F.col(name) + F.lit(step)) <= F.col("_key")
-        out = out.withColumn(name, F.col(name) + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return out.drop("_key")
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *order_by).withColumn("_slice", F.spark_partition_id())
+    return cut_lineage(ranged, "sliced")
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], name: str = "pos", at_most: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, order_by: Sequence[str], name: str = "pos", at_most: int | None = None, slices: int | None = None
 ) -> DataFrame:
     """Add the 0-based position of each row along `order_by`, which must be unique and not NULL.
 
-    With `at_most`, only the first that many rows are kept. A small bound is met by
-    a top-k and one task, and so are few rows. Otherwise one pass samples the keys,
-    and rows are numbered slice by slice, each slice starting at the count of rows
-    before it. As long as `df` gives the same rows the numbers are the same,
-    whatever tasks are lost or run twice.
+    Rows are numbered slice by slice, each slice starting at the count of rows before it.
+    With `at_most`, only the first that many rows are kept, and only the slices that
+    hold them are sorted.
     """
-    if at_most is not None and at_most <= single_task_rows:
-        return _number_in_one_task(df.orderBy(*order_by).limit(at_most), order_by, name)
-    if no_more_than(df, single_task_rows):
-        numbered = _number_in_one_task(df, order_by, name)
-    else:
-        rows, keys = sample_keys(df, order_by)
-        slices = min(MAX_SLICES, len(keys), 2 * rows // single_task_rows + 1)
-        cuts = [keys[i * len(keys) // slices] for i in range(1, slices)]
-        numbered = _number_by_slice(slice_of(df, order_by, cuts), df.columns, order_by, name)
-    return numbered if at_most is None else numbered.filter(F.col(name) < at_most)
-
-
-def _number_in_one_task(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
-    return df.withColumn(name, (F.row_number().over(W.orderBy(*order_by)) - 1).cast("bigint"))
-
-
-def _number_by_slice(sliced: DataFrame, columns: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    copy = sliced(df, order_by, slices)
+    sizes = copy.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    if at_most is not None:
+        offsets = offsets.filter(F.col("_offset") < at_most)
+    # one row per slice
+    needed = copy.join(F.broadcast(offsets), "_slice")
     within = F.row_number().over(W.partitionBy("_slice").orderBy(*order_by)) - 1
-    # offsets has a row per slice, MAX_SLICES at most
-    numbered = sliced.withColumn("_within", within).join(F.broadcast(offsets), "_slice")
-    return numbered.select(*columns, (F.col("_offset") + F.col("_within")).alias(name))
+    numbered = needed.withColumn("_within", within).select(*df.columns, (F.col("_offset") + F.col("_within")).alias(name))
+    return numbered if at_most is None else numbered.filter(F.col(name) < at_most)
 
 
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """`order by ... limit n`; a large n is not gathered by a single task."""
-    if n <= SINGLE_TASK_ROWS:
-        return df.orderBy(*order_by).limit(n)
+    """`order by ... limit n`, without gathering n rows in one task."""
     return number_rows(df, order_by, "_pos", n).drop("_pos")
 
 
-def running_total(df: DataFrame, index: str, values: dict[str, str], at_most: int | None = None) -> DataFrame:
+def running_total(df: DataFrame, index: str, values: dict[str, str]) -> DataFrame:
     """Add, per row, the sum of each value over all rows with a smaller index.
 
     `index` is a dense 0-based integer and `values` maps a column to the name of its
-    running total. Unless a bound on the rows says that one task can do it, totals
-    are taken per block of indexes first, so the one ordered pass over everything
-    sees a row per block.
+    running total. Totals are taken per block of indexes first, so the one ordered pass
+    over everything sees a row per block.
     """
-    if at_most is not None and at_most <= SINGLE_TASK_ROWS:
-        earlier = W.orderBy(index).rowsBetween(W.unboundedPreceding, -1)
-        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for c, name in values.items()])
     blocked = df.withColumn("_block", F.expr(f"`{index}` div {BLOCK}"))
     blocks = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_sum_{c}") for c in values])
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

@@ -8,11 +8,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas, session
+from match_lake import schemas
 from match_lake.functions.moments import instant
 from match_lake.operators import cohort, discovery, metrics, quality, silver
 from match_lake.operators.ordering import number_rows, spread_join
-from match_lake.session import cut_lineage, no_more_than
+from match_lake.session import cut_lineage
 from match_lake.sources import landing, tables
 
 
@@ -36,12 +36,14 @@ def cohort_crawl(
     call_budget: int = 12_000,
     workers: int = 1,
     per_account: bool = False,
+    pending: DataFrame | None = None,
 ) -> Crawl:
     """What a forward-only run for a ranked cohort lists and fetches.
 
     With `timelines`, a match counts as stored only when both its documents are.
     `per_account` replaces the fixed look-back by each account's own last listing
-    (and so leaves nobody out for having been listed recently).
+    (and so leaves nobody out for having been listed recently). `pending` takes the
+    deferred ids of the run before, which a fixed look-back may not reach any more.
     """
     nobody = checkpoint.limit(0)
     chosen = cohort.select_cohort(
@@ -54,9 +56,9 @@ def cohort_crawl(
         recent = discovery.played(listing, since=as_of - timedelta(hours=lookback_hours))
     stored = matches if timelines is None else discovery.complete_ids(matches, timelines)
     plan = discovery.crawl_plan(
-        chosen, recent, stored, call_budget, workers, platform, max_accounts=max_accounts
+        chosen, recent, stored, call_budget, workers, platform, max_accounts=max_accounts, pending=pending
     )
-    return Crawl(chosen, plan, metrics.run_progress(plan.batches, call_budget))
+    return Crawl(chosen, plan, metrics.run_progress(plan.batches, call_budget, accounts=chosen))
 
 
 def personal_crawl(
@@ -74,16 +76,11 @@ def personal_crawl(
     No look-back and no budget. `accounts` holds (account, ordinal); a match played
     by several of them is fetched for the first. Newest first within an account.
     """
-    keyed = cut_lineage(accounts.groupBy("account").agg(F.min("ordinal").alias("ordinal")))
-
-    def with_accounts(rows: DataFrame, columns: list[str]) -> DataFrame:
-        if no_more_than(keyed, session.BROADCAST_ROWS):
-            return rows.join(F.broadcast(keyed.select(*columns)), "account")
-        return spread_join(rows, keyed.select(*columns), "account", "match_id")
-
-    own = with_accounts(listing, ["account"])
+    # Written first, so Spark knows its size: few accounts go to where the listing is read.
+    keyed = cut_lineage(accounts.groupBy("account").agg(F.min("ordinal").alias("ordinal")), "accounts")
+    own = listing.join(keyed.select("account"), "account")
     history = discovery.unseen_ids(discovery.list_ids(own, None, queue, max_games), matches, platform)
-    ranked = with_accounts(history, ["account", "ordinal"])
+    ranked = history.join(keyed, "account")
     row = F.struct("account", "played_at", "queue_id", "ordinal")
     first = ranked.groupBy("match_id").agg(F.min_by(row, F.struct("ordinal", "account")).alias("_row"))
     todo = cut_lineage(first.select("match_id", "_row.*").withColumn("_age", -F.unix_micros("played_at")))

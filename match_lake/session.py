@@ -79,12 +79,3 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-# Narrow rows up to this many are sent to every task.
-BROADCAST_ROWS = 100_000
-
-
-def no_more_than(df: DataFrame, n: int) -> bool:
-    """Whether a table has at most n rows. No task counts past n."""
-    return df.limit(n + 1).count() <= n

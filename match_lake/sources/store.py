@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from match_lake import schemas, session
+from match_lake import schemas
 from match_lake.functions.moments import instant
-from match_lake.session import cut_lineage, no_more_than
+from match_lake.operators.discovery import stored_among
+from match_lake.session import cut_lineage
 from match_lake.sources.landing import document_id
 from match_lake.sources.tables import INGEST, ensure_table
 
@@ -23,6 +24,11 @@ def check_kind(kind: str) -> str:
     return kind
 
 
+def load_name(ingest: str) -> str:
+    """The ingest a load writes; no append bears such a name."""
+    return f"load-{ingest}"
+
+
 def store_new(
     documents: DataFrame,
     database: str,
@@ -33,16 +39,19 @@ def store_new(
     whole_files: bool = True,
     fmt: str = "parquet",
 ) -> None:
-    """Store the documents whose match is not stored yet, under the name `ingest`.
+    """Store the documents whose match is not stored yet, under the load's name `ingest`.
 
     `documents` holds (value, file_path, file_name). Of several documents of one
     match the first by file path is kept. What an earlier attempt stored under the
     same name does not count as stored and is replaced, so a load that died half-way
-    can be run again as it is. Which documents are new is settled on ids alone.
+    can be run again as it is; a load that lacks a match stored under that name is
+    another load and is refused. Which documents are new is settled on ids alone, and
+    a document is shuffled only if its line occurs twice in one file.
     """
     check_kind(kind)
     spark = documents.sparkSession
     table = ensure_table(spark, database, kind, fmt)
+    spark.catalog.refreshTable(table)
     stamp = F.current_timestamp() if fetched_at is None else instant(fetched_at)
     origin = F.struct("file_path") if whole_files else F.struct("file_path", F.sha2("value", 256).alias("digest"))
     rows = documents.select(
@@ -50,18 +59,23 @@ def store_new(
         origin.alias("origin"),
         F.col("value").alias("payload"),
     ).filter(F.col("match_id").isNotNull())
-    stored = spark.table(table).filter((F.col("platform") == platform) & (F.col(INGEST) != ingest))
-    first = rows.groupBy("match_id").agg(F.min("origin").alias("origin"))
-    new = cut_lineage(first.join(stored.select("match_id").distinct(), "match_id", "left_anti"))
-    # While the list of new documents is short, the documents themselves stay where
-    # they were read.
-    few = no_more_than(new, session.BROADCAST_ROWS)
-    picked = rows.join(F.broadcast(new) if few else new, ["match_id", "origin"], "left_semi")
+    counted = rows.groupBy("match_id", "origin").agg(F.count(F.lit(1)).alias("copies"))
+    arrived = cut_lineage(counted.groupBy("match_id").agg(F.min(F.struct("origin", "copies")).alias("first")), "arrived")
+    on_platform = spark.table(table).filter(F.col("platform") == platform)
+    own, others = (on_platform.filter(c) for c in (F.col(INGEST) == load_name(ingest), F.col(INGEST) != load_name(ingest)))
+    if not own.select("match_id").join(arrived, "match_id", "left_anti").isEmpty():
+        raise ValueError(f"{ingest} names another load, which stored matches that are not in this one")
+    stored = stored_among(arrived, others)
+    new = cut_lineage(arrived.join(stored, "match_id", "left_anti").select("match_id", "first.*"), "new")
+
+    def picked(which: DataFrame) -> DataFrame:
+        return rows.join(which.select("match_id", "origin"), ["match_id", "origin"], "left_semi")
+
+    out = picked(new.filter("copies = 1"))
     if not whole_files:
-        # what is left to drop are repeats of one line within one file
-        picked = picked.dropDuplicates(["match_id"])
-    out = picked.select(
-        "match_id", stamp.alias("fetched_at"), "payload", F.lit(platform).alias("platform"), F.lit(ingest).alias(INGEST)
+        out = out.union(picked(new.filter("copies > 1")).dropDuplicates(["match_id"]))
+    out = out.select(
+        "match_id", stamp.alias("fetched_at"), "payload", F.lit(platform).alias("platform"), F.lit(load_name(ingest)).alias(INGEST)
     )
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")  # replace the folders written to, nothing else
@@ -69,3 +83,4 @@ def store_new(
         out.write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(OVERWRITE_MODE, before)
+    spark.catalog.refreshTable(table)

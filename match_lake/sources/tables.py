@@ -1,12 +1,14 @@
 """Reading and appending the stored tables.
 
-Document tables are laid out by platform and by ingest (one append or one stream
-batch). Readers that want one platform read only its folders, and a stream batch
-that runs twice replaces its own folder instead of adding to it.
+Document tables are laid out by platform and by ingest (one append or one load).
+Readers that want one platform read only its folders, and a load that runs twice
+replaces its own folder instead of adding to it. Appends and loads name their ingests
+apart, so neither can replace what the other wrote. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,6 +42,8 @@ def read_or_empty(spark: SparkSession, database: str, table: str, platform: str
     """The table with its contract columns; no rows if it does not exist yet."""
     if not spark.catalog.tableExists(qualified(database, table)):
         return empty(spark, schemas.TABLES[table])
+    # files may have been replaced since this session last looked
+    spark.catalog.refreshTable(qualified(database, table))
     rows = spark.table(qualified(database, table))
     if platform is not None:
         rows = rows.filter(F.col("platform") == platform)
@@ -56,11 +60,14 @@ def ensure_table(spark: SparkSession, database: str, table: str, fmt: str = "par
 
 
 def append_table(df: DataFrame, database: str, table: str, ingest: str | None = None, fmt: str = "parquet") -> int:
-    """Append rows and return how many, counted while writing them."""
+    """Append rows and return how many, counted while writing them.
+
+    Documents go under an ingest of their own, named after `ingest` if given.
+    """
     name = ensure_table(df.sparkSession, database, table, fmt)
     rows = df.select(*stored_columns(table))
     if INGEST in LAYOUT[table]:
-        rows = rows.withColumn(INGEST, F.lit(ingest or "batch"))
+        rows = rows.withColumn(INGEST, F.lit(f"append-{ingest + '-' if ingest else ''}{uuid.uuid4().hex}"))
     counted = Observation()
     rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("append").partitionBy(
         *LAYOUT[table]
@@ -96,6 +103,28 @@ def append_checkpoint(
     return append_table(rows, database, schemas.LISTED_ACCOUNTS, fmt=fmt)
 
 
+def compact(spark: SparkSession, database: str, table: str, platform: str, fmt: str = "parquet") -> int:
+    """Move a platform's documents into one ingest and return how many ingests that replaces.
+
+    Loads leave a folder each, small ones small files. The new folder is complete before the
+    first old one goes; a reader in between sees documents twice, none is ever missing. A load
+    run again afterwards finds its documents stored and adds nothing.
+    """
+    name = qualified(database, table)
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name).filter(F.col("platform") == platform)
+    # one row per load
+    old = [r[INGEST] for r in rows.select(INGEST).distinct().collect()]
+    if len(old) < 2:
+        return 0
+    moved = rows.withColumn(INGEST, F.lit(f"compact-{uuid.uuid4().hex}"))
+    moved.write.format(fmt).mode("append").partitionBy(*LAYOUT[table]).saveAsTable(name)
+    for ingest in old:
+        spark.sql(f"alter table {name} drop if exists partition (platform = :p, {INGEST} = :i)", {"p": platform, "i": ingest})
+    spark.catalog.refreshTable(name)
+    return len(old)
+
+
 def rebuild(df: DataFrame, database: str, table: str, fmt: str = "parquet") -> DataFrame:
     """Write a derived table anew and return it."""
     name = qualified(database, table)

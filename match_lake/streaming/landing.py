@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +23,19 @@ def read_landing_stream(
     return files.select("value", *file_columns())
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id kept beside a stream's checkpoint: made once, then the same for every run from that checkpoint."""
+    path = f"{checkpoint.rstrip('/')}/landing_id"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    made = uuid.uuid4().hex
+    spark.range(1, numPartitions=1).selectExpr(f"'{made}' as value").write.text(path)
+    return made
+
+
 def stream_land(
     documents: DataFrame,
     database: str,
@@ -35,17 +50,19 @@ def stream_land(
     """Store every document of a stream whose match is not stored yet, then stop.
 
     One stream per kind (matches, timelines), each with a checkpoint folder of its
-    own. A batch is stored under the name of the stream and the number of the batch;
+    own. A batch is stored under the id kept in that folder and the number of the batch;
     run again after a crash it sees the same files and the same earlier batches, so
-    it replaces what it wrote and the table ends up as if it had run once.
+    it replaces what it wrote and the table ends up as if it had run once. A stream
+    with another checkpoint has another id, so it never replaces anything of this one.
 
     The look-back is everything stored, not a watermark.
     """
     ensure_table(documents.sparkSession, database, check_kind(kind), fmt)
     stream = name or f"{kind}-{platform}"
+    own = stream_id(documents.sparkSession, checkpoint)
 
     def store(batch: DataFrame, number: int) -> None:
-        store_new(batch, database, kind, platform, f"{stream}-{number}", fetched_at, whole_files, fmt)
+        store_new(batch, database, kind, platform, f"{own}-{number}", fetched_at, whole_files, fmt)
 
     return (
         documents.writeStream.queryName(stream)

@@ -2,10 +2,10 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 
-from match_lake import schemas, session
-from match_lake.operators import discovery, metrics, ordering
+from match_lake import schemas
+from match_lake.operators import discovery, metrics
 from match_lake.sources.tables import empty
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -83,11 +83,8 @@ def walk(accounts, played, known, budget, batch):
 
 
 @pytest.mark.parametrize("seed", range(14))
-def test_crawl_plan_equals_the_walk(spark, seed, monkeypatch):
+def test_crawl_plan_equals_the_walk(spark, seed):
     rng = random.Random(seed)
-    if seed % 2:  # as with many accounts and rows: slices instead of one task, no broadcast
-        monkeypatch.setattr(ordering.number_rows, "__defaults__", ("pos", None, 10))
-        monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
     batch = rng.choice([2, 3, 5])
     accounts = [f"a{i}" for i in range(rng.randint(1, 30))]
     played = {a: [f"m{rng.randint(0, 60)}" for _ in range(rng.randint(0, 8))] for a in accounts}
@@ -136,6 +133,56 @@ def test_checkpoint_waits_for_what_has_not_landed(spark):
     assert rows(got, "puuid", "platform") == [("a", "br1"), ("c", "br1")]
 
 
+@pytest.mark.parametrize("budget", [7, 8, 11])
+def test_every_match_is_fetched_in_the_end(spark, budget):
+    """Runs under a budget that cuts batches, each landing what it fetched; accounts are listed only when all landed."""
+    played = {"a": ["a0", "a1", "a2", "a3", "a4"], "b": ["b0", "a1"], "c": [], "d": [f"d{i}" for i in range(7)]}
+    df = listing(spark, [(x, m, T0, 1) for x, ms in played.items() for m in ms])
+    stored, listed, runs = set(), set(), 0
+    while listed != set(played):
+        todo = spark.createDataFrame([(x,) for x in sorted(set(played) - listed)], "puuid string")
+        plan = discovery.crawl_plan(todo, df, ids(spark, sorted(stored)), budget, platform="br1", batch=1)
+        stored |= {r["match_id"] for r in plan.fetch.collect()}
+        landed = ids(spark, sorted(stored))
+        listed |= {r["puuid"] for r in discovery.landed_checkpoint(plan, landed, landed, T0, "br1").collect()}
+        assert {m for x in listed for m in played[x]} <= stored
+        runs += 1
+        assert runs < 20
+    assert stored == {m for ms in played.values() for m in ms}
+
+
+def test_deferred_matches_flow_into_the_next_plan(spark):
+    df = listing(spark, [("a", f"m{i}", T0, 1) for i in range(5)])
+    one = spark.createDataFrame([("a",)], "puuid string")
+    first = discovery.crawl_plan(one, df, ids(spark, []), 7, platform="br1")
+    assert [first.fetch.count(), first.deferred.count()] == [3, 2]
+    assert discovery.landed_checkpoint(first, *[ids(spark, ["m0", "m1", "m2"])] * 2, T0, "br1").count() == 0
+    second = discovery.crawl_plan(one, df.limit(0), ids(spark, ["m0", "m1", "m2"]), 7, platform="br1", pending=first.deferred)
+    assert rows(second.fetch, "match_id") == [("m3",), ("m4",)]
+    everything = ids(spark, [f"m{i}" for i in range(5)])
+    assert rows(discovery.landed_checkpoint(second, everything, everything, T0, "br1"), "puuid") == [("a",)]
+
+
+def test_the_stored_side_is_not_shuffled_for_few_candidates(spark, tmp_path):
+    spark.range(50_000).selectExpr("concat('m', id) as match_id", "'br1' as platform", "repeat('x', 20) as payload").write.parquet(f"{tmp_path}/stored")
+    spark.range(5).selectExpr("concat('m', id) as match_id").write.parquet(f"{tmp_path}/few")
+    got = discovery.unseen_ids(spark.read.parquet(f"{tmp_path}/few"), spark.read.parquet(f"{tmp_path}/stored"), "br1")
+    assert got.count() == 0
+    plan = plan_of(got)
+    before_scan = plan[: plan.index("/stored")]
+    assert "BroadcastHashJoin" in before_scan and "LeftSemi" in before_scan
+    below_semi = before_scan[before_scan.index("LeftSemi"):]
+    assert "hashpartitioning" not in below_semi.split("FileScan")[0]
+
+
+def test_progress_tells_who_is_left(spark):
+    accounts = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "puuid string")
+    df = listing(spark, [("a", "m1", T0, 1), ("a", "m2", T0, 1)])
+    plan = discovery.crawl_plan(accounts, df, ids(spark, []), 3, platform="br1", batch=1)
+    got = metrics.run_progress(plan.batches, 3, accounts=accounts).orderBy("batch_no").collect()
+    assert [(r["accounts_listed"], r["accounts_total"], r["accounts_left"]) for r in got] == [(1, 3, 2)]
+
+
 def test_rates_are_zero_while_no_time_has_passed(spark):
     batches = spark.createDataFrame(
         [(0, 2, 3, 3, 3, True), (1, 2, 1, 1, 1, True), (2, 2, 0, 9, 0, False)],

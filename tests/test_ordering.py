@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from match_lake.operators import ordering
 
 
-@pytest.mark.parametrize("single_task_rows", [10, 300, 100_000])
-def test_numbers_follow_the_order_however_many_slices(spark, single_task_rows):
+@pytest.mark.parametrize("slices", [1, 7, None])
+def test_numbers_follow_the_order_however_many_slices(spark, slices):
     df = spark.range(5_000).select(F.concat(F.lit("k"), F.xxhash64("id").cast("string")).alias("k"))
-    numbered = ordering.number_rows(df, ["k"], "pos", single_task_rows=single_task_rows)
+    numbered = ordering.number_rows(df, ["k"], "pos", slices=slices)
     got = {r["k"]: r["pos"] for r in numbered.collect()}
     assert [k for k, _ in sorted(got.items(), key=lambda kv: kv[1])] == sorted(got)
     assert sorted(got.values()) == list(range(5_000))
@@ -18,25 +18,22 @@ def test_numbers_follow_the_order_however_many_slices(spark, single_task_rows):
 
 def test_numbers_over_two_columns_with_a_hot_first_one(spark):
     df = spark.range(3_000).select(F.when(F.col("id") < 2_000, 7).otherwise(F.col("id") % 5).alias("a"), F.col("id").cast("string").alias("b"))
-    numbered = ordering.number_rows(df, ["a", "b"], "pos", single_task_rows=100)
+    numbered = ordering.number_rows(df, ["a", "b"], "pos", slices=16)
     got = sorted((r["pos"], r["a"], r["b"]) for r in numbered.collect())
     assert [(a, b) for _, a, b in got] == sorted((a, b) for _, a, b in got)
     assert [p for p, _, _ in got] == list(range(3_000))
 
 
-def test_slices_of_a_hot_prefix_stay_small(spark):
-    df = spark.range(20_000).select(F.format_string("same-long-prefix-%08d", "id").alias("k"))
-    total, keys = ordering.sample_keys(df, ["k"])
-    assert total == 20_000 and len(keys) <= ordering.SAMPLE_KEYS
-    cuts = [keys[i * len(keys) // 16] for i in range(1, 16)]
-    sizes = [r["count"] for r in ordering.slice_of(df, ["k"], cuts).groupBy("_slice").count().collect()]
-    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+def test_slices_stay_even(spark):
+    df = spark.range(300_000).select(F.format_string("same-long-prefix-%08d", F.xxhash64("id") % 10**8).alias("k"), "id")
+    sizes = [r["count"] for r in ordering.sliced(df, ["k", "id"], 32).groupBy("_slice").count().collect()]
+    assert len(sizes) == 32 and max(sizes) < 2 * 300_000 / 32
 
 
 def test_at_most_keeps_the_first_rows(spark):
     df = spark.range(1_000).select((999 - F.col("id")).alias("k"))
-    for single in (10, 100_000):
-        got = ordering.number_rows(df, ["k"], "pos", at_most=40, single_task_rows=single)
+    for slices in (1, 10):
+        got = ordering.number_rows(df, ["k"], "pos", at_most=40, slices=slices)
         assert rows(got) == sorted([(i, i) for i in range(40)], key=repr)
 
 
@@ -51,9 +48,7 @@ def test_running_total_over_many_blocks(spark, monkeypatch):
     values = [rng.randint(0, 9) for _ in range(50)]
     df = spark.createDataFrame(list(enumerate(values)), "i bigint, v bigint")
     want = [(i, v, sum(values[:i])) for i, v in enumerate(values)]
-    for bound in (None, 50):
-        got = ordering.running_total(df, "i", {"v": "before"}, bound)
-        assert sorted(tuple(r) for r in got.collect()) == want
+    assert sorted(tuple(r) for r in ordering.running_total(df, "i", {"v": "before"}).collect()) == want
 
 
 @pytest.mark.parametrize("n", [3, 2_000])
@@ -73,8 +68,6 @@ def test_spread_join_equals_a_plain_join(spark):
         assert rows(ordering.spread_join(facts, keyed, "k", "f", how)) == rows(facts.join(keyed, "k", how))
 
 
-def test_first_rows_past_one_task(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "SINGLE_TASK_ROWS", 10)
-    monkeypatch.setattr(ordering.number_rows, "__defaults__", ("pos", None, 10))
+def test_first_rows(spark):
     df = spark.range(300).select((299 - F.col("id")).alias("k"))
     assert rows(ordering.first_rows(df, ["k"], 25)) == sorted([(i,) for i in range(25)], key=repr)

@@ -5,7 +5,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from match_lake import schemas, session
+from match_lake import schemas
 from match_lake.operators import discovery, silver
 from match_lake.plans import jobs
 from match_lake.sources import landing, store, tables
@@ -111,6 +111,13 @@ def test_silver_is_rebuilt_in_full(spark, database):
     assert rows(second.checks.filter("not passed"), "test", "failures") == [("unique", 1)]
 
 
+def test_reading_before_and_after_a_replay(spark, database, tmp_path):
+    one = landing.read_documents(spark, write(tmp_path / "one", {"a.json": doc("m1")}))
+    for _ in range(2):
+        store.store_new(one, database, schemas.MATCHES, "br1", "monday", T0)
+        assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "payload") == [(doc("m1"),)]
+
+
 def stream(spark, folder, database, state, whole=True, kind=schemas.MATCHES, **options):
     arriving = streaming.read_landing_stream(spark, folder, whole)
     streaming.stream_land(arriving, database, kind, "br1", state, fetched_at=T0, whole_files=whole, **options).awaitTermination()
@@ -134,13 +141,6 @@ def test_stream_of_lines_drops_copies_within_one_file(spark, database, tmp_path)
     assert rows(got, "match_id") == [("m1",), ("m2",)]
 
 
-def test_stream_without_the_broadcast(spark, database, tmp_path, monkeypatch):
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
-    folder = write(tmp_path / "in", {f"{i}.json": doc(f"m{i % 5}", i) for i in range(12)})
-    got = stream(spark, folder, database, str(tmp_path / "state"))
-    assert rows(got, "match_id") == [(f"m{i}",) for i in range(5)]
-
-
 def test_a_batch_run_twice_leaves_the_table_as_once(spark, database, tmp_path):
     folder = write(tmp_path / "in", {"a.json": doc("m1"), "b.json": doc("m2")})
     stream(spark, folder, database, str(tmp_path / "one"))
@@ -150,6 +150,53 @@ def test_a_batch_run_twice_leaves_the_table_as_once(spark, database, tmp_path):
     assert rows(got, "match_id") == [("m1",), ("m2",), ("m9",)]
 
 
+def test_streams_of_default_names_keep_what_the_other_stored(spark, database, tmp_path):
+    one = write(tmp_path / "one", {"a.json": doc("m1"), "b.json": doc("m2")})
+    other = write(tmp_path / "other", {"a.json": doc("m3")})
+    stream(spark, one, database, str(tmp_path / "s1"))
+    got = stream(spark, other, database, str(tmp_path / "s2"))
+    assert rows(got, "match_id") == [("m1",), ("m2",), ("m3",)]
+
+
+def test_a_purged_landing_folder_takes_nothing_with_it(spark, database, tmp_path):
+    folder = write(tmp_path / "in", {"a.json": doc("m1")})
+    stream(spark, folder, database, str(tmp_path / "s1"))
+    (tmp_path / "in" / "a.json").unlink()
+    write(tmp_path / "in", {"b.json": doc("m2")})
+    got = stream(spark, folder, database, str(tmp_path / "s2"))
+    assert rows(got, "match_id") == [("m1",), ("m2",)]
+
+
+def test_append_then_load_under_one_name(spark, database, tmp_path):
+    tables.append_bronze(bronze(spark, ["x1"]), bronze(spark, []), database, "batch")
+    arrived = landing.read_documents(spark, write(tmp_path / "in", {"a.json": doc("x2")}))
+    store.store_new(arrived, database, schemas.MATCHES, "br1", "batch", T0)
+    tables.append_bronze(bronze(spark, ["x3"]), bronze(spark, []), database)
+    assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "match_id") == [("x1",), ("x2",), ("x3",)]
+
+
+def test_another_load_of_the_same_name_is_refused(spark, database, tmp_path):
+    one = landing.read_documents(spark, write(tmp_path / "one", {"a.json": doc("m1")}))
+    other = landing.read_documents(spark, write(tmp_path / "other", {"a.json": doc("m2")}))
+    store.store_new(one, database, schemas.MATCHES, "br1", "monday", T0)
+    with pytest.raises(ValueError, match="another load"):
+        store.store_new(other, database, schemas.MATCHES, "br1", "monday", T0)
+    assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "match_id") == [("m1",)]
+
+
+def test_compact_leaves_the_same_documents_in_one_ingest(spark, database, tmp_path):
+    for i in range(4):
+        tables.append_bronze(bronze(spark, [f"m{i}"]), bronze(spark, []), database)
+    tables.append_bronze(bronze(spark, ["k1"], "kr"), bronze(spark, []), database)
+    folder = write(tmp_path / "in", {"a.json": doc("m9")})
+    before = rows(stream(spark, folder, database, str(tmp_path / "s")), "match_id", "platform", "payload")
+    assert tables.compact(spark, database, schemas.MATCHES, "br1") == 5
+    assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "match_id", "platform", "payload") == before
+    assert spark.table(f"{database}.matches").select("platform", tables.INGEST).distinct().count() == 2
+    assert tables.compact(spark, database, schemas.MATCHES, "br1") == 0
+    assert rows(stream(spark, folder, database, str(tmp_path / "s2")), "match_id", "platform", "payload") == before
+
+
 def test_a_load_run_again_replaces_only_itself(spark, database, tmp_path):
     one = landing.read_documents(spark, write(tmp_path / "one", {"a.json": doc("m1"), "b.json": doc("m2")}))
     other = landing.read_documents(spark, write(tmp_path / "other", {"a.json": doc("m2", 9), "b.json": doc("m3")}))
