@@ -13,7 +13,7 @@ needs. The longer the prefix, the more shared shingles a candidate must show.
 4. Each class lengthens its prefix by l - 1 for the l in 1 to `deepest` with the lowest
    estimated cost, which is the postings read plus, for at most (postings / l) candidates, a
    share of its size for verification.
-5. First every class is verified against the smallest class of its shingles, one pair per
+5. First every class is verified against the most central class of its shingles, one pair per
    class. Components of these links are found, and only pairs across components, with one
    side outside its shingle's main component, are joined, filtered by size and
    position, counted against l and verified on the full sets. So a large group of near
@@ -182,14 +182,18 @@ def _needed(x: str, y: str, percent: int) -> Column:
 
 
 def _fits(x: str, y: str, percent: int) -> Column:
-    """Whether sizes and rare shingles allow a link; x is not larger than y."""
-    common = F.least(F.col(f"{x}.n") - F.col(f"{x}.rare"), F.col(f"{y}.n") - F.col(f"{y}.rare"))
-    return (F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (common >= _needed(x, y, percent))
+    """Whether sizes and rare shingles allow a link."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    common = F.least(nx - F.col(f"{x}.rare"), ny - F.col(f"{y}.rare"))
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (common >= _needed(x, y, percent))
 
 
 def _star_links(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of classes with the smallest class of the shingles they share: one pair per class."""
-    pivots = posts.groupBy("token").agg(F.min(F.struct("n", "class", "rare")).alias("x"))
+    """Links of classes with the most central class of the shingles they share: one pair per class.
+
+    The class with the fewest shingles of its own is most central: of near copies, the text they come from.
+    """
+    pivots = posts.groupBy("token").agg(F.min(F.struct("rare", "n", "class")).alias("x"))
     met = posts.alias("y").join(pivots, "token").filter((F.col("y.class") != F.col("x.class")) & _fits("x", "y", percent))
     times = met.groupBy("class", F.col("x.class").alias("pivot")).agg(F.count(F.lit(1)).alias("times"))
     best = times.groupBy("class").agg(F.max_by("pivot", F.struct("times", "pivot")).alias("pivot"))
@@ -202,7 +206,7 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
         "part", F.coalesce("root", "class")
     ).drop("root")
     main = labelled.groupBy("token").agg(
-        F.min_by("part", F.struct("n", "class")).alias("main"), F.min("part").alias("low"), F.max("part").alias("high")
+        F.min_by("part", F.struct("rare", "n", "class")).alias("main"), F.min("part").alias("low"), F.max("part").alias("high")
     ).filter("low <> high").select("token", "main")
     rows = labelled.join(main, "token").withColumn("stray", F.col("part") != F.col("main"))
     least_smaller = F.ceil(F.col("x.n") * (2 * percent) / F.lit(100 + percent))
