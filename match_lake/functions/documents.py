@@ -78,6 +78,30 @@ def flatten_payload(
     )
 
 
+def parse_mode(strict: bool) -> dict[str, str]:
+    """from_json options: raise on a document that cannot be read in full, or give NULLs."""
+    return {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+
+def array_rejects(df: DataFrame, schema: str, path: str, payload: str = "payload", keep: Iterable[str] = ()) -> DataFrame:
+    """Documents that give no rows, or rows with gaps, when the array at `path` is unfolded, with the reason.
+
+    `reason` is "malformed" for a missing payload or one that is not JSON, "missing" where the document
+    has no such array, and "wrong type" where the array is there but some value was not readable.
+    Documents not named here are read in full.
+    """
+    doc = F.from_json(payload, f"{schema}, {MALFORMED} string", {"columnNameOfCorruptRecord": MALFORMED})
+    # an object without the array still names the fields it has; text that is no object does not
+    is_object = F.coalesce(F.try_parse_json(payload).isNotNull(), F.lit(False))
+    parsed = df.select(*keep, F.col(payload).alias("_text"), is_object.alias("_is_json"), F.explode(F.array(doc)).alias(DOC))
+    rows = F.col(f"{DOC}.{path}")
+    reason = (
+        F.when(~F.col("_is_json"), F.lit("malformed")).when(rows.isNull(), F.lit("missing"))
+        .when(F.col(f"{DOC}.{MALFORMED}").isNotNull(), F.lit("wrong type"))
+    )
+    return parsed.select(*keep, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def flatten_rejects(
     df: DataFrame,
     fields: Mapping[str, tuple[str, str]],

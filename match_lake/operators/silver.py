@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from match_lake import schemas
-from match_lake.functions.documents import flatten_payload, flatten_rejects
+from match_lake.functions.documents import array_rejects, flatten_payload, flatten_rejects, parse_mode
 from match_lake.functions.identity import player_identity
 
 KEYS = ("match_id", "platform", "fetched_at")
@@ -36,7 +36,9 @@ def participants(
     `columns` limits the statistics taken (schemas.SCOREBOARD for the scoreboard);
     only those are read from the document. The identifiers that differ by API key
     are left out unless asked for, because joining on them across rows gives
-    wrong results.
+    wrong results. Strict parsing raises on a document that cannot be read in full;
+    otherwise it gives no players, or players with gaps, and shows up in
+    participant_rejects.
     """
     fields = dict(schemas.PARTICIPANT_FIELDS)
     if key_scoped:
@@ -44,9 +46,7 @@ def participants(
     if columns is not None:
         wanted = {*columns, "game_name", "tag_line"}
         fields = {field: (name, kind) for field, (name, kind) in fields.items() if name in wanted}
-    one = ", ".join(f"{field}: {kind}" for field, (_, kind) in fields.items())
-    schema = f"info struct<participants: array<struct<{one}>>>"
-    doc = F.from_json("payload", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    doc = F.from_json("payload", _seats_schema(fields), parse_mode(strict))
     seats = matches.select(*KEYS, F.posexplode(doc["info"]["participants"]).alias("_seat", "_p"))
     out = list(columns) if columns is not None else [name for name, _ in fields.values()]
     source = {name: field for field, (name, _) in fields.items()}
@@ -58,6 +58,16 @@ def participants(
     )
 
 
+def participant_rejects(matches: DataFrame) -> DataFrame:
+    """Match documents whose players cannot be read, or not in full, with the reason."""
+    return array_rejects(matches, _seats_schema(schemas.PARTICIPANT_FIELDS), "info.participants", "payload", KEYS)
+
+
+def _seats_schema(fields: Mapping[str, tuple[str, str]]) -> str:
+    one = ", ".join(f"{field}: {kind}" for field, (_, kind) in fields.items())
+    return f"info struct<participants: array<struct<{one}>>>"
+
+
 def stable_view(matches: DataFrame) -> DataFrame:
     """Players of a match without anything that varies with the API key or the fetch.
 

@@ -77,7 +77,14 @@ SCOREBOARD = (
     "minions_killed", "gold_earned", "damage_to_champions", "vision_score", "win",
 )
 
-FRAME_STATS = {"totalGold": "gold", "xp": "xp", "minionsKilled": "cs"}
+# Field of a participant's frame: our column and its type.
+FRAME_STATS = {
+    "totalGold": ("gold", "int"),
+    "xp": ("xp", "int"),
+    "minionsKilled": ("cs", "int"),
+    "level": ("level", "int"),
+    "position": ("position", "struct<x: int, y: int>"),
+}
 
 TIMELINE_EVENT = (
     "type: string, timestamp: bigint, killerId: int, victimId: int, "

@@ -74,7 +74,8 @@ def parse_ladder_page(
     """Ladder pages (JSON arrays) to league_entries rows, one per entry.
 
     Only the account id is required; entries without one are left to
-    ladder_rejects. An empty page, the end of a bucket, gives nothing.
+    ladder_rejects, and pages that are no ladder page to page_rejects. An empty page, the end
+    of a bucket, gives nothing.
     """
     stamp = F.current_timestamp() if fetched_at is None else instant(fetched_at)
     entries = _entries(pages, value).withColumnsRenamed(schemas.LADDER_RENAMES)
@@ -87,5 +88,21 @@ def ladder_rejects(pages: DataFrame, value: str = "value") -> DataFrame:
     return _entries(pages, value).filter(F.col("puuid").isNull())
 
 
+def page_rejects(pages: DataFrame, value: str = "value") -> DataFrame:
+    """Pages that are not JSON ("malformed") or hold values of the wrong type ("wrong type"), with the reason."""
+    unread = F.from_json(value, schemas.LADDER_PAGE).isNull()
+    columns = schemas.LADDER_PAGE.removeprefix("array<struct<").removesuffix(">>")
+    loose = ", ".join(f"{c.split(':')[0]}: string" for c in columns.split(", "))
+    texts, typed = F.from_json(value, f"array<struct<{loose}>>"), F.from_json(value, schemas.LADDER_PAGE)
+
+    def given(entries: Column) -> Column:
+        names = [c.split(":")[0] for c in columns.split(", ")]
+        return F.transform(entries, lambda e: F.array(*[e[n].isNotNull() for n in names]))
+
+    is_json = F.coalesce(F.try_parse_json(value).isNotNull(), F.lit(False))
+    reason = F.when(~is_json | texts.isNull(), F.lit("malformed")).when(unread | (given(texts) != given(typed)), F.lit("wrong type"))
+    return pages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def _entries(pages: DataFrame, value: str) -> DataFrame:
     return pages.select(F.inline(F.from_json(value, schemas.LADDER_PAGE)))

@@ -170,3 +170,17 @@ def test_snapshot_totals_tell_levels_from_missing_values(spark):
 
 def test_iso_text(spark):
     assert spark.range(1).select(iso_utc(F.lit(1704067200))).first()[0] == "2024-01-01T00:00:00+00:00"
+
+
+def test_damaged_documents_are_rejected_not_lost(spark):
+    good = '{"info": {"participants": [{"riotIdGameName": "a", "kills": 3}]}}'
+    texts = [good, good[:30], "not json", "", None, '{"info": {}}', "[]", good.replace("3", '"x"'), '{"info": {"participants": []}}']
+    docs = spark.createDataFrame([(f"m{i}", "br1", None, t) for i, t in enumerate(texts)], schemas.TABLES[schemas.MATCHES])
+    rejects = dict(rows(silver.participant_rejects(docs), "match_id", "reason"))
+    assert rejects == {
+        "m1": "malformed", "m2": "malformed", "m3": "malformed", "m4": "malformed", "m5": "missing", "m6": "missing", "m7": "wrong type",
+    }
+    kept = {r["match_id"] for r in silver.participants(docs).collect()}
+    assert kept == {"m0", "m7"}
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        silver.participants(docs.filter("match_id = 'm7'"), strict=True).collect()

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timezone
 
+import pytest
 from conftest import plan_of, rows
 
 from match_lake import schemas
@@ -99,3 +100,16 @@ def test_documents_without_frames_give_nothing(spark):
 def test_only_the_wanted_part_is_read(spark):
     assert "participantFrames" not in plan_of(timeline.event_types(docs(spark, DOC)))
     assert "killerId" not in plan_of(timeline.event_types(docs(spark, DOC)))
+
+
+def test_damaged_timelines_are_rejected_not_lost(spark):
+    good = '{"info": {"frames": [{"participantFrames": {"1": {"xp": 5, "level": 2, "position": {"x": 3, "y": 4}}}, "events": [{"type": "ITEM_PURCHASED", "itemId": 7, "timestamp": 9}]}]}}'
+    texts = [good, good[:50], None, '{"info": {}}', good.replace("5", '"x"')]
+    docs = spark.createDataFrame([(f"m{i}", "br1", None, t) for i, t in enumerate(texts)], schemas.TABLES[schemas.TIMELINES])
+    assert dict(rows(timeline.timeline_rejects(docs), "match_id", "reason")) == {"m1": "malformed", "m2": "malformed", "m3": "missing", "m4": "wrong type"}
+    frames = timeline.participant_frames(docs.limit(1), ["xp", "level", "position"])
+    assert rows(frames.select("xp", "level", "position.x", "position.y")) == [(5, 2, 3, 4)]
+    (event,) = timeline.events(docs.limit(1), with_text=True).collect()
+    assert event["type"] == "ITEM_PURCHASED" and event["timestamp"] == 9 and '"itemId":7' in event["event"]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        timeline.events(docs.filter("match_id = 'm1'"), strict=True).collect()

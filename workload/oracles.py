@@ -84,7 +84,8 @@ DEFERRED = "SELECT r.batch_no, r.match_id FROM ranked r JOIN costs c USING (batc
 PROGRESS = """SELECT batch_no, accounts, found, unseen, CAST(fetched AS BIGINT) AS fetched,
       CAST(sum(accounts) OVER w AS BIGINT) AS accounts_listed, CAST(sum(fetched) OVER w AS BIGINT) AS matches_written,
       CAST(sum(accounts + 2 * fetched) OVER w AS BIGINT) AS budget_used,
-      sum(accounts + 2 * fetched) OVER w > 12000 AS over_budget
+      sum(accounts + 2 * fetched) OVER w > 12000 AS over_budget, (SELECT count(*) FROM numbered) AS accounts_total,
+      CAST((SELECT count(*) FROM numbered) - sum(accounts) OVER w AS BIGINT) AS accounts_left
     FROM costs WHERE listed WINDOW w AS (ORDER BY batch_no)"""
 LANDED = f"""SELECT account AS puuid, 'br1' AS platform, {AS_OF} AS listed_at FROM numbered
     WHERE batch_no NOT IN (
@@ -92,6 +93,9 @@ LANDED = f"""SELECT account AS puuid, 'br1' AS platform, {AS_OF} AS listed_at FR
         SELECT 'M_' || o_orderkey FROM orders WHERE o_totalprice > 499950)
       OR match_id NOT IN (SELECT 'M_' || o_orderkey FROM orders))"""
 
+LANDED_CUT = f"""SELECT account AS puuid, 'br1' AS platform, {AS_OF} AS listed_at
+    FROM numbered JOIN costs USING (batch_no) WHERE listed AND fetched = unseen"""
+
 RECENT_LISTING = f"SELECT * FROM ({LISTING}) WHERE played_at > {SINCE}"
 MOVED_LISTING = f"SELECT * REPLACE (played_at + INTERVAL 8240 DAY AS played_at) FROM ({LISTING})"
 LAST_LISTED = f"SELECT puuid, max(listed_at) AS last FROM ({CHECKPOINT}) WHERE listed_at <= {AS_OF} GROUP BY 1"
@@ -107,6 +111,11 @@ COHORT_NUMBERED = f"""
     SELECT puuid AS account, (row_number() OVER (ORDER BY puuid) - 1) // 100 AS batch_no FROM (
       SELECT puuid FROM ({latest(ladder(), 'puuid')}) WHERE tier IN {GOLD_UP} ORDER BY puuid LIMIT 1000)"""
 
+COHORT_FIXED = f"""
+    SELECT puuid AS account, (row_number() OVER (ORDER BY puuid) - 1) // 100 AS batch_no FROM (
+      SELECT puuid FROM ({latest(ladder(), 'puuid')}) WHERE tier IN {GOLD_UP} ORDER BY puuid LIMIT 1000)
+    WHERE puuid NOT IN (SELECT puuid FROM ({CHECKPOINT}) WHERE listed_at > {AS_OF} - INTERVAL 8760 HOUR)"""
+
 SILVER = """
     SELECT 'M_' || o_orderkey AS match_id, 'br1' AS platform, TIMESTAMP '2024-02-01 06:00:00' AS fetched_at,
            o_orderdate AS created_at, o_custkey % 1800 + 900 AS duration_seconds,
@@ -242,9 +251,16 @@ ORACLES: dict[str, str] = {
     "crawl_deferred": crawl(NUMBERED, RECENT_LISTING, 12_000, DEFERRED),
     "run_progress": crawl(NUMBERED, RECENT_LISTING, 12_000, PROGRESS),
     "landed_checkpoint": crawl(NUMBERED, RECENT_LISTING, None, LANDED),
+    "landed_checkpoint_cut": crawl(NUMBERED, RECENT_LISTING, 12_000, LANDED_CUT),
     "flatten_event_props": f"SELECT event_id, {K} AS k, CAST(NULL AS VARCHAR) AS missing FROM events",
     "silver_matches": SILVER,
-    "silver_matches_permissive": f"{SILVER} WHERE o_orderstatus = 'F'",
+    "silver_matches_permissive": f"""
+        SELECT match_id, platform, CASE o_orderstatus WHEN 'F' THEN duration_seconds ELSE -1 END AS duration_seconds,
+          CASE WHEN o_orderstatus IN ('F', 'P') THEN queue_id ELSE -1 END AS queue_id,
+          CASE WHEN o_orderstatus IN ('F', 'P') THEN game_version ELSE 'none' END AS game_version,
+          o_orderstatus NOT IN ('F', 'P') AS no_created_at, o_orderstatus <> 'F' AS no_duration_seconds,
+          o_orderstatus NOT IN ('F', 'P') AS no_queue_id
+        FROM ({SILVER}) JOIN (SELECT 'M_' || o_orderkey AS match_id, o_orderstatus FROM orders) USING (match_id)""",
     "silver_rejects": """
         SELECT 'M_' || o_orderkey AS match_id, 'br1' AS platform,
                CASE o_orderstatus WHEN 'P' THEN 'duration_seconds' ELSE 'malformed' END AS reason
@@ -252,6 +268,15 @@ ORACLES: dict[str, str] = {
     "newest": f"SELECT match_id, created_at, queue_id FROM ({SILVER}) ORDER BY created_at DESC, match_id LIMIT 25",
     "participants": PLAYERS,
     "scoreboard": f"SELECT * EXCLUDE (fetched_at, player, tag_line, champion_id) FROM ({PLAYERS})",
+    "participant_rejects": """
+        SELECT 'M_' || o_orderkey AS match_id, 'br1' AS platform,
+          CASE o_orderkey % 12 WHEN 0 THEN 'malformed' WHEN 4 THEN 'missing' ELSE 'wrong type' END AS reason
+        FROM orders WHERE o_orderkey % 12 IN (0, 4, 8)""",
+    "timeline_rejects": f"""
+        SELECT 'M_' || (conv_id * 10 + turn) AS match_id, CASE (conv_id * 10 + turn) % 12 WHEN 4 THEN 'missing' ELSE 'malformed' END AS reason
+        FROM conversations WHERE (conv_id * 10 + turn) % 12 IN (0, 4, 8)
+        UNION ALL
+        SELECT DISTINCT match_id, 'kept' FROM ({SEATS}) WHERE CAST(substr(match_id, 3) AS BIGINT) % 12 NOT IN (0, 4, 8)""",
     "key_scoped_ids": """
         SELECT 'M_' || o_orderkey AS match_id, CAST(s AS INTEGER) AS seat, 'k1-' || o_orderkey || '-' || s AS puuid,
                's-k1-' || o_orderkey AS summoner_id FROM orders, range(1, 11) r(s)""",
@@ -300,13 +325,15 @@ ORACLES: dict[str, str] = {
         for t, c in (("documents", "text"), ("pages", "html"), ("conversations", "text")))),
     "storage_by_source": shares(f"SELECT source AS table_name, {MEASURE.format('text')} FROM documents GROUP BY source"),
     "land_payloads": """
-        SELECT match_id, 'br1' AS platform, TIMESTAMP '2024-02-01 06:00:00' AS fetched_at, CAST(chars AS INTEGER) AS chars FROM (
-          SELECT 'M_' || o_orderkey AS match_id, length(
+        SELECT match_id, 'br1' AS platform, TIMESTAMP '2024-02-01 06:00:00' AS fetched_at, CAST(length(payload) AS INTEGER) AS chars,
+          sha256(payload) AS payload_sha256 FROM (
+          SELECT 'M_' || o_orderkey AS match_id, (
             '{"metadata":{"matchId":"M_' || o_orderkey || '"},"info":{"gameCreation":' || epoch_ms(o_orderdate)
-            || ',"gameDuration":' || (o_custkey % 1800 + 900) || ',"queueId":420,"mapId":1' || (o_orderkey % 3)
-            || ',"gameVersion":"14.' || month(o_orderdate) || '"}}') AS chars FROM orders
-          UNION ALL SELECT 'page-' || page_id, length(html) FROM pages)""",
-    "landing_rejects": "SELECT page_id FROM pages",
+            || ',"gameDuration":' || (o_custkey % 1800 + 900) || ',"queueId":' || CASE o_orderstatus WHEN 'F' THEN 420 ELSE 450 END || ',"mapId":1' || (o_orderkey % 3)
+            || ',"gameVersion":"14.' || month(o_orderdate) || '"}}') AS payload FROM orders
+          UNION ALL SELECT 'page-' || page_id, html FROM pages)""",
+    "landing_rejects": "SELECT page_id FROM pages WHERE page_id % 3 <> 0",
+    "page_rejects": "SELECT page_id, 'malformed' AS reason FROM pages",
     "parse_ladder_page": PAGES,
     "append_bronze": """
         SELECT 'matches' AS table_name, count(*) AS written, count(*) AS stored, count(DISTINCT o_orderkey) AS ids FROM orders
@@ -316,6 +343,8 @@ ORACLES: dict[str, str] = {
     "read_or_empty": f"SELECT match_id FROM ({LISTING})",
     "rebuild_silver": SILVER,
     "stream_land": SILVER,
+    "cohort_crawl_fixed": crawl(
+        COHORT_FIXED, f"SELECT * FROM ({MOVED_LISTING}) WHERE played_at > {AS_OF} - INTERVAL 8760 HOUR", 1_500, FETCH),
     "cohort_crawl": crawl(COHORT_NUMBERED, since_last(24 * 365), 1_500, FETCH),
     "personal_crawl": f"""
         SELECT account, match_id, played_at, queue_id, pos, pos // 50 AS fetch_no, CAST(pos % 4 AS INTEGER) AS worker FROM (

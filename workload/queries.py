@@ -186,7 +186,7 @@ def crawl_deferred(spark, sf):
 
 @query
 def run_progress(spark, sf):
-    return metrics.run_progress(_crawl(spark, sf, BUDGET).batches, BUDGET)
+    return metrics.run_progress(_crawl(spark, sf, BUDGET).batches, BUDGET, accounts=given.accounts(spark, sf))
 
 
 @query
@@ -218,7 +218,8 @@ def silver_matches(spark, sf):
 @query
 def silver_matches_permissive(spark, sf):
     rows = silver.flatten_matches(given.damaged_headers(spark, sf), strict=False)
-    return plain_time(rows, "fetched_at", "created_at").filter(F.col("duration_seconds").isNotNull())
+    told = [F.col(c).isNull().alias(f"no_{c}") for c in ("created_at", "duration_seconds", "queue_id")]
+    return no_gaps(rows.select("match_id", "platform", "duration_seconds", "queue_id", "game_version", *told).na.fill("none", ["game_version"]))
 
 
 @query
@@ -273,6 +274,18 @@ def identity(spark, sf):
     return people.select("player", "half", name.alias("game_name"), tag.alias("tag_line"))
 
 
+@query
+def participant_rejects(spark, sf):
+    """Every fourth match document damaged: cut off, without players, a text for a number."""
+    number = F.substr("match_id", F.lit(3)).cast("bigint") % 12
+    payload = (
+        F.when(number == 0, F.substr("payload", F.lit(1), F.lit(200))).when(number == 4, F.lit('{"info": {"queueId": 420}}'))
+        .when(number == 8, F.regexp_replace("payload", '"kills":[0-9]+', '"kills":"many"')).otherwise(F.col("payload"))
+    )
+    docs = given.match_docs(spark, sf).withColumn("payload", payload)
+    return silver.participant_rejects(docs).select("match_id", "platform", "reason")
+
+
 @query
 def with_timeline(spark, sf):
     matches = silver.flatten_matches(given.match_headers(spark, sf)).select(
@@ -300,6 +313,20 @@ def timeline_frames(spark, sf):
     return timeline.participant_frames(given.timeline_docs(spark, sf))
 
 
+@query
+def timeline_rejects(spark, sf):
+    """Every fourth timeline damaged; what is kept plus what is rejected is everything."""
+    number = F.substr("match_id", F.lit(3)).cast("bigint") % 12
+    payload = (
+        F.when(number == 0, F.substr("payload", F.lit(1), F.lit(60))).when(number == 4, F.lit('{"info": {}}'))
+        .when(number == 8, F.lit(None)).otherwise(F.col("payload"))
+    )
+    docs = given.timeline_docs(spark, sf).withColumn("payload", payload)
+    rejects = timeline.timeline_rejects(docs).select("match_id", "reason")
+    kept = timeline.participant_frames(docs, ["xp"], strict=False).select("match_id").distinct()
+    return rejects.union(kept.select("match_id", F.lit("kept")))
+
+
 @query
 def pivot_gold(spark, sf):
     return no_gaps(timeline.pivot_metric(timeline.participant_frames(given.timeline_docs(spark, sf), ["totalGold"])))
@@ -323,7 +350,7 @@ def gold_tail(spark, sf):
 
 @query
 def pivot_embeddings(spark, sf):
-    """The first ten components as one column each, rows first unfolded."""
+    """All 64 components as one column each, rows first unfolded."""
     cells = given.table(spark, sf, "embeddings").select(
         "vec_id", F.posexplode("embedding").alias("component", "value")
     ).withColumn("value", F.col("value").cast("double"))
@@ -436,15 +463,15 @@ def land_payloads(spark, sf):
         F.col("html").alias("value"), F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".json")).alias("file_name")
     )
     rows = landing.to_bronze(named.unionByName(pages), given.PLATFORM, given.FETCHED_AT)
-    sized = rows.withColumn("chars", F.length("payload")).drop("payload")
-    return plain_time(sized, "fetched_at")
+    told = rows.withColumns({"chars": F.length("payload"), "payload_sha256": F.sha2(F.col("payload").cast("binary"), 256)})
+    return plain_time(told.drop("payload"), "fetched_at")
 
 
 @query
 def landing_rejects(spark, sf):
     pages = given.table(spark, sf, "pages").select(
         F.col("html").alias("value"),
-        F.when(F.col("page_id") < 0, F.lit("x.json")).otherwise(F.lit(".json")).alias("file_name"), "page_id",
+        F.when(F.col("page_id") % 3 == 0, F.lit("x.json")).otherwise(F.lit(".json")).alias("file_name"), "page_id",
     )
     return landing.landing_rejects(pages).select("page_id")
 
@@ -455,6 +482,14 @@ def parse_ladder_page(spark, sf):
     return no_gaps(plain_time(rows, "fetched_at"))
 
 
+@query
+def page_rejects(spark, sf):
+    """Raw web pages among the ladder pages: none of them is a ladder page."""
+    pages = given.table(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
+    fine = given.ladder_pages(spark, sf).select(F.lit(-1).cast("bigint").alias("page_id"), "value")
+    return landing.page_rejects(pages.unionByName(fine)).select("page_id", "reason")
+
+
 @query
 def append_bronze(spark, sf):
     """Both tables written, and what each holds afterwards next to what the write counted."""
@@ -540,6 +575,21 @@ def cohort_crawl(spark, sf):
     return _cohort_crawl(spark, sf, per_account=True).plan.fetch
 
 
+@query
+def cohort_crawl_fixed(spark, sf):
+    """The look-back of the default job."""
+    return _cohort_crawl(spark, sf).plan.fetch
+
+
+@query
+def landed_checkpoint_cut(spark, sf):
+    """As landed_checkpoint, under a budget: the batch it cuts and the ones after it have not landed."""
+    plan = _crawl(spark, sf, BUDGET)
+    orders = given.table(spark, sf, "orders")
+    landed = orders.select(given.prefixed("M_", "o_orderkey").alias("match_id"), F.lit(given.PLATFORM).alias("platform"))
+    return plain_time(discovery.landed_checkpoint(plan, landed, landed, given.AS_OF, given.PLATFORM), "listed_at")
+
+
 @query
 def personal_crawl(spark, sf):
     """Named players, found among the customers, with all their unseen matches."""
