@@ -61,9 +61,12 @@ def select_cohort(
     lookback_hours: int,
     platform: str | None = None,
     tie_breakers: Sequence[Column | str] = (),
+    queue: str | None = None,
 ) -> DataFrame:
     """Accounts to list: (puuid, tier, league_points).
 
+    `queue` keeps one ladder; without it an account's latest row counts, of whatever queue.
+
     The order of steps is part of the result. The latest row is taken before the
     tier filter, so an account that left the tier drops out; the limit is taken
     before the exclusion, so a restart lists what is left of the same cohort
@@ -71,6 +74,8 @@ def select_cohort(
     comparable across tiers and would change the cohort from run to run.
     """
     narrow = on_platform(ladder, platform)
+    if queue is not None:
+        narrow = narrow.filter(F.col("queue_type") == queue)
     latest = latest_per_key(narrow, ("puuid",), "fetched_at", tie_breakers)
     ranked = tier_filter(latest, tiers).select("puuid", "tier", "league_points")
     cohort = first_rows(ranked, ["puuid"], max_accounts)

@@ -86,6 +86,26 @@ def differences(one: DataFrame, other: DataFrame) -> DataFrame:
     return counted.groupBy(*one.columns).agg(F.sum("_n").alias("surplus")).filter(F.col("surplus") != 0)
 
 
+
+def rendition_differences(one: DataFrame, other: DataFrame) -> DataFrame:
+    """`differences` of the stable views of two sets of match documents.
+
+    Documents are compared by a digest of their players first, one narrow row each; only
+    the matches whose digests differ are unfolded.
+    """
+    keys = ["match_id", "platform"]
+
+    def digests(matches: DataFrame, side: str) -> DataFrame:
+        doc = F.from_json("payload", _seats_schema(schemas.PARTICIPANT_FIELDS))
+        rows = matches.select(*keys, F.xxhash64(doc["info"]["participants"]).cast("decimal(38,0)").alias("_digest"))
+        return rows.groupBy(*keys).agg(F.struct(F.count(F.lit(1)), F.sum("_digest")).alias(side))
+
+    both = digests(one, "_one").join(digests(other, "_other"), keys, "full_outer")
+    suspects = both.filter(~F.col("_one").eqNullSafe(F.col("_other"))).select(*keys)
+    views = [stable_view(docs.join(suspects, keys, "left_semi")) for docs in (one, other)]
+    return differences(*views)
+
+
 def player_matches(matches: DataFrame) -> DataFrame:
     """(player, match_id, platform): who played what, by the stable identity."""
     return participants(matches, ()).filter(F.col("player").isNotNull()).select("player", "match_id", "platform")

@@ -37,18 +37,20 @@ def cohort_crawl(
     workers: int = 1,
     per_account: bool = False,
     pending: DataFrame | None = None,
+    queue: str | None = None,
 ) -> Crawl:
     """What a forward-only run for a ranked cohort lists and fetches.
 
     With `timelines`, a match counts as stored only when both its documents are.
     `per_account` replaces the fixed look-back by each account's own last listing
     (and so leaves nobody out for having been listed recently). `pending` takes the
-    deferred ids of the run before, which a fixed look-back may not reach any more.
+    deferred ids of the run before, which a fixed look-back may not reach any more. `queue`
+    names the ladder the tiers are read from.
     """
     nobody = checkpoint.limit(0)
     chosen = cohort.select_cohort(
         ladder, nobody if per_account else checkpoint, tiers, max_accounts, as_of, lookback_hours, platform,
-        ["tier", "league_points"],
+        ["tier", "league_points"], queue,
     )
     if per_account:
         recent = cohort.since_last_listed(listing, checkpoint, as_of, lookback_hours, platform)

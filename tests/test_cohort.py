@@ -2,6 +2,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
 from match_lake import schemas
 from match_lake.operators import cohort
@@ -109,3 +110,11 @@ def test_empty_tables(spark):
         empty(spark, schemas.TABLES[schemas.LEAGUE_ENTRIES]), empty(spark, schemas.TABLES[schemas.LISTED_ACCOUNTS]), "GOLD+", 5, T0, 24, "br1"
     )
     assert got.count() == 0
+
+
+def test_a_second_queue_does_not_move_accounts_between_tiers(spark):
+    solo = ladder(spark, [("a", "br1", "DIAMOND", 1, T0), ("b", "br1", "GOLD", 2, T0)])
+    flex = ladder(spark, [("a", "br1", "IRON", 3, T0 + HOUR), ("b", "br1", "DIAMOND", 4, T0 + HOUR)]).withColumn("queue_type", F.lit("FLEX"))
+    both = solo.union(flex)
+    assert rows(cohort.select_cohort(both, listed(spark, []), "DIAMOND", 10, T0, 24, "br1", queue="Q"), "puuid") == [("a",)]
+    assert rows(cohort.select_cohort(both, listed(spark, []), "DIAMOND", 10, T0, 24, "br1", queue="FLEX"), "puuid") == [("b",)]

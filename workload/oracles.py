@@ -281,6 +281,8 @@ ORACLES: dict[str, str] = {
         SELECT 'M_' || o_orderkey AS match_id, CAST(s AS INTEGER) AS seat, 'k1-' || o_orderkey || '-' || s AS puuid,
                's-k1-' || o_orderkey AS summoner_id FROM orders, range(1, 11) r(s)""",
     "stable_view": f"SELECT * EXCLUDE (fetched_at), 0 AS surplus FROM ({PLAYERS}) WHERE player IS NULL",
+    "stable_view_changed": f"""
+        SELECT * EXCLUDE (fetched_at), 1 AS surplus FROM ({PLAYERS}) WHERE CAST(substr(match_id, 3) AS BIGINT) % 500 = 0""",
     "player_matches": f"SELECT player, count(*) AS matches FROM ({PLAYERS}) GROUP BY player",
     "identity": """
         SELECT c_mktsegment || '#' || c_name AS player, c_name || '#' || nullif(c_mktsegment, 'BUILDING') AS half,

@@ -253,9 +253,15 @@ def key_scoped_ids(spark, sf):
 @query
 def stable_view(spark, sf):
     """What differs between the documents of one match fetched with two keys: nothing."""
-    one = silver.stable_view(given.match_docs(spark, sf, "k1"))
-    other = silver.stable_view(given.match_docs(spark, sf, "k2"))
-    return silver.differences(one, other)
+    return silver.rendition_differences(given.match_docs(spark, sf, "k1"), given.match_docs(spark, sf, "k2"))
+
+
+@query
+def stable_view_changed(spark, sf):
+    """As stable_view, with every 500th match missing from the second set: its players are the difference."""
+    number = F.substr("match_id", F.lit(3)).cast("bigint")
+    other = given.match_docs(spark, sf, "k2").filter(number % 500 != 0)
+    return silver.rendition_differences(given.match_docs(spark, sf, "k1"), other)
 
 
 @query
