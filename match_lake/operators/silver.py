@@ -14,14 +14,15 @@ from match_lake.functions.identity import player_identity
 KEYS = ("match_id", "platform", "fetched_at")
 
 
-def flatten_matches(matches: DataFrame, strict: bool = True) -> DataFrame:
+def flatten_matches(matches: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Top-level facts of every stored match, one row per stored row.
 
     A match stored twice gives two rows; compose with cohort.latest_per_key for a
     current view. Strict parsing raises on a value of the wrong type; otherwise it
-    becomes NULL and the row shows up in match_rejects.
+    becomes NULL and the row shows up in match_rejects. `keep` names further columns to
+    carry along.
     """
-    return flatten_payload(matches, schemas.MATCH_FIELDS, "payload", KEYS, strict)
+    return flatten_payload(matches, schemas.MATCH_FIELDS, "payload", (*KEYS, *keep), strict)
 
 
 def match_rejects(matches: DataFrame) -> DataFrame:

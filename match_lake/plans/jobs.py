@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from match_lake import schemas
@@ -133,3 +133,34 @@ def silver_build(
     """Rebuild the silver table in full and run its data tests on the result."""
     built = tables.rebuild(silver.flatten_matches(matches, strict), database, table, fmt)
     return SilverBuild(built, silver.match_rejects(matches), quality.run_checks(built))
+
+
+def silver_refresh(
+    spark: SparkSession, database: str, table: str = "silver_by_load", strict: bool = True, fmt: str = "parquet"
+) -> DataFrame:
+    """The silver table with what has been stored since it was last refreshed; the same rows as a full rebuild.
+
+    It is laid out by platform and ingest like the documents, so only loads it does not have yet are
+    parsed, and those that compaction replaced go. A load that ran again stored the same matches, so what
+    was parsed of it stays.
+    """
+    source, name = (tables.qualified(database, t) for t in (schemas.MATCHES, table))
+    layout = ["platform", tables.INGEST]
+    spark.catalog.refreshTable(source)
+    bronze = spark.table(source)
+    parsed = silver.flatten_matches(bronze, strict, [tables.INGEST])
+    if not spark.catalog.tableExists(name):
+        parsed.limit(0).write.format(fmt).partitionBy(*layout).saveAsTable(name)
+    here, there = bronze.select(*layout).distinct(), spark.table(name).select(*layout).distinct()
+    # one row per load
+    gone = there.join(here, layout, "left_anti").collect()
+    new = cut_lineage(here.join(there, layout, "left_anti"), "loads")
+    silver.flatten_matches(bronze.join(new, layout, "left_semi"), strict, [tables.INGEST]).write.format(fmt).mode(
+        "append"
+    ).partitionBy(*layout).saveAsTable(name)
+    for row in gone:
+        spark.sql(
+            f"alter table {name} drop if exists partition (platform = :p, {tables.INGEST} = :i)", {"p": row[0], "i": row[1]}
+        )
+    spark.catalog.refreshTable(name)
+    return spark.table(name).drop(tables.INGEST)

@@ -118,6 +118,21 @@ def test_reading_before_and_after_a_replay(spark, database, tmp_path):
         assert rows(tables.read_or_empty(spark, database, schemas.MATCHES), "payload") == [(doc("m1"),)]
 
 
+def test_refreshed_silver_equals_a_rebuild(spark, database):
+    def same():
+        full = silver.flatten_matches(tables.read_or_empty(spark, database, schemas.MATCHES))
+        return rows(jobs.silver_refresh(spark, database).select(*full.columns)) == rows(full)
+
+    tables.append_bronze(bronze(spark, ["m1", "m2"]), bronze(spark, []), database)
+    assert same()
+    tables.append_bronze(bronze(spark, ["m3"]), bronze(spark, []), database)
+    tables.append_bronze(bronze(spark, ["m1"], "kr"), bronze(spark, []), database)
+    assert same() and same()
+    tables.compact(spark, database, schemas.MATCHES, "br1")
+    assert same()
+    assert jobs.silver_refresh(spark, database).count() == 4
+
+
 def stream(spark, folder, database, state, whole=True, kind=schemas.MATCHES, **options):
     arriving = streaming.read_landing_stream(spark, folder, whole)
     streaming.stream_land(arriving, database, kind, "br1", state, fetched_at=T0, whole_files=whole, **options).awaitTermination()

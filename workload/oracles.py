@@ -344,6 +344,7 @@ ORACLES: dict[str, str] = {
     "append_checkpoint": f"SELECT 'acct-' || p_partkey AS puuid, 'br1' AS platform, {AS_OF} AS listed_at FROM part",
     "read_or_empty": f"SELECT match_id FROM ({LISTING})",
     "rebuild_silver": SILVER,
+    "refresh_silver": SILVER,
     "stream_land": SILVER,
     "cohort_crawl_fixed": crawl(
         COHORT_FIXED, f"SELECT * FROM ({MOVED_LISTING}) WHERE played_at > {AS_OF} - INTERVAL 8760 HOUR", 1_500, FETCH),
