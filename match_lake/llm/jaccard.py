@@ -38,9 +38,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from match_lake.llm.components import component_labels
+from match_lake.llm.steps import Steps
 from match_lake.llm.wordhash import mixed, shingles, word_groups
 from match_lake.llm.words import free_names
-from match_lake.session import cut_lineage
 
 WORDS = 5
 PERCENT = 80
@@ -231,17 +231,19 @@ def similar_components(
     extra: int = EXTRA_PERCENT, deepest: int = DEEPEST,
 ) -> DataFrame:
     """One row per row of `docs`: id, text_hash, n_shingles, component_id (the smallest id reachable by links), stays."""
-    outlines = cut_lineage(_outlines(docs, id_col, text, k, percent, extra), "outlines")
+    steps = Steps(docs.sparkSession)
+    outlines = steps.cut(_outlines(docs, id_col, text, k, percent, extra), "outlines")
     # Of a class every row has the same set.
     classes = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(F.struct("id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     ).withColumn("node", F.xxhash64("class"))
-    possible = cut_lineage(_possible(classes, percent, extra), "possible")
-    sets = cut_lineage(_sets(docs, possible, id_col, text, k), "sets")
-    posts = cut_lineage(_postings(sets, percent, deepest), "postings")
-    stars = cut_lineage(_star_links(posts, sets, percent), "stars")
-    crossing = _verified(_cross_pairs(posts, component_labels(stars), percent), sets, percent)
-    labels = component_labels(stars.union(crossing))
+    possible = steps.cut(_possible(classes, percent, extra), "possible")
+    sets = steps.cut(_sets(docs, possible, id_col, text, k), "sets")
+    posts = steps.cut(_postings(sets, percent, deepest), "postings")
+    stars = steps.cut(_star_links(posts, sets, percent), "stars")
+    crossing = _verified(_cross_pairs(posts, component_labels(stars, steps, "star_labels"), percent), sets, percent)
+    labels = component_labels(stars.union(crossing), steps)
+    steps.remove("possible", "sets", "postings", "stars", "star_labels")
     # Names of components with more than one class, then of classes with more than one row.
     row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
     groups = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("members"))

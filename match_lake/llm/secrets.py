@@ -20,7 +20,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from match_lake.session import cut_lineage, scratch_dir
+from match_lake.llm.steps import Steps
+from match_lake.session import scratch_dir
 
 K = 10
 BINS = 1_024
@@ -166,9 +167,10 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank from 1, vec_id, score of every row of `vectors` for which `is_query` holds."""
     spark = vectors.sparkSession
-    rows = cut_lineage(quantised(vectors, id_col, vector), "vectors")
+    steps = Steps(spark)
+    rows = steps.cut(quantised(vectors, id_col, vector), "vectors")
     wanted = quantised(vectors.filter(is_query), id_col, vector).dropDuplicates(["id"])
-    wanted = cut_lineage(wanted, "queries")
+    wanted = steps.cut(wanted, "queries")
     blocks = -(-wanted.count() // queries_at_once)
     out = scratch_dir(spark, "ranked")
     kind = "query_id bigint, rank int, vec_id bigint, score bigint"
@@ -185,4 +187,5 @@ def top_k(
         order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         best = _best(rows, ids, queries, kth, k).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         best.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(out)
+    steps.remove("vectors", "queries")
     return spark.read.schema(kind).parquet(out)

@@ -6,6 +6,7 @@ from corpora import edited, frame, odd_texts, sentence
 
 from match_lake.llm import jaccard
 from match_lake.llm.components import component_labels
+from match_lake.llm.steps import Steps
 
 
 def shingle_set(text, k):
@@ -97,5 +98,5 @@ def test_components(spark):
     for a, b in links:
         low, high = sorted((root(a), root(b)))
         parent[high] = low
-    labels = dict(map(tuple, component_labels(spark.createDataFrame(links, "a long, b long")).collect()))
+    labels = dict(map(tuple, component_labels(spark.createDataFrame(links, "a long, b long"), Steps(spark)).collect()))
     assert labels == {x: root(x) for x in parent if root(x) != x}
