@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from match_lake import schemas
