@@ -9,6 +9,7 @@ earlier place; factors of `window` words or more are duplicates.
    windows with one anchor is a fragment; about every ninth word starts one. The index is dealt by
    anchor into reference blocks, one per partition, and holds one entry per fragment.
 2. Fragments whose anchor occurs once in all documents can match nothing and drop out.
+   A fragment that reads like an earlier one of its own document is settled at once, without the index.
 3. Factors. A fragment that reads exactly like an earlier one continues a factor through
    all its windows. Only the first of equal fragments goes on.
 4. Boundaries. A factor ends inside a fragment. So where first fragments of one anchor differ, their
@@ -41,8 +42,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from match_lake.llm import wordhash
+from match_lake.llm.steps import Steps
 from match_lake.llm.words import free_names
-from match_lake.session import cut_lineage
 
 WINDOW = 20
 GRAM = 4
@@ -97,24 +98,53 @@ def _split(rows: np.ndarray, n: int, *values: pa.Array) -> list[pa.ListArray]:
     return [pa.ListArray.from_arrays(ends, v) for v in values]
 
 
+def own_repeats(row: np.ndarray, start: np.ndarray, count: np.ndarray, read: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Which fragments read like an earlier one of their document, and these as stretches: row, start, words, ref_start.
+
+    Each refers to the one before that reads alike, so the repeats of a repeated phrase form one stretch.
+    """
+    order = np.lexsort((start, read, row))
+    again = np.zeros(len(row), dtype=bool)
+    before = np.full(len(row), -1)
+    same = (row[order][1:] == row[order][:-1]) & (read[order][1:] == read[order][:-1])
+    again[order[1:][same]] = True
+    before[order[1:][same]] = start[order[:-1][same]]
+    at = np.flatnonzero(again)
+    r, s, e, ref = row[at], start[at], start[at] + count[at] + window - 1, before[at]
+    joins = np.zeros(len(at), dtype=bool)
+    joins[1:] = (r[1:] == r[:-1]) & (s[1:] - ref[1:] == s[:-1] - ref[:-1]) & (s[1:] <= e[:-1])
+    first = np.flatnonzero(~joins)
+    last = np.append(first[1:] - 1, len(at) - 1) if len(at) else first
+    return again, r[first], s[first], e[last] - s[first], ref[first]
+
+
 def _index(docs: DataFrame, id_col: str, text: str, window: int, gram: int) -> DataFrame:
-    """id, text_hash, anchors, reads, starts, counts: one row per document with a window."""
+    """id, text_hash, anchors, reads, starts, counts, own: one row per document with a window."""
+    own_kind = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref_start", pa.int32())])
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, words in wordhash.word_groups(batch.column("text"), group=GROUP):
                 row, start, count, anchor, read = fragments(words, window, gram)
+                again, *own = own_repeats(row, start, count, read, window)
+                new = ~again
                 lists = _split(
-                    row, hi - lo, pa.array(anchor.view(np.int64)), pa.array(read.view(np.int64)),
-                    pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16)),
+                    row[new], hi - lo, pa.array(anchor[new].view(np.int64)), pa.array(read[new].view(np.int64)),
+                    pa.array(start[new].astype(np.int32)), pa.array(count[new].astype(np.int16)),
                 )
+                stretches = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in own[1:]], fields=list(own_kind))
+                lists += _split(own[0], hi - lo, stretches)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, hi - lo), batch.column("text_hash").slice(lo, hi - lo), *lists],
-                    names=["id", "text_hash", "anchors", "reads", "starts", "counts"],
+                    names=["id", "text_hash", "anchors", "reads", "starts", "counts", "own"],
                 )
 
     rows = _rows(docs, id_col, text)
     id_type = rows.schema["id"].dataType.simpleString()
-    kinds = "anchors array<bigint>, reads array<bigint>, starts array<int>, counts array<smallint>"
+    kinds = (
+        "anchors array<bigint>, reads array<bigint>, starts array<int>, counts array<smallint>, "
+        "own array<struct<start int, words int, ref_start int>>"
+    )
     return rows.mapInArrow(index, f"id {id_type}, text_hash bigint, {kinds}").filter(F.size("anchors") > 0)
 
 
@@ -155,8 +185,9 @@ def _window_hashes(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, w
 
 
 def duplicate_pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """id, text_hash, start, words, ref_id, ref_hash, ref_start: stretches that read like an earlier place."""
-    index = cut_lineage(_index(docs, id_col, text, window, gram), "index")
+    """id, text_hash, pieces (start, words, ref_id, ref_hash, ref_start) of every document that repeats something."""
+    steps = Steps(docs.sparkSession)
+    index = steps.cut(_index(docs, id_col, text, window, gram), "index")
     repeated = (
         index.select(F.explode("anchors").alias("anchor")).groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("anchor")
@@ -165,9 +196,15 @@ def duplicate_pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
         "id", "text_hash", F.explode(F.arrays_zip("anchors", "reads", "starts", "counts")).alias("e")
     ).select("id", "text_hash", F.col("e.anchors").alias("anchor"), F.col("e.reads").alias("read"),
              F.col("e.starts").alias("start"), F.col("e.counts").alias("count"))
-    matched = cut_lineage(entries.join(repeated, "anchor", "left_semi"), "matched")
+    matched = steps.cut(entries.join(repeated, "anchor", "left_semi"), "matched")
+    here = [F.col("id").alias("ref_id"), F.col("text_hash").alias("ref_hash")]
+    own = steps.cut(
+        index.filter(F.size("own") > 0).select("id", "text_hash", F.explode("own").alias("o"), *here)
+        .select("id", "text_hash", "o.start", "o.words", "ref_id", "ref_hash", "o.ref_start"), "own",
+    )
+    steps.remove("index")
     place = F.struct("id", "text_hash", "start")
-    firsts = cut_lineage(
+    firsts = steps.cut(
         matched.groupBy("anchor", "read").agg(F.min(place).alias("ref"), F.min("count").alias("count"), F.count(F.lit(1)).alias("n")),
         "firsts",
     )
@@ -179,15 +216,20 @@ def duplicate_pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     ends = firsts.join(split.select("anchor"), "anchor", "left_semi").select(
         F.col("ref.id").alias("id"), F.col("ref.text_hash").alias("text_hash"), F.col("ref.start").alias("start"), "count"
     )
-    windows = cut_lineage(_window_hashes(docs, ends, id_col, text, window).distinct(), "windows")
+    windows = steps.cut(_window_hashes(docs, ends, id_col, text, window).distinct(), "windows")
     earliest = windows.groupBy("hash").agg(F.min(place).alias("ref"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", "ref")
     boundary = windows.join(earliest, "hash").filter(~place.eqNullSafe(F.col("ref"))).select(
         "id", "text_hash", "start", F.lit(window).alias("words"), "ref"
     )
-    return factors.union(boundary).select(
+    found = factors.union(boundary).select(
         "id", "text_hash", "start", "words", F.col("ref.id").alias("ref_id"), F.col("ref.text_hash").alias("ref_hash"),
         F.col("ref.start").alias("ref_start"),
     )
+    # A list holds pieces of one document.
+    piece = F.struct("start", "words", "ref_id", "ref_hash", "ref_start")
+    pieces = steps.cut(found.union(own).groupBy("id", "text_hash").agg(F.collect_list(piece).alias("pieces")), "pieces")
+    steps.remove("matched", "own", "firsts", "windows")
+    return pieces
 
 
 def parse(pieces: list[dict]) -> list[dict]:
@@ -213,10 +255,7 @@ def _read_with_factors(
     kind: str, make: Callable[[list[bytes], np.ndarray, list[dict]], dict],
 ) -> DataFrame:
     """`make` of each row's words, which of them stay, and its factors, beside the columns of `keep`."""
-    pieces = duplicate_pieces(docs, id_col, text, window, gram)
-    named = F.struct("start", "words", "ref_id", "ref_hash", "ref_start")
-    # A list holds pieces of one document.
-    lists = pieces.groupBy("id", "text_hash").agg(F.collect_list(named).alias("pieces")).hint("shuffle_hash").alias("found")
+    lists = duplicate_pieces(docs, id_col, text, window, gram).hint("shuffle_hash").alias("found")
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"), *own).alias("row")
     same = F.col("row.id").eqNullSafe(F.col("found.id")) & (F.col("row.text_hash") == F.col("found.text_hash"))
