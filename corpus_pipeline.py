@@ -5,9 +5,10 @@ shared folder as Parquet and reads again for the next one. All but the last retu
 columns of documents.
 
 1. quality: documents whose score is below 0.3 go. Trained on the labels beside the documents.
-2. exact_dedup: of texts equal up to white space the one with the smallest doc_id stays.
+2. exact_dedup: of texts equal up to white space the one with the smallest doc_id stays, with the
+   rows that repeat it.
 3. near_dedup: of documents linked by a Jaccard similarity of 0.8 on five-word shingles the one
-   with the smallest doc_id stays.
+   with the smallest doc_id stays, and of rows that repeat a doc_id and text a single one.
 4. mixing: each source's documents come as often as its target asks, in training order.
 5. packing: every row gets its length bucket, batch and place.
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from match_lake.llm.components import component_labels
 from match_lake.llm.steps import Steps
 from match_lake.llm.wordhash import mixed, shingles, word_groups
-from match_lake.llm.words import free_names
+from match_lake.llm.words import free_names, one_row_each
 
 WORDS = 5
 PERCENT = 80
@@ -262,10 +262,17 @@ def drop_similar(
     """The rows of `docs` without those that are linked to a row that stays, or through others to it.
 
     Of a component the row with the smallest id stays, of rows sharing it the one with the smallest
-    text hash; rows that repeat both are the same document and all stay.
+    text hash; of rows that repeat both, also texts without words, the one with the smallest hash of all columns.
     """
-    gone, digest = free_names(docs.columns, "_gone", "_digest")
-    found = similar_components(docs, id_col, text, k, percent).filter("not stays")
-    dropped = found.select(F.col(id_col).alias(gone), F.col("text_hash").alias(digest)).distinct()
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col(gone)) & (F.xxhash64(f"`{text}`") == F.col(digest))
-    return docs.join(dropped.hint("shuffle_hash"), same, "left_anti")
+    gone, digest, stays, rows = free_names(docs.columns, "_gone", "_digest", "_stays", "_rows")
+    found = similar_components(docs, id_col, text, k, percent)
+    keys = found.groupBy(F.col(id_col).alias(gone), F.col("text_hash").alias(digest)).agg(
+        F.max("stays").alias(stays), F.count(F.lit(1)).alias(rows)
+    )
+    # Written first, so that its size is known.
+    marks = Steps(docs.sparkSession).cut(keys.filter(~F.col(stays) | (F.col(rows) > 1)).select(gone, digest, stays), "marks")
+    own, hashed = F.col(f"`{id_col}`"), F.xxhash64(f"`{text}`")
+    same = own.eqNullSafe(F.col(gone)) & (hashed == F.col(digest))
+    alone = docs.join(marks.hint("shuffle_hash"), same, "left_anti")
+    repeated = docs.join(marks.filter(F.col(stays)), same, "left_semi")
+    return alone.unionAll(one_row_each(repeated, own, hashed))

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from corpora import edited, frame, odd_texts, sentence
+from pyspark.sql import functions as F
 
 from match_lake.llm import jaccard
 from match_lake.llm.components import component_labels
@@ -80,6 +81,20 @@ def test_one_of_each_group_stays(spark):
             assert [m[0] for m in stay] == [component] or len({m[0] for m in members}) == 1, members
 
 
+def test_one_of_repeated_rows_stays(spark):
+    rng = random.Random(9)
+    texts = [sentence(rng, 40) for _ in range(4)]
+    rows = [(1, texts[0])] * 30 + [(2, texts[0])] * 2 + [(3, texts[1])] + [(None, texts[2])] * 3 + [(4, ""), (4, ""), (5, texts[3]), (5, texts[3])]
+    docs = frame(spark, rows)
+    other = docs.filter("doc_id = 5").limit(1).withColumn("lang", F.lit("xx"))
+    docs = docs.unionAll(other)
+    left = jaccard.drop_similar(docs)
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(1, texts[0]), (3, texts[1]), (None, texts[2]), (4, ""), (5, texts[3])])
+    again = jaccard.drop_similar(docs.repartition(7))
+    assert Counter(map(tuple, left.collect())) == Counter(map(tuple, again.collect()))
+    assert all(tuple(r) in set(map(tuple, docs.collect())) for r in left.collect())
+
+
 def test_empty_table(spark):
     docs = frame(spark, odd_texts()).limit(0)
     assert found(docs) == [] and jaccard.drop_similar(docs).count() == 0
