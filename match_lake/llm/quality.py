@@ -7,9 +7,11 @@ every filter in the chunk goes through a rectifier into one logit per chunk. A t
 is a logistic function of the mean, the lowest and the highest logit of its chunks.
 
 Training runs on the driver, on a bounded sample: at most `sample` labelled rows of each label, the
-first by a hash of their ids, and at most `chunks_per_doc` chunks of each, evenly spread, cut out on
-the executors. Filters are trained on chunks, both labels weighing the same; the final three
-weights on a part of the sample set aside, labels weighing as in all labelled rows. Seeds are
+first by a hash of their ids. A fifth of them is set aside. Filters are trained on chunks of the others, cut out on
+the executors, both labels weighing the same: all of them, or where these are more than `chunks_per_doc` a row on
+average, the same share of every text, evenly spread over the whole of it. The final three weights are fitted on the rows
+set aside, on the features that scoring computes, over all chunks of their whole texts, labels
+weighing as in all labelled rows. Seeds are
 fixed and rows ordered, so reruns agree. Scoring covers all rows, chunk by chunk, in memory
 bounded by a fixed number of chunks.
 
@@ -165,27 +167,38 @@ def is_held_out(id_col: str) -> Column:
     return F.crc32(key.cast("binary")) % HELD_OUT_PARTS == 0
 
 
-def training_chunks(
-    docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, sample: int, chunks_per_doc: int
-) -> tuple[list, dict[int, int]]:
-    """Chunks of the sample, as (id, label, chunk bytes) in a fixed order, and the number of labelled rows per label."""
+def sampled_texts(
+    docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, sample: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """id, text, label, aside of the sample, and the number of labelled rows per label."""
     usable = labels.filter(F.col(f"`{label}`").isin(0, 1) & ~is_held_out(id_col)).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")
     )
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     turn = [F.xxhash64("id"), F.col("id")]
     picked = usable.filter("label = 0").orderBy(*turn).limit(sample).unionAll(usable.filter("label = 1").orderBy(*turn).limit(sample))
+    picked = picked.withColumn("aside", F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0)
     # At most 2 * sample narrow rows.
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id")
+    return texts, counts
 
+
+def n_chunks(text: str) -> Column:
+    """The number of chunks of a text."""
+    return F.greatest(F.lit(1), F.ceil((F.coalesce(F.octet_length(text), F.lit(0)) - OVERLAP) / (CHUNK - OVERLAP)))
+
+
+def training_chunks(texts: DataFrame, share: float) -> list[tuple]:
+    """That share of the chunks of every text, at least one, as (id, label, chunk bytes) in a fixed order."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, kinds, chunks = [], [], []
             for value, one, kind in zip(batch.column("text"), batch.column("id"), batch.column("label")):
                 data = np.frombuffer((value.as_py() or "").encode(), np.uint8)
                 starts = chunk_starts(len(data))
-                if len(starts) > chunks_per_doc:
-                    starts = starts[np.linspace(0, len(starts) - 1, chunks_per_doc).astype(int)]
+                n = max(1, round(share * len(starts)))
+                if n < len(starts):
+                    starts = starts[((np.arange(n) + 0.5) * len(starts) / n).astype(int)]
                 for start in starts:
                     ids.append(one.as_py())
                     kinds.append(kind.as_py())
@@ -194,7 +207,22 @@ def training_chunks(
 
     id_type = texts.schema["id"].dataType.simpleString()
     rows = texts.select("id", "label", "text").mapInArrow(read, f"id {id_type}, label int, chunk binary")
-    return sorted((r["id"], r["label"], bytes(r["chunk"])) for r in rows.collect()), counts
+    return sorted((r["id"], r["label"], bytes(r["chunk"])) for r in rows.collect())
+
+
+def whole_features(net: Network, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The features of whole texts as scoring computes them, and their labels, in a fixed order: three numbers a row."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = [doc_features(net, data, bounds) for _, _, data, bounds in text_groups(batch.column("text"))]
+            columns = np.concatenate([np.empty((0, 3)), *every]).astype(np.float64).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label"), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["id", "label", "mean", "low", "high"]
+            )
+
+    id_type = texts.schema["id"].dataType.simpleString()
+    rows = sorted(map(tuple, texts.select("id", "label", "text").mapInArrow(read, f"id {id_type}, label int, mean double, low double, high double").collect()))
+    return np.array([r[2:] for r in rows], float).reshape(len(rows), 3), np.array([r[1] for r in rows], float)
 
 
 def train(
@@ -202,30 +230,25 @@ def train(
     sample: int = SAMPLE, chunks_per_doc: int = CHUNKS_PER_DOC, epochs: int = EPOCHS,
 ) -> Network | float:
     """The network, or a constant score where the labels are of one kind."""
-    rows, counts = training_chunks(docs, labels, id_col, text, label, sample, chunks_per_doc)
-    kinds = {kind for _, kind, _ in rows}
+    texts, counts = sampled_texts(docs, labels, id_col, text, label, sample)
+    sizes = texts.groupBy("label", "aside").agg(F.count(F.lit(1)).alias("rows"), F.sum(n_chunks("text")).alias("chunks")).collect()
+    kinds = {r["label"] for r in sizes}
     if len(kinds) < 2:
         return float(kinds.pop()) if kinds else 0.5
+    filters_on = aside = texts
+    if len(sizes) == 4:  # both labels on both sides
+        filters_on, aside = texts.filter("not aside"), texts.filter("aside")
+        sizes = [r for r in sizes if not r["aside"]]
+    share = min(1.0, chunks_per_doc * sum(r["rows"] for r in sizes) / sum(r["chunks"] for r in sizes))
+    rows = training_chunks(filters_on, share)
     data = np.frombuffer(b"".join(c for _, _, c in rows), np.uint8)
     ends = np.cumsum([len(c) for _, _, c in rows])
     chunks = cut(data, ends - np.array([len(c) for _, _, c in rows]), ends)
     y = np.array([kind for _, kind, _ in rows], np.float32)
-    ids = [i for i, _, _ in rows]
-    doc = np.concatenate([[0], np.cumsum([a != b for a, b in zip(ids[1:], ids[:-1])])]).astype(int)
-    aside = (doc * 2654435761 % 2**32) % 5 == 0
-    if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
-        aside = np.ones(len(y), dtype=bool)
-        use = aside
-    else:
-        use = ~aside
-    share = y[use].mean()
-    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    net = train_filters(chunks[use], y[use], weight[use], epochs)
-    logits = net.logits(chunks[aside])
-    names, first = np.unique(doc[aside], return_index=True)
-    n = np.diff(np.append(first, len(logits)))
-    features = np.stack([np.add.reduceat(logits, first) / n, np.minimum.reduceat(logits, first), np.maximum.reduceat(logits, first)], axis=1)
-    truth = y[aside][first]
+    good = y.mean()
+    weight = np.where(y == 1, 0.5 / good, 0.5 / (1 - good)).astype(np.float32)
+    net = train_filters(chunks, y, weight, epochs)
+    features, truth = whole_features(net, aside)
     natural = counts[1] / (counts[0] + counts[1])
     weigh = np.where(truth == 1, natural / truth.mean(), (1 - natural) / (1 - truth.mean()))
     net.mix = fit_mix(features, truth, weigh)

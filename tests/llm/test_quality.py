@@ -62,6 +62,33 @@ def test_gradient_learns_and_scores_whole_texts(spark):
     assert odd.limit(0).select(quality.score(model, F.col("text"))).count() == 0
 
 
+def test_weights_are_fitted_on_whole_texts(spark, monkeypatch):
+    """Long texts differ from short ones only in their length; the last weights see what scoring sees."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(200):
+        good, n = rng.random() < 0.6, rng.choice([1, 1, 20])
+        body = [sentence(rng, 150) for _ in range(n)]
+        rows.append((i, " ".join(t if good or rng.random() < 0.3 and n > 1 else t.upper().replace(" ", "!! ") for t in body)))
+        labels.append((i, int(good)))
+    fitted = []
+    fit = quality.fit_mix
+    monkeypatch.setattr(quality, "fit_mix", lambda features, *rest: fitted.append(features) or fit(features, *rest))
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality.train(docs, marks)
+    whole = []
+    for _, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        whole += [tuple(f) for f in quality.doc_features(model, data, np.array([0, len(data)]))]
+    whole = np.array(whole)
+    assert all(np.abs(whole - f).max(axis=1).min() < 1e-3 for f in fitted[0])
+    truth = dict(labels)
+    long = {i for i, t in rows if len(t) > 6 * quality.CHUNK}
+    out = docs.select("doc_id", quality.is_held_out("doc_id").alias("h"), quality.score(model, F.col("text")).alias("s")).collect()
+    held = [(r.s >= 0.5) == truth[r.doc_id] for r in out if r.h and r.doc_id in long]
+    assert len(held) >= 5 and np.mean(held) > 0.9
+
+
 def test_held_out_labels_train_nothing(spark):
     rng = random.Random(7)
     rows, labels = corpus(rng, 120)
