@@ -3,7 +3,11 @@
 A text is normalised to lower-case letters and digits with single spaces; its bag of pairs of
 neighbouring words is compared with that of each template: 2 * common / (own + template's), where a pair
 that both have several times is common as often as the one that has it less often. Units compared
-are every line of a document and the document as a whole.
+are every line of a document and the document as a whole; with `windows` also runs of as many words as
+a template has, across lines and within them. They are placed so that a word pair stands where the template has it, for every
+pair of the template found; of windows that overlap the best one per template counts, at the line it begins on.
+A window over a line that matches by itself and is long enough for that template is left to the line, and a
+document that matches as a whole has no windows.
 
 The number of words alone prunes: a unit of n pairs and a template of b can only reach the threshold if
 200 * min(n, b) >= percent * (n + b). Pairs are made of the units that fit some template, and compared with
@@ -103,12 +107,36 @@ def known_templates() -> list[tuple[str, list[str]]]:
     return [(name, [f"{a} {b}" for a, b in zip(w, w[1:])]) for name, w in ((name, template_words(t)) for name, t in TEMPLATES)]
 
 
-def template_column() -> Column:
+def least_common(b: int, percent: int) -> int:
+    """Of a template of b pairs, as many at least are in any unit at the threshold."""
+    return -(-percent * b // (200 - percent))
+
+
+def template_column(percent: int) -> Column:
+    """name, pairs, and how many different pairs any unit at the threshold holds at least."""
     return F.array(*[
-        F.struct(F.lit(name).alias("name"), F.array(*[F.lit(b) for b in pairs]).alias("pairs")) for name, pairs in known_templates()
+        F.struct(
+            F.lit(name).alias("name"), F.array(*[F.lit(b) for b in pairs]).alias("pairs"),
+            F.lit(len(set(pairs)) - len(pairs) + least_common(len(pairs), percent)).alias("least"),
+        )
+        for name, pairs in known_templates()
     ])
 
 
+# Frequent words, which tell little.
+PLAIN = frozenset("the of and or to in a is this any for with not be you that it by on as at are from may must have if all an no can see work free use".split())
+
+
+def telling_words(percent: int) -> list[str]:
+    """Words of which every unit at the threshold has one: without them too few pairs of its template are left."""
+    chosen: set[str] = set()
+    for _, pairs in known_templates():
+        while sum(not chosen & set(p.split()) for p in pairs) >= least_common(len(pairs), percent):
+            left = [w for p in pairs if not chosen & set(p.split()) for w in p.split()]
+            chosen.add(max(left, key=lambda w: (w not in PLAIN and not w.isdigit(), left.count(w), len(w), w)))
+    return sorted(chosen)
+
+
 def fits(n: Column | int, b: Column | int, percent: int) -> Column | bool:
     if isinstance(n, int):
         return 200 * min(n, b) >= percent * (n + b)
@@ -124,8 +152,11 @@ def times(pairs: Column, pair: Column) -> Column:
     return F.size(F.filter(pairs, lambda p: p == pair))
 
 
-def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of `docs`: id, matches (license, line, percent) at or above `percent`; line 0 is the whole text."""
+def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT, windows: bool = False) -> DataFrame:
+    """One row per row of `docs`: id, matches (license, line, percent) at or above `percent`; line 0 is the whole text.
+
+    With `windows` also licences that are a part of a longer text or line, at the line they begin on.
+    """
     sizes = [len(pairs) for _, pairs in known_templates()]
     possible = F.array(*[F.lit(any(fits(n, b, percent) for b in sizes)) for n in range(1 + max(sizes) * (200 - percent) // percent)])
 
@@ -151,11 +182,52 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
     found = found.select("id", "lines", fitting.alias("units"), (words - 1).alias("n"))
     whole = F.struct(F.lit(0).alias("line"), F.array_join(F.filter("lines", lambda line: line != ""), " ").alias("text"), F.col("n"))
     is_unit = (F.size("lines") > 1) & (F.col("n") > 0) & F.coalesce(F.get(possible, F.greatest(F.col("n"), F.lit(0))), F.lit(False))
-    found = found.select("id", F.when(is_unit, F.concat(F.array(whole), F.col("units"))).otherwise(F.col("units")).alias("units"))
+    found = found.select("id", "lines", F.when(is_unit, F.concat(F.array(whole), F.col("units"))).otherwise(F.col("units")).alias("units"))
     paired = F.transform("units", lambda u: F.struct(u["line"].alias("line"), u["n"].alias("n"), pairs_of(u["text"]).alias("pairs")))
-    found = found.select("id", paired.alias("units"), template_column().alias("templates"))
+    found = found.select("id", "lines", paired.alias("units"), template_column(percent).alias("templates"))
     matches = F.filter(F.flatten(F.transform("units", scores)), lambda m: m["percent"] >= percent)
-    return found.select(F.col("id").alias(id_col), F.array_sort(F.array_distinct(matches)).alias("matches"))
+    if not windows:
+        return found.select(F.col("id").alias(id_col), F.array_sort(F.array_distinct(matches)).alias("matches"))
+    found = found.select("id", "lines", "units", matches.alias("matches"))
+    own = F.filter("units", lambda u: F.exists("matches", lambda m: m["line"] == u["line"]))
+    telling = f"(?:^| )(?:{'|'.join(telling_words(percent))})(?: |$)"
+    may_hold = F.exists("lines", lambda line: line.rlike(telling)) & ~F.exists("matches", lambda m: m["line"] == 0)
+    # Of the many documents without a telling word none of the following is computed.
+    by_line = F.transform("lines", lambda line, i: F.when(line == "", F.array().cast("array<struct<word:string,line:int>>")).otherwise(
+        F.transform(F.split(line, " "), lambda word: F.struct(word.alias("word"), (i + 1).alias("line")))
+    ))
+    found = found.select("id", "matches", F.transform(own, lambda u: F.struct(u["line"].alias("line"), u["n"].alias("n"))).alias("own"), F.when(may_hold, F.flatten(by_line)).alias("words"))
+    found = found.select("id", "matches", "own", F.col("words.line").alias("at"), F.when(
+        F.size("words") > 1, pairs_of(F.array_join(F.col("words.word"), " "))
+    ).alias("own_pairs"))
+    # What of a template a window at the threshold may lack at most leaves this many of its different pairs.
+    held = F.filter(template_column(percent), lambda t: F.size(F.array_intersect("own_pairs", t["pairs"])) >= t["least"])
+    found = found.select("id", "matches", "own", "at", "own_pairs", F.when(F.col("own_pairs").isNotNull(), held).alias("templates"))
+
+    def passages(t: Column) -> Column:
+        b = F.size(t["pairs"])
+        # Each pair of the text that the template has, as often as the template has it.
+        starts = F.array_distinct(F.flatten(F.transform("own_pairs", lambda pair, i: F.transform(
+            F.filter(F.transform(t["pairs"], lambda p, j: F.when(p == pair, j)), lambda j: j.isNotNull()), lambda j: F.greatest(F.lit(0), i - j)
+        ))))
+        cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice("own_pairs", s + 1, b).alias("pairs")))
+        near = F.filter(cut, lambda c: F.size(F.array_intersect(c["pairs"], t["pairs"])) >= t["least"])
+        rated = F.transform(near, lambda c: F.struct(
+            F.floor(-common(c["pairs"], t["pairs"]) * 200 / (F.size(c["pairs"]) + b)).cast("int").alias("order"), c["start"].alias("start"), F.size(c["pairs"]).alias("n"),
+            F.floor(common(c["pairs"], t["pairs"]) * 200 / (F.size(c["pairs"]) + b)).cast("int").alias("percent"),
+            F.element_at("at", c["start"] + 1).alias("line"), F.element_at("at", c["start"] + F.size(c["pairs"]) + 1).alias("last"),
+        ))
+        good = F.filter(rated, lambda c: (c["percent"] >= percent) & ~F.exists(
+            "own", lambda u: (u["line"] >= c["line"]) & (u["line"] <= c["last"]) & fits(u["n"], b, percent)
+        ))
+        best = F.aggregate(
+            F.array_sort(good), F.array().cast("array<struct<order:int,start:int,n:int,percent:int,line:int,last:int>>"),
+            lambda taken, c: F.when(F.exists(taken, lambda o: (c["start"] <= o["start"] + o["n"]) & (o["start"] <= c["start"] + c["n"])), taken).otherwise(F.concat(taken, F.array(c))),
+        )
+        return F.transform(best, lambda c: F.struct(t["name"].alias("license"), c["line"].alias("line"), c["percent"].alias("percent")))
+
+    inside = F.coalesce(F.flatten(F.transform("templates", passages)), F.array().cast("array<struct<license:string,line:int,percent:int>>"))
+    return found.select(F.col("id").alias(id_col), F.array_sort(F.array_distinct(F.concat("matches", inside))).alias("matches"))
 
 
 def summary(found: DataFrame) -> DataFrame:

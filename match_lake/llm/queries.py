@@ -72,7 +72,7 @@ def op8_lempel_ziv_repeats(spark, sf_dir):
 
 @query
 def op9_license_notices(spark, sf_dir):
-    return licenses.summary(licenses.find_licenses(table(spark, sf_dir, "documents")))
+    return licenses.summary(licenses.find_licenses(table(spark, sf_dir, "documents"), windows=True))
 
 
 @query

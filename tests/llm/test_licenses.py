@@ -44,6 +44,30 @@ def test_against_unpruned_comparison(spark):
     assert all("MIT" in found[i] for i in (1001, 1002, 1003, 1004, 1005))
 
 
+def wrapped(text, n=12):
+    words = text.split()
+    return "\n".join(" * " + " ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def test_licences_within_longer_texts(spark):
+    mit, zlib = (max((t for n, t in licenses.TEMPLATES if n == name), key=len) for name in ("MIT", "Zlib"))
+    prose = "some words of prose about the software and its licence as is\n" * 40
+    rows = [
+        (1, f"/*\n{wrapped(mit)}\n */\n{prose}"), (2, f"{prose}{wrapped(zlib)}\n{prose}"), (3, f"{mit} {mit}"), (4, f"{wrapped(mit)}\n{prose}{wrapped(mit)}"),
+        (5, "(c) 2020 X. Released under the MIT License. See LICENSE for more details."),
+        (6, f"{prose}{wrapped(mit.replace('sublicense', 'sublicense or even rent'))}\n{prose}"), (7, prose), (8, "under the MIT, or so " * 9),
+        (9, "prose\nReleased under the MIT license\nmore prose"), (10, mit), (11, None),
+    ]
+    docs = frame(spark, rows)
+    got = {r.doc_id: [(m.license, m.line) for m in r.matches] for r in licenses.find_licenses(docs, windows=True).collect()}
+    assert got == {
+        1: [("MIT", 2)], 2: [("Zlib", 41)], 3: [("MIT", 1), ("MIT", 9)], 4: [("MIT", 1), ("MIT", got[4][1][1])], 5: [("MIT", 1)], 6: [("MIT", 41)], 7: [], 8: [],
+        9: [("MIT", 2)], 10: [("MIT", 0)], 11: [],
+    }
+    plain = {r.doc_id: r.matches for r in licenses.find_licenses(docs).collect()}
+    assert sorted(i for i in plain if plain[i]) == [9, 10]
+
+
 def test_known_texts():
     assert all(matches(t) for i, t in texts() if i in (1, 2, 3, 4, 5, 6, 12))
     assert not any(matches(t) for i, t in texts() if i in (8, 9, 10, 11))
