@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, jaccard, licenses, mixing, packing, pii, quality, secrets, substring, topk
+from match_lake.llm import exact_dedup, jaccard, licenses, mixing, packing, pii, quality, resampling, secrets, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +82,8 @@ def op10_curriculum_mix(spark, sf_dir):
     return plan.select(
         F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken", start.alias("first_position")
     )
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
