@@ -49,3 +49,21 @@ select doc_id, source, size, source_size, target,
   coalesce(2.0::double * part / (ramp_start + sqrt(ramp_start * ramp_start + 2.0::double * (ramp_end - ramp_start) * part)), 0.0::double) as first_position
 from timed
 """
+
+ORACLES["op12_line_dedup"] = r"""
+with numbered as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), lines as (
+  select r, doc_id, unnest(lines) as line, unnest(range(len(lines))) as pos from numbered
+), keyed as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines
+), common as (
+  select key from keyed where length(key) >= 1 group by key having count(distinct r) >= 10
+), marked as (
+  select keyed.*, common.key is not null as gone from keyed left join common using (key)
+)
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (gone))::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by r, doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.llm import exact_dedup, jaccard, licenses, mixing, packing, pii, quality, resampling, secrets, substring, topk
+from match_lake.llm import exact_dedup, jaccard, licenses, linededup, mixing, packing, pii, quality, resampling, secrets, substring, topk, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +87,16 @@ def op10_curriculum_mix(spark, sf_dir):
 @query
 def op11_importance_resampling(spark, sf_dir):
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = linededup.drop_common_lines(docs, batches=linededup.file_batches(docs))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
