@@ -13,7 +13,7 @@ from match_lake.functions.moments import instant
 from match_lake.operators import cohort, discovery, metrics, quality, silver
 from match_lake.operators.ordering import number_rows, spread_join
 from match_lake.session import cut_lineage
-from match_lake.sources import landing, tables
+from match_lake.sources import landing, manifest, store, tables
 
 
 class Crawl(NamedTuple):
@@ -138,29 +138,29 @@ def silver_build(
 def silver_refresh(
     spark: SparkSession, database: str, table: str = "silver_by_load", strict: bool = True, fmt: str = "parquet"
 ) -> DataFrame:
-    """The silver table with what has been stored since it was last refreshed; the same rows as a full rebuild.
+    """The silver table brought up to what is stored now; the same rows as a full rebuild.
 
-    It is laid out by platform and ingest like the documents, so only loads it does not have yet are
-    parsed, and those that compaction replaced go. A load that ran again stored the same matches, so what
-    was parsed of it stays.
+    It is laid out by platform and ingest like the documents, and its manifest is the ledger of what it was made
+    from: ingests by generation and digest. What the documents' manifest names and the ledger
+    does not, or with another digest, is parsed; what only the ledger names goes. A load run again with more, other or
+    fewer documents is a new generation, and a compaction a new ingest, so both are caught. The new ledger
+    is published in one step when everything parsed is in place: stopped before, the next refresh does it again.
     """
     source, name = (tables.qualified(database, t) for t in (schemas.MATCHES, table))
-    layout = ["platform", tables.INGEST]
     spark.catalog.refreshTable(source)
     bronze = spark.table(source)
-    parsed = silver.flatten_matches(bronze, strict, [tables.INGEST])
+    parsed = silver.flatten_matches(bronze, strict, [manifest.INGEST])
     if not spark.catalog.tableExists(name):
-        parsed.limit(0).write.format(fmt).partitionBy(*layout).saveAsTable(name)
-    here, there = bronze.select(*layout).distinct(), spark.table(name).select(*layout).distinct()
-    # one row per load
-    gone = there.join(here, layout, "left_anti").collect()
-    new = cut_lineage(here.join(there, layout, "left_anti"), "loads")
-    silver.flatten_matches(bronze.join(new, layout, "left_semi"), strict, [tables.INGEST]).write.format(fmt).mode(
-        "append"
-    ).partitionBy(*layout).saveAsTable(name)
-    for row in gone:
-        spark.sql(
-            f"alter table {name} drop if exists partition (platform = :p, {tables.INGEST} = :i)", {"p": row[0], "i": row[1]}
-        )
-    spark.catalog.refreshTable(name)
-    return spark.table(name).drop(tables.INGEST)
+        manifest.publish(spark, name, [])
+        parsed.limit(0).write.format(fmt).partitionBy("platform", manifest.INGEST).saveAsTable(name)
+    ledger = {(x.platform, x.ingest, x.digest) for x in manifest.resolved(spark, name)}
+    now = manifest.resolved(spark, source)
+    new = [x for x in now if x.digest is None or (x.platform, x.ingest, x.digest) not in ledger]
+    gone = {(p, i) for p, i, _ in ledger} - {(x.platform, x.ingest) for x in now}
+    if new:
+        rows = silver.flatten_matches(manifest.of_ingests(bronze, new), strict, [manifest.INGEST])
+        store.replace_folders(rows, name)
+    if new or gone:
+        manifest.publish(spark, name, now)
+        manifest.drop_ingests(spark, name, gone)
+    return manifest.live_rows(spark, name).drop(manifest.INGEST)
