@@ -23,6 +23,8 @@ def spark():
             # the tables are tiny: compiling a plan takes longer than running it
             "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
+            # plans name the folders they scan, however long the path is
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.warehouse.dir": f"{home}/warehouse",
             "spark.checkpoint.dir": f"{home}/scratch",
             "spark.ui.showConsoleProgress": "false",
