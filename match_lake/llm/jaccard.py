@@ -16,10 +16,13 @@ needs. The longer the prefix, the more shared shingles a candidate must show.
 5. First every class is verified against the most central class of its shingles, one pair per
    class. Components of these links are found, and only pairs across components, with one
    side outside its shingle's main component, are joined, filtered by size and
-   position, counted against l and verified on the full sets. So a large group of near
+   position, counted against l and verified on the full sets. A class outside meets the members of a main
+   component only if enough of its shingles occur in any of them together. So a large group of near
    copies costs its links to one member, not all its pairs, while every link between
    different components is tested.
 
+Each step's tables and shuffles go as soon as the next is written.
+
 Defined cases. Words are runs of anything but space and tab to carriage return, with A-Z in
 lower case. A text with fewer than k words is one shingle of all of them; without words, or null, it
 has no shingles, is linked with nothing and its own component. Rows that repeat a
@@ -30,6 +33,7 @@ row of it has an id. An empty table gives an empty result; other columns are not
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -134,7 +138,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, k: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), _lists(sets)], names=["class", "tokens"])
 
     rows = _rows(docs, id_col, text).alias("row")
-    chosen = wanted.select("class", "rep").hint("shuffle_hash").alias("chosen")
+    chosen = wanted.select("class", "rep").alias("chosen")
     same = F.col("row.id").eqNullSafe(F.col("chosen.rep.id")) & (F.col("row.text_hash") == F.col("chosen.rep.text_hash"))
     found = rows.join(chosen, same).select("class", "text")
     sets = found.mapInArrow(read, "class binary, tokens array<bigint>")
@@ -200,15 +204,34 @@ def _star_links(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _verified(best.select(F.col("pivot").alias("a"), F.col("class").alias("b")), sets, percent)
 
 
-def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components that share enough prefix shingles."""
+def _near_parts(strays: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(class, main) of the strays that may link to a class of the main component, (class, n, main) given.
+
+    A link to any of its classes needs as much overlap as one to the smallest class that fits, and no class has more
+    of the stray's shingles than the component has in all its classes.
+    """
+    mains = strays.select(F.col("main").alias("root")).distinct()
+    members = labels.join(mains, "root").select(F.col("node").alias("class"), F.col("root").alias("main"))
+    members = members.unionAll(mains.select(F.col("root").alias("class"), F.col("root").alias("main")))
+    full = members.join(sets, "class")
+    least = full.groupBy("main").agg(F.min("n").alias("least"))
+    held = full.select("main", F.explode("tokens").alias("token")).distinct()
+    own = strays.join(sets.select("class", "tokens"), "class").select("class", "n", "main", F.explode("tokens").alias("token"))
+    common = own.join(held, ["main", "token"]).groupBy("class", "n", "main").agg(F.count(F.lit(1)).alias("common"))
+    smallest = F.greatest("least", least_overlap(F.col("n"), percent))
+    needed = F.ceil((F.col("n") + smallest) * percent / F.lit(100 + percent))
+    return common.join(least, "main").filter(F.col("common") >= needed).select("class", "main")
+
+
+def _cross_pairs(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, steps: Steps) -> DataFrame:
+    """Candidate pairs of different components that share enough prefix shingles. Leaves the step "crossing"."""
     labelled = posts.join(labels.withColumnsRenamed({"node": "class"}), "class", "left").withColumn(
         "part", F.coalesce("root", "class")
     ).drop("root")
     main = labelled.groupBy("token").agg(
         F.min_by("part", F.struct("rare", "n", "class")).alias("main"), F.min("part").alias("low"), F.max("part").alias("high")
     ).filter("low <> high").select("token", "main")
-    rows = labelled.join(main, "token").withColumn("stray", F.col("part") != F.col("main"))
+    rows = steps.cut(labelled.join(main, "token").withColumn("stray", F.col("part") != F.col("main")), "crossing")
     least_smaller = F.ceil(F.col("x.n") * (2 * percent) / F.lit(100 + percent))
     reach = F.least(F.col("x.i"), F.col("y.i")) + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     condition = (
@@ -219,10 +242,11 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
         & (reach >= _needed("x", "y", percent))
     )
     strays, others = rows.filter("stray"), rows.filter("not stray")
+    near = strays.join(_near_parts(strays.select("class", "n", "main").distinct(), sets, labels, percent), ["class", "main"], "left_semi")
     picked = [F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("y.depth").alias("depth")]
-    shared = rows.alias("x").join(strays.alias("y"), condition).select(*picked).unionAll(
-        strays.alias("x").join(others.alias("y"), condition).select(*picked)
-    )
+    shared = reduce(DataFrame.unionAll, [
+        x.alias("x").join(y.alias("y"), condition).select(*picked) for x, y in ((strays, strays), (near, others), (others, near))
+    ])
     return shared.groupBy("a", "b", "depth").agg(F.count(F.lit(1)).alias("times")).filter("times >= depth").select("a", "b")
 
 
@@ -232,28 +256,37 @@ def similar_components(
 ) -> DataFrame:
     """One row per row of `docs`: id, text_hash, n_shingles, component_id (the smallest id reachable by links), stays."""
     steps = Steps(docs.sparkSession)
-    outlines = steps.cut(_outlines(docs, id_col, text, k, percent, extra), "outlines")
+    prefixed = steps.cut(_outlines(docs, id_col, text, k, percent, extra), "prefixed")
     # Of a class every row has the same set.
-    classes = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(
+    classes = prefixed.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(F.struct("id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     ).withColumn("node", F.xxhash64("class"))
     possible = steps.cut(_possible(classes, percent, extra), "possible")
+    outlines = steps.cut(prefixed.drop("prefix"), "outlines")
+    steps.remove("prefixed")
     sets = steps.cut(_sets(docs, possible, id_col, text, k), "sets")
+    steps.remove("possible")
     posts = steps.cut(_postings(sets, percent, deepest), "postings")
     stars = steps.cut(_star_links(posts, sets, percent), "stars")
-    crossing = _verified(_cross_pairs(posts, component_labels(stars, steps, "star_labels"), percent), sets, percent)
-    labels = component_labels(stars.union(crossing), steps)
-    steps.remove("possible", "sets", "postings", "stars", "star_labels")
+    pairs = steps.cut(_cross_pairs(posts, sets, component_labels(stars, steps, "star_labels"), percent, steps), "pairs")
+    steps.remove("postings", "crossing", "star_labels")
+    links = steps.cut(stars.union(_verified(pairs, sets, percent)), "links")
+    steps.remove("sets", "pairs", "stars")
+    labels = component_labels(links, steps)
+    steps.remove("links")
     # Names of components with more than one class, then of classes with more than one row.
     row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
     groups = outlines.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("members"))
     rooted = groups.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     several = rooted.groupBy("root").agg(F.min("first").alias("lead"), F.sum("members").alias("members")).filter("members > 1")
     named = rooted.join(several.select("root", "lead"), "root").select("class", "lead")
-    return outlines.join(named, "class", "left").select(
+    found = outlines.join(named, "class", "left").select(
         F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"), F.coalesce("lead.id", "id").alias("component_id"),
         F.coalesce(row == F.col("lead"), F.lit(True)).alias("stays"),
     )
+    out = steps.cut(found, "similar")
+    steps.remove("outlines", "labels")
+    return out
 
 
 def drop_similar(
@@ -273,6 +306,6 @@ def drop_similar(
     marks = Steps(docs.sparkSession).cut(keys.filter(~F.col(stays) | (F.col(rows) > 1)).select(gone, digest, stays), "marks")
     own, hashed = F.col(f"`{id_col}`"), F.xxhash64(f"`{text}`")
     same = own.eqNullSafe(F.col(gone)) & (hashed == F.col(digest))
-    alone = docs.join(marks.hint("shuffle_hash"), same, "left_anti")
+    alone = docs.join(marks, same, "left_anti")
     repeated = docs.join(marks.filter(F.col(stays)), same, "left_semi")
     return alone.unionAll(one_row_each(repeated, own, hashed))

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from match_lake.session import remove_folder, scratch_dir
 
+# Shuffle files go when the table they were made for is written, not when the driver next collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Steps:
     def __init__(self, spark: SparkSession):
@@ -15,7 +18,12 @@ class Steps:
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table and read it back; a lost executor costs nothing that was done before."""
         self.paths[name] = scratch_dir(self.spark, name)
-        df.write.parquet(self.paths[name])
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(self.paths[name])
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(self.paths[name])
 
     def rename(self, name: str, new: str) -> None:
