@@ -25,6 +25,45 @@ def test_boundaries_are_optimal():
         assert padding == least == cost([e + 1 for e in ends[:-1]]) and ends[-1] == len(n) - 1 and len(ends) <= k
 
 
+def test_boundaries_of_long_lengths_are_optimal():
+    """Hundreds of lengths far beyond any round number, against every last bucket of every end."""
+    rng = np.random.default_rng(8)
+    for bins, k in ((1, 4), (2, 2), (40, 3), (300, 7), (500, 16)):
+        lengths = np.sort(rng.choice(30_000, bins, replace=False)).astype(np.int64)
+        n = rng.integers(1, 1000, bins) ** 2
+        least = np.full((k + 1, bins + 1), np.iinfo(np.int64).max // 4)
+        least[:, 0] = 0
+        for b in range(1, k + 1):
+            for j in range(1, bins + 1):
+                waste = [(n[i:j] * (lengths[j - 1] - lengths[i:j])).sum() for i in range(j)] if bins <= 40 else None
+                if waste is None:
+                    rows, filled = np.cumsum(n[j - 1 :: -1])[::-1], np.cumsum((n * lengths)[j - 1 :: -1])[::-1]
+                    waste = lengths[j - 1] * rows - filled
+                least[b, j] = (least[b - 1, :j] + np.array(waste)).min()
+        ends, padding = packing.best_boundaries(lengths, n, lengths * n, k)
+        assert padding == least[k, bins] and len(ends) <= k and ends[-1] == bins - 1
+        starts = [0, *[e + 1 for e in ends[:-1]]]
+        assert padding == sum((n[s : e + 1] * (lengths[e] - lengths[s : e + 1])).sum() for s, e in zip(starts, ends))
+
+
+def test_the_histogram_has_a_bin_for_every_length(spark):
+    df = spark.range(3000).select((F.col("id") * F.col("id") % 90_001).alias("length"))
+    assert packing.histogram(df).count() == df.distinct().count()
+
+
+@pytest.mark.parametrize("copies", [5, 400])
+def test_a_third_of_all_rows_under_one_id(spark, copies):
+    rows = [(i, "w " * (i % 30)) for i in range(2 * copies)] + [(7, "w " * 7)] * copies + [(None, None)] * copies
+    out = packing.pack(frame(spark, rows), token_budget=100, n_buckets=4, rows_per_part=16).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in out), key=repr) == sorted(((i, len((t or "").split())) for i, t in rows), key=repr)
+    places = [(r.bucket, r.batch, r.place) for r in out]
+    assert len(set(places)) == len(rows)
+    for bucket in {b for b, _, _ in places}:
+        full = max(1, 100 // max(1, max(r.padded_length for r in out if r.bucket == bucket)))
+        ranks = sorted(batch * full + place for b, batch, place in places if b == bucket)
+        assert ranks == list(range(len(ranks)))
+
+
 def test_bins_keep_order(spark):
     df = spark.range(0, 200_000, 7).select(F.col("id").alias("length")).withColumn("bin", packing.length_bin(F.col("length"), 64))
     bins = df.groupBy("bin").agg(F.min("length").alias("a"), F.max("length").alias("b")).orderBy("bin").collect()
