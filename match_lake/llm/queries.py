@@ -24,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_secrets(spark, sf_dir):
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, words=secrets.count_words(docs))
     return secrets.digests(found, secrets.BASE)
 
 

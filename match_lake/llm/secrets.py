@@ -5,11 +5,16 @@ Patterns, leftmost and without overlap per kind:
 - access: AKIA and capitals or digits, 16 characters or more in all;
 - hex: 32 lower-case hexadecimal digits or more.
 
-On top, the values that stand in a credential context (a wider list of names, any printable value) are
+On top, the values that stand in a credential context (a wider list of names, any printable value; in quotes up to the
+closing quote on the line, blanks included) are
 segmented at the least cost in bits by dynamic programming over words, dates, repeats, keyboard
 walks and brute-force characters. A value of `min_bits` or more is a span of kind guess; a
 placeholder such as `password123` or `2021-01-01` is not. The program is linear in the value's length for a given word list.
 
+A word costs the logarithm of its rank. Frequent passwords and placeholders come first; behind them `count_words` puts the
+WORDS most frequent words of all documents, counted by Spark, of those found in LEAST_DOCUMENTS or more,
+so that a secret does not become a word by standing in its own document.
+
 Defined cases. Null counts as empty; an empty text has no spans. Offsets are code points, ends exclusive.
 Ids may be null or repeat, every row is scanned by itself, and other columns are not read. An
 empty table gives an empty result.
@@ -19,7 +24,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +41,17 @@ BASE = KINDS[:3]
 
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credentials?|bearer)"""
-    r"""["']?\x20*(?::|=>|=)\x20*(?:"([^"\s]+)"|'([^'\s]+)'|([^\s"',;]+))""",
+    r"""["']?\x20*(?::|=>|=)\x20*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))""",
     re.I | re.A,
 )
 # Every context holds one of these.
 HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "credential", "bearer")
 MIN_BITS = 40.0
+# Words taken from the documents, and how many documents must hold one.
+WORDS = 50_000
+LEAST_DOCUMENTS = 5
+# Words a task holds before it hands on what it counted.
+HELD = 1 << 18
 
 # Frequent passwords and placeholder words, most frequent first.
 COMMON = (
@@ -49,12 +61,26 @@ COMMON = (
     "autumn monday friday january december love money dog cat house computer internet google none null true false "
     "your my the and value string insert here todo redacted hidden placeholder enter replace"
 ).split()
+_LETTERS = re.compile(r"[a-z]{3,}")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 LEET = str.maketrans("4@301!$57", "aaeoiisst")
-_RANK = {}
-for _i, _word in enumerate(COMMON):
-    _RANK.setdefault(_word, _i + 1)
-_LONGEST = max(map(len, _RANK))
+
+
+class Words(NamedTuple):
+    """Ranks from 1, and the length of the longest word."""
+
+    rank: dict[str, int]
+    longest: int
+
+
+def ranked(words: Iterable[str]) -> Words:
+    rank: dict[str, int] = {}
+    for word in words:
+        rank.setdefault(word, len(rank) + 1)
+    return Words(rank, max(map(len, rank), default=0))
+
+
+FIXED = ranked(COMMON)
 _STEP = {a: (r, i) for r, row in enumerate(ROWS) for i, a in enumerate(row)}
 _DATE = re.compile(
     r"(?:(?:19|20)[0-9]{2}([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])"
@@ -78,14 +104,14 @@ def _near(a: str, b: str) -> bool:
     return a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1
 
 
-def segments(value: str) -> Iterator[tuple[int, int, float, str]]:
+def segments(value: str, words: Words = FIXED) -> Iterator[tuple[int, int, float, str]]:
     """(start, end, bits, kind) of words, dates, walks and repeats within a value."""
     low = value.lower()
     plain = low.translate(LEET)
     n = len(value)
     for i in range(n):
-        for j in range(i + 2, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(low[i:j]) or _RANK.get(plain[i:j])
+        for j in range(i + 2, min(n, i + words.longest) + 1):
+            rank = words.rank.get(low[i:j]) or words.rank.get(plain[i:j])
             if rank:
                 part = value[i:j]
                 changed = (part != low[i:j]) + (low[i:j] != plain[i:j]) * 2
@@ -120,10 +146,10 @@ def segments(value: str) -> Iterator[tuple[int, int, float, str]]:
                 i += 1
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, words: Words = FIXED) -> float:
     """Bits of the cheapest segmentation; everything not in a pattern is brute force, character by character."""
     ending: list[list[tuple[int, float]]] = [[] for _ in range(len(value) + 1)]
-    for i, j, bits, _ in segments(value):
+    for i, j, bits, _ in segments(value, words):
         ending[j].append((i, bits))
     best, brute = [0.0], [False]
     for j, c in enumerate(value, 1):
@@ -137,17 +163,17 @@ def guess_bits(value: str) -> float:
     return best[-1]
 
 
-def find_spans(text: str, min_bits: float = MIN_BITS) -> list[tuple[int, str, int, float | None]]:
+def find_spans(text: str, min_bits: float = MIN_BITS, words: Words = FIXED) -> list[tuple[int, str, int, float | None]]:
     """(start, kind, end, bits) by start, then kind; bits for values only."""
     out = []
     low = text.lower()
     if any(hint in low for hint in HINTS):
         for m in ASSIGN.finditer(text):
             if m.end(2) - m.start(2) >= 8:
-                out.append((m.start(), 0, m.end(), guess_bits(m.group(2))))
+                out.append((m.start(), 0, m.end(), guess_bits(m.group(2), words)))
         for m in CONTEXT.finditer(text):
             group = m.lastindex
-            bits = guess_bits(m.group(group))
+            bits = guess_bits(m.group(group), words)
             if bits >= min_bits:
                 out.append((m.start(group), 3, m.end(group), bits))
     if "AKIA" in text:
@@ -160,12 +186,39 @@ def find_spans(text: str, min_bits: float = MIN_BITS) -> list[tuple[int, str, in
 SPAN = "array<struct<kind string, start int, end int, bits double>>"
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_bits: float = MIN_BITS) -> DataFrame:
-    """One row per row of `docs`: id, spans by start, then kind."""
+def count_words(docs: DataFrame, text: str = "text", at_most: int = WORDS, least_documents: int = LEAST_DOCUMENTS) -> Words:
+    """The fixed words, then the most frequent ones of all documents: letters a to z in either case, three or more.
+
+    Documents holding a word are counted, first inside each task; ties by the alphabet. At most `at_most` words reach the driver.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def handed_on() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for value in batch.column("text"):
+                held.update(set(_LETTERS.findall((value.as_py() or "").lower())))
+                if len(held) >= HELD:
+                    yield handed_on()
+                    held.clear()
+        yield handed_on()
+
+    counted = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "word string, n bigint")
+    common = counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_documents)
+    top = common.orderBy(F.col("n").desc(), "word").limit(at_most).collect()
+    return ranked([*COMMON, *(r["word"] for r in top)])
+
+
+def find_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_bits: float = MIN_BITS, words: Words = FIXED
+) -> DataFrame:
+    """One row per row of `docs`: id, spans by start, then kind. `words` come from count_words, or are the fixed ones."""
     def scan(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("bits", pa.float64())]))
         for texts in column:
-            found = (find_spans(t.as_py() or "", min_bits) for t in texts)
+            found = (find_spans(t.as_py() or "", min_bits, words) for t in texts)
             yield pa.array([[{"kind": k, "start": s, "end": e, "bits": b} for s, k, e, b in f] for f in found], kind)
 
     scan.__annotations__ = {"column": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -36,9 +36,9 @@ def test_base_spans_are_the_patterns():
         assert [s[:3] for s in secrets.find_spans(text) if s[1] != "guess"] == plain(text), text
 
 
-def cheapest(value):
+def cheapest(value, words=secrets.FIXED):
     """Over all ways to cut the value into patterns and brute-force spans."""
-    found = list(secrets.segments(value))
+    found = list(secrets.segments(value, words))
 
     def best(i, in_brute):
         if i == len(value):
@@ -92,3 +92,36 @@ def test_query_over_the_whole_table(spark):
         base = plain(docs[r.doc_id] or "")
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, k, _ in base) for x in secrets.BASE]
+
+
+def test_words_are_counted_over_the_documents(spark):
+    prose = ["Authentication of the intermediate correct horse", "battery, staple; HORSE authentication", "the staple battery was correct", None, ""]
+    rows = [(i, t) for i, t in enumerate(prose * 6)] + [(99, "token: qzvhxkwplmtr qzvhxkwplmtr qzvhxkwplmtr qzvhxkwplmtr qzvhxkwplmtr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = secrets.count_words(docs)
+    counted = list(words.rank)[len(secrets.FIXED.rank):]
+    # in twelve documents, then in six; the fixed ones are not repeated, nor is a word of one document only
+    assert counted == ["authentication", "battery", "correct", "horse", "staple", "intermediate", "was"]
+    assert list(secrets.count_words(docs, at_most=2).rank)[-1] == "battery" and secrets.count_words(docs.limit(0)) == secrets.FIXED
+    for text in ("auth: authentication", "token: intermediate", "token: 'correcthorse'"):
+        assert [s[1] for s in secrets.find_spans(text, words=words) if s[1] == "guess"] == [], text
+    (span,) = [s for s in secrets.find_spans("token: qzvhxkwplmtr", words=words) if s[1] == "guess"]
+    assert span[3] > 50
+
+
+def test_quoted_values_run_to_the_closing_quote():
+    words = secrets.ranked([*secrets.COMMON, "correct", "horse", "battery", "staple", *(f"w{i}" for i in range(5000))])
+    text = 'password = "correct horse battery staple" and more'
+    for known in (secrets.FIXED, words):
+        (span,) = [s for s in secrets.find_spans(text, words=known) if s[1] == "guess"]
+        assert text[span[0] : span[2]] == "correct horse battery staple"
+    plain = {kind for _, _, _, kind in secrets.segments("correct horse battery staple", words)}
+    assert plain == {"word"} and secrets.guess_bits("correct horse battery staple", words) < secrets.guess_bits("correct horse battery staple")
+    assert [s for s in secrets.find_spans('secret: "the test"', words=words) if s[1] == "guess"] == []
+    assert [s for s in secrets.find_spans('secret: "open\nsecond line with more words"', words=words) if s[1] == "guess"] == []
+
+
+@pytest.mark.parametrize("value", ["correct horse", "horsebattery9", "St4ple!horse", "battery staple 2021"])
+def test_guess_bits_with_counted_words(value):
+    words = secrets.ranked([*secrets.COMMON, "correct", "horse", "battery", "staple", "ple", "hor"])
+    assert cheapest(value, words) - 1e-9 <= secrets.guess_bits(value, words) <= cheapest(value, words) + 1.0 + 1e-9
