@@ -4,20 +4,23 @@ Patterns, leftmost and without overlap per kind, failing matches dropped without
 email; ip with four parts up to 255; card with 16 to 19 digits that pass the Luhn test; phone
 with a plus sign and 8 to 15 digits.
 
-On top, generators with high recall propose spans that may overlap: e-mail addresses written out (at, dot)
-or without a dot, groups of digits with any separators, dotted numbers. Features describe the format (digits,
+On top, generators with high recall propose spans that overlap: every stretch of whole digit groups, within a run of
+digits and separators, whose number of digits fits a kind, and from every word start an e-mail address with a written or
+plain at and at least one written or plain dot. Features describe the format (digits,
 groups, separators, Luhn, octets, letters, length) and the context (cue words before the span, neighbouring
-characters, the share of digits around). Boosted trees score them, Platt scaling calibrates, and spans at or
-above a threshold set for `precision` on rows kept aside become redactions of kind soft_..., unless
+characters and digit groups, the share of digits around). Boosted trees score them, Platt scaling calibrates, and spans at or
+above a threshold set for `precision` on rows kept aside become redactions of kind soft_..., best first, unless
 they overlap a strict span or a better one.
 
-There are no labels for personal data, so the trees learn from a bounded sample of documents (`sample`, the first by a
-hash of their ids): strict spans of the sample in their real contexts, rewritten in the looser formats
-(cue words put before some), are positive; candidates of the sample that no strict pattern accepts, and
-spans with digits changed so that they fail, are negative. What is chosen beyond the strict spans is thus
-a matter of looser format, not of new kinds of data.
+There are no labels for personal data, so the trees learn from a bounded sample: `sample` documents, the first by a
+hash of their ids, one row each, and of all their spans and candidates the first `contexts` by a hash. Strict spans in their
+real contexts, rewritten in the looser formats (cue words put before some, another one put beside some), are
+positive, and only from end to end: candidates that cover part of one or reach beyond it are negative, as are
+candidates of the sample that no strict pattern accepts and spans with digits changed so that they fail. What is chosen beyond the
+strict spans is thus a matter of looser format, not of new kinds of data, and the precision is that on the candidates
+the documents really hold.
 
-Defined cases. Null counts as empty; an empty text has no spans. Offsets are code points, ends exclusive. Without a strict
+Defined cases. A group of more than 19 digits is in no candidate: no kind has so many. Null counts as empty; an empty text has no spans. Offsets are code points, ends exclusive. Without a strict
 span in the sample no tree is grown and nothing is added. Ids may be null or repeat; other columns are not read. An empty
 table gives an empty result.
 """
@@ -39,6 +42,7 @@ from match_lake.llm import boosting
 KINDS = ("email", "ip", "card", "phone", "soft_email", "soft_ip", "soft_card", "soft_phone")
 BASE = KINDS[:4]
 SAMPLE = 6_000
+CONTEXTS = 12_000
 PRECISION = 0.995
 AROUND = 40
 
@@ -51,12 +55,15 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-# High-recall generators: numbers with separators, and addresses written out.
-_NUMBERS = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().:/-]{0,2}[0-9])++")
+# High-recall generators: runs of digit groups, and addresses written out, tried from the start of each word.
+_RUN = re.compile(r"[0-9]++(?:[\x20().:/-]{0,2}[0-9]++)*+")
+_GROUP = re.compile(r"[0-9]+")
 _WRITTEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20?[\[({]at[\])}]\x20?|\x20at\x20|@)"
-    r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{1,63}){0,4}", re.I | re.A
+    r"(?<![A-Za-z0-9._%+-])(?=([A-Za-z0-9._%+-]++(?:\x20?[\[({]at[\])}]\x20?|\x20at\x20|@)"
+    r"[A-Za-z0-9-]++(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]++)++))", re.I | re.A
 )
+# How many digits a kind has.
+DIGITS = {6: (13, 19), 7: (7, 15)}
 CUES = {
     "email": ("mail", "e-mail", "contact", "write"), "phone": ("phone", "tel", "call", "mobile", "fax", "cell"),
     "card": ("card", "visa", "mastercard", "credit", "account"), "ip": ("ip", "host", "server", "address"),
@@ -106,23 +113,38 @@ def strict_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
-    """(soft kind, start, end); spans may overlap, and one span may be proposed as several kinds."""
+    """(soft kind, start, end); spans may overlap, and one span may be proposed as several kinds.
+
+    Of a run of digit groups every stretch of whole groups is tried that has no more digits than a card, so the number of
+    candidates is linear in the text.
+    """
     out = []
     low = text.lower()
-    if "@" in text or " dot " in low or "dot)" in low or "dot]" in low or "dot}" in low:
-        out += [(4, m.start(), m.end()) for m in _WRITTEN.finditer(text)]
+    if " at " in low or "@" in text or "at)" in low or "at]" in low or "at}" in low:
+        out += [(4, *m.span(1)) for m in _WRITTEN.finditer(text)]
     if _DIGIT.search(text):
-        for m in _NUMBERS.finditer(text):
-            n = len(_DIGIT.findall(m.group()))
-            if m.group().count(".") >= 3 and n <= 15:
-                out.append((5, m.start(), m.end()))
-            if 13 <= n <= 19:
-                out.append((6, m.start(), m.end()))
-            if 7 <= n <= 15:
-                out.append((7, m.start(), m.end()))
+        for run in _RUN.finditer(text):
+            groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
+            for i, (start, _) in enumerate(groups):
+                if text[start - 1 : start].isalpha() and start:
+                    continue
+                led = start - 1 if start and text[start - 1] in "+(" else start
+                n = 0
+                for j in range(i, len(groups)):
+                    n += groups[j][1] - groups[j][0]
+                    if n > 19:
+                        break
+                    end = groups[j][1]
+                    out += [(kind, led, end) for kind, (least, most) in DIGITS.items() if least <= n <= most]
+                    if j == i + 3 and n <= 12 and all("." in text[groups[x][1] : groups[x + 1][0]] for x in range(i, j)):
+                        out.append((5, start, end))
     return out
 
 
+_DIGITS_BEFORE = re.compile(r"[0-9][\x20().:/+-]{0,2}$")
+_DIGITS_AFTER = re.compile(r"[\x20().:/-]{0,2}[0-9]")
+
+
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
     span = text[start:end]
     digits = "".join(_DIGIT.findall(span))
@@ -138,7 +160,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         bool(re.search(r"[\[({\x20]at[\])}\x20]", span, re.I)), bool(re.search(r"[\[({\x20]dot[\])}\x20]", span, re.I)),
         luhn(digits) if digits else 0, len(groups) - sum(map(octet, groups)), len(groups) == 4 and all(map(octet, groups)), len(parts[-1]), sum(c.isalpha() for c in span),
         *[any(cue in before for cue in cues) for cues in CUES.values()],
-        before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ":=", sum(c.isdigit() for c in around) / max(1, len(around)),
+        before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ":=", bool(_DIGITS_BEFORE.search(before)), bool(_DIGITS_AFTER.match(after)), sum(c.isdigit() for c in around) / max(1, len(around)),
     ]
 
 
@@ -171,7 +193,8 @@ def rewritten(kind: int, span: str, rng: random.Random) -> str:
     if kind == 1:
         return rng.choice([" . ", ". ", " ."]).join(span.split("."))
     if kind == 2:
-        return rng.choice([".", "/"]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        sizes = rng.choice([4, 4, len(digits)])
+        return rng.choice([".", "/", " ", "-"]).join(digits[i : i + sizes] for i in range(0, len(digits), sizes))
     local = digits[-10:]
     return rng.choice([f"({local[:3]}) {local[3:6]}-{local[6:]}", f"{local[:3]}-{local[3:6]}-{local[6:]}", f"{local[:3]}.{local[3:6]}.{local[6:]}", f"00{digits[:-7]} {digits[-7:-4]} {digits[-4:]}"])
 
@@ -194,46 +217,57 @@ def training_rows(contexts: list[tuple[int, str, str, str]], seed: int = 5) -> t
     """Features and labels from (kind, before, span, after); kind -1 is a candidate no pattern accepts."""
     rng = random.Random(seed)
     x, y = [], []
+    spans = {kind: [c[2] for c in contexts if c[0] == kind] for kind in range(4)}
 
-    def add(before: str, span: str, after: str, label: int, wanted: int | None = None) -> None:
+    def add(before: str, span: str, after: str, kind: int | None = None) -> None:
+        """All candidates across the span: the one from end to end of the kind is positive."""
         text = before + span + after
+        first, last = len(before), len(before) + len(span)
+        strict = strict_spans(text) if kind is not None else []
         for c in candidates(text):
-            if c[1] < len(before) + len(span) and len(before) < c[2] and (wanted is None or c[0] == wanted):
+            exact = kind is not None and c == (kind, first, last)
+            if c[1] < last and first < c[2] and (exact or not any(s < c[2] and c[1] < e for _, s, e in strict)):
                 x.append(features(text, *c))
-                y.append(label)
+                y.append(int(exact))
 
     for kind, before, span, after in contexts:
         if kind < 0:
-            add(before, span, after, 0)
+            add(before, span, after)
             continue
         cue = rng.choice(list(CUES.values())[("email", "phone", "card", "ip").index(("email", "ip", "card", "phone")[kind])])
         led = before + rng.choice(["", "", f"{cue}: ", f"{cue} "])
-        add(led, rewritten(kind, span, rng), after, 1, kind + 4)
+        other = rewritten(kind, rng.choice(spans[kind]), rng)
+        # in its context, beside another one, and in a bare list
+        for left, right in ((led, after), (led, f" {other}{after}"), (f"{led}{other} ", after), ("", f" {other}"), (f"{other} ", "")):
+            add(left, rewritten(kind, span, rng), right, kind + 4)
         for wrong in (kind, 3):
-            add(before, spoiled(wrong, span, rng), after, 0)
+            add(before, spoiled(wrong, span, rng), after)
     return np.array(x, float).reshape(len(y), len(x[0]) if x else 1), np.array(y, float)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> Chooser | None:
-    """Trees from the spans of a bounded sample of documents."""
-    picked = docs.select(F.col(f"`{id_col}`").alias("id")).filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(sample).distinct()
-    # At most `sample` ids.
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id").select("id", "text")
+def train(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE, precision: float = PRECISION, contexts: int = CONTEXTS
+) -> Chooser | None:
+    """Trees from at most `contexts` spans and candidates of a bounded sample of documents."""
+    picked = docs.select(F.col(f"`{id_col}`").alias("id")).filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    # At most `sample` ids; of rows that repeat one, a single one.
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id")
+    texts = texts.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for value in batch.column("text"):
                 body = value.as_py() or ""
                 strict = strict_spans(body)
                 loose = [(-1, s, e) for _, s, e in candidates(body) if not any(a < e and s < b for _, a, b in strict)]
-                rows += [
+                rows = [
                     {"kind": k, "before": body[max(0, s - AROUND) : s], "span": body[s:e], "after": body[e : e + AROUND]}
-                    for k, s, e in sorted({*strict[:20], *loose[:20]}) if e - s <= 200
+                    for k, s, e in sorted({*strict, *loose})
                 ]
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("kind", pa.int32()), ("before", pa.string()), ("span", pa.string()), ("after", pa.string())]))
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("kind", pa.int32()), ("before", pa.string()), ("span", pa.string()), ("after", pa.string())]))
 
-    found = texts.select("text").mapInArrow(read, "kind int, before string, span string, after string").collect()
+    found = texts.select("text").mapInArrow(read, "kind int, before string, span string, after string").distinct()
+    found = found.orderBy(F.xxhash64("kind", "before", "span", "after")).limit(contexts).collect()
     x, y = training_rows(sorted((r["kind"], r["before"], r["span"], r["after"]) for r in found))
     aside = np.arange(len(y)) % 3 == 0
     if min(y[aside].sum(), (1 - y[aside]).sum(), y[~aside].sum(), (1 - y[~aside]).sum()) < 5:

@@ -83,6 +83,59 @@ def test_added_spans(spark):
     assert pii.find_personal(rows.limit(0), None).count() == 0
 
 
+def test_candidates_overlap():
+    """Every stretch of whole digit groups that fits, and addresses from every word start; against a plain search."""
+    rng = random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["1", "22", "333", "4444", "55555555", " ", "-", ".", ". ", " / ", "x", "+", "(", ")"]) for _ in range(12))
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        want = set()
+        for i, (a, _) in enumerate(groups):
+            for j in range(i, len(groups)):
+                inside = [text[groups[k][1] : groups[k + 1][0]] for k in range(i, j)]
+                n = sum(e - s for s, e in groups[i : j + 1])
+                if all(len(x) <= 2 and set(x) <= set(" ().:/-") for x in inside) and not (a and text[a - 1].isalpha()):
+                    led = a - 1 if a and text[a - 1] in "+(" else a
+                    want |= {(k, led, groups[j][1]) for k, (low, high) in pii.DIGITS.items() if low <= n <= high}
+                    if j == i + 3 and n <= 12 and all("." in x for x in inside):
+                        want.add((5, a, groups[j][1]))
+        assert set(pii.candidates(text)) == want, text
+    found = {text[s:e] for text in ["Email me at jane at example dot com at home"] for _, s, e in pii.candidates(text)}
+    assert found == {"jane at example dot com"}
+
+
+def test_lists_and_prose(spark):
+    from conftest import SF_DIR
+
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    chooser = pii.train(docs)
+
+    def chosen(text):
+        return [(pii.KINDS[k], text[s:e]) for k, s, e in chooser.choose(text, pii.strict_spans(text))]
+
+    assert chosen("Email me at jane at example dot com") == [("soft_email", "jane at example dot com")]
+    assert chosen("write to us at jane (at) example (dot) com") == [("soft_email", "jane (at) example (dot) com")]
+    assert chosen("415-555-0132 415-555-0133") == [("soft_phone", "415-555-0132"), ("soft_phone", "415-555-0133")]
+    assert chosen("7536784127813050 4845168114407329") == [("soft_card", "7536784127813050"), ("soft_card", "4845168114407329")]
+    name, host = "n" * 80, ".".join(["label" * 14] * 7)
+    assert chosen(f"mail {name} at {host.replace('.', ' dot ')} ok") == [("soft_email", f"{name} at {host.replace('.', ' dot ')}")]
+    # prose holds "at" and numbers, but no address; what is chosen in the table has a card's check digit
+    for r in docs.collect():
+        for kind, span in chosen(r.text or ""):
+            assert kind == "soft_card" and holds("card", span), (r.doc_id, kind, span)
+
+
+def test_a_repeated_id_counts_once(spark):
+    from conftest import SF_DIR
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    hot = docs.unionByName(spark.createDataFrame([tuple(docs.orderBy("doc_id").first())] * 200, docs.schema))
+    once, again = pii.train(docs), pii.train(hot)
+    assert (once is None) == (again is None)
+    if once is not None:
+        assert once.threshold == again.threshold
+
+
 def test_query_over_the_whole_table(spark):
     from conftest import SF_DIR
 
