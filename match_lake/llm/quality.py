@@ -17,8 +17,8 @@ bounded by a fixed number of chunks.
 
 Defined cases. A null or empty text is one chunk of filling. Labels that are null, and labelled
 rows without a document, train nothing. Without labels the score is 0.5 for all, with labels of one kind that label.
-A null id counts as the empty text in the split into training and held-out rows. Repeated rows
-score alike; other columns are not read.
+A null id counts as the empty text in the split into training and held-out rows. Of rows that repeat an id one trains; they
+score alike where their texts do; other columns are not read.
 """
 
 from __future__ import annotations
@@ -178,9 +178,9 @@ def sampled_texts(
     turn = [F.xxhash64("id"), F.col("id")]
     picked = usable.filter("label = 0").orderBy(*turn).limit(sample).unionAll(usable.filter("label = 1").orderBy(*turn).limit(sample))
     picked = picked.withColumn("aside", F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0)
-    # At most 2 * sample narrow rows.
+    # At most 2 * sample narrow rows; of rows that repeat an id, a single one.
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id")
-    return texts, counts
+    return texts.groupBy("id", "label", "aside").agg(F.min_by("text", F.xxhash64("text")).alias("text")), counts
 
 
 def n_chunks(text: str) -> Column:
