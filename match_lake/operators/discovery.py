@@ -14,6 +14,7 @@ from match_lake.functions.moments import instant
 from match_lake.operators.cohort import on_platform
 from match_lake.operators.ordering import number_rows, running_total, spread_join, top_per_key
 from match_lake.session import cut_lineage
+from match_lake.sources.listing import PART, by_part
 
 
 def parse_ids(df: DataFrame, spec: str = "spec", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -103,20 +104,22 @@ def account_batches(
 ) -> DataFrame:
     """(account, pos, batch_no): accounts in order, `batch` to a batch."""
     named = accounts.select(F.col(key).alias("account")).filter(F.col("account").isNotNull())
-    unique = cut_lineage(named.distinct())
-    numbered = number_rows(unique, ["account"], "pos", at_most)
+    numbered = number_rows(named.distinct(), ["account"], "pos", at_most)
     return numbered.withColumn("batch_no", F.expr(f"pos div {batch}"))
 
 
 def batch_matches(batches: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct (batch_no, match_id): every match found while listing each batch.
 
-    The accounts are written first, so Spark knows their size: few go to where the
-    listing is read, and only what they played is shuffled.
+    Numbered accounts are a scan of a written copy, so Spark knows their size: few go to where the
+    listing is read, and only what they played is shuffled. Many are dealt into the buckets of a listing that is
+    stored by account (sources.listing), which then stays where it is as well.
     """
-    keyed = cut_lineage(batches.select("account", "batch_no"), "accounts")
-    pairs = listing.select("account", "match_id").filter(F.col("match_id").isNotNull())
-    return pairs.join(keyed, "account").select("batch_no", "match_id").distinct()
+    keyed, on = batches.select("account", "batch_no"), ["account"]
+    if PART in listing.columns:
+        keyed, on = by_part(keyed), ["account", PART]
+    pairs = listing.select(*on, "match_id").filter(F.col("match_id").isNotNull())
+    return pairs.join(keyed, on).select("batch_no", "match_id").distinct()
 
 
 def discovered_ids(batches: DataFrame, listing: DataFrame) -> DataFrame:
@@ -137,6 +140,10 @@ def fetch_slots(fetch_batch: int, workers: int) -> list[Column]:
     ]
 
 
+# The batch of ids an earlier plan deferred.
+PENDING = -1
+
+
 class CrawlPlan(NamedTuple):
     """fetch: ids within the budget. deferred: ids of listed batches beyond it.
 
@@ -170,10 +177,14 @@ def crawl_plan(
     found in a batch follow, by id, at two calls each, until the budget is spent.
     Seen over all batches that is one running cost along (batch, id): the g-th
     match overall (from 0), in a batch that ends the first k accounts, is affordable
-    exactly when 2 * (g + 1) + k <= budget. No loop and no state are needed.
+    exactly when 2 * (g + 1) + k <= budget. No loop and no state are needed, and batches being
+    of one size, k follows from the batch's number.
 
-    `pending` (match_id) are ids an earlier plan deferred. They belong to the first
-    batch, so they are fetched before anything newly found in later ones.
+    `pending` (match_id) are ids an earlier plan deferred. They are a batch of their own, number PENDING, that costs
+    no listing and comes before all others, also when there is no account to list.
+
+    Three tables are written: accounts in order, what their listing finds, and unseen ids in order. All numbers and
+    totals come from these.
     """
     at_most = max_accounts
     if budget is not None:
@@ -181,37 +192,36 @@ def crawl_plan(
         # later batches than these cannot be reached.
         batches_at_most = max(0, budget) // batch + 2
         at_most = min(batches_at_most * batch, at_most if at_most is not None else batches_at_most * batch)
-    numbered = cut_lineage(account_batches(accounts, key, batch, at_most), "numbered")
+    numbered = account_batches(accounts, key, batch, at_most)
     found = batch_matches(numbered, listing)
     if pending is not None:
-        first = pending.filter(F.col("match_id").isNotNull()).select(F.lit(0).cast("bigint").alias("batch_no"), "match_id")
-        found = found.union(first).distinct()
-    found = cut_lineage(found)
-    unseen = cut_lineage(unseen_ids(_first_batch(found), stored, platform))
-    batches = cut_lineage(_batch_costs(numbered, found, unseen, budget), "costs")
+        first = pending.filter(F.col("match_id").isNotNull()).select(F.lit(PENDING).cast("bigint").alias("batch_no"), "match_id")
+        found = found.union(first.distinct())
+    found = cut_lineage(found, "found")
+    unseen = number_rows(unseen_ids(_first_batch(found), stored, platform), ["batch_no", "match_id"], "_overall")
+    batches = _batch_costs(numbered, found, unseen, budget)
 
-    cost = schemas.CALLS_PER_MATCH
-    affordable = None if budget is None else max(0, budget) // cost
-    ordered = number_rows(unseen, ["batch_no", "match_id"], "_overall", affordable)
-    starts = batches.select("batch_no", "unseen_before", (F.col("accounts_before") + F.col("accounts")).alias("_through"))
-    chosen = spread_join(ordered, starts, "batch_no", "match_id", "inner", salts)
+    affordable = F.lit(True)
     if budget is not None:
-        chosen = chosen.filter(cost * (F.col("_overall") + 1) + F.col("_through") <= budget)
-    placed = chosen.withColumn("pos", F.col("_overall") - F.col("unseen_before"))
+        members = numbered.count()
+        through = F.greatest(F.lit(0), F.least((F.col("batch_no") + 1) * batch, F.lit(members)))
+        affordable = schemas.CALLS_PER_MATCH * (F.col("_overall") + 1) + through <= budget
+    chosen = unseen.filter(affordable)
+    starts = chosen.groupBy("batch_no").agg(F.min("_overall").alias("_start"))
+    placed = spread_join(chosen, starts, "batch_no", "match_id", "inner", salts).withColumn("pos", F.col("_overall") - F.col("_start"))
     fetch = placed.select("batch_no", "match_id", *fetch_slots(fetch_batch, workers))
     # two rows at most: the batch the budget cuts, and the one an odd call still lists
     cut_off = batches.filter(F.col("listed") & (F.col("fetched") < F.col("unseen"))).select("batch_no")
-    beyond = unseen.join(F.broadcast(cut_off), "batch_no", "left_semi")
-    deferred = beyond.join(fetch.select("match_id"), "match_id", "left_anti")
+    deferred = unseen.filter(~affordable).join(F.broadcast(cut_off), "batch_no", "left_semi")
     return CrawlPlan(fetch, deferred.select("batch_no", "match_id"), batches, numbered)
 
 
 def _batch_costs(
     numbered: DataFrame, found: DataFrame, unseen: DataFrame, budget: int | None
 ) -> DataFrame:
-    """One row per account batch: sizes, what came before it, whether it is listed.
+    """One row per batch: sizes, what came before it, whether it is listed.
 
-    The first batch is always listed and a later one while calls are left. Since a
+    The first batch is always listed, unless pending ids use up the budget, and a later one while calls are left. Since a
     match costs two calls, an odd remainder leaves one call over when a batch is
     cut; that call lets exactly one more batch be listed, which then fetches nothing.
     """
@@ -224,18 +234,19 @@ def _batch_costs(
     members = ones(numbered, "accounts").union(ones(found, "found")).union(ones(unseen, "unseen"))
     members = members.union(ones(unseen, "unseen_in_previous", 1))
     sizes = members.groupBy("batch_no").agg(*[F.count(F.when(F.col("_of") == n, 1)).alias(n) for n in names])
-    sizes = sizes.filter(F.col("accounts") > 0)
+    sizes = sizes.filter((F.col("accounts") > 0) | (F.col("batch_no") == PENDING))
     totals = running_total(sizes, "batch_no", {"accounts": "accounts_before", "unseen": "unseen_before"})
     if budget is None:
         listed, fetched = F.lit(True), F.col("unseen")
     else:
         used = F.col("accounts_before") + cost * F.col("unseen_before")
         left_in_previous = budget - used + cost * F.col("unseen_in_previous")
-        odd_call_left = (F.col("batch_no") > 0) & (
+        first = (F.col("batch_no") <= 0) & (F.col("unseen_before") == 0)
+        odd_call_left = ~first & (
             (left_in_previous > 0) & (F.pmod(left_in_previous, F.lit(cost)) == 1)
             & (cost * F.col("unseen_in_previous") > left_in_previous)
         )
-        listed = (F.col("batch_no") == 0) | (used < budget) | odd_call_left
+        listed = first | (used < budget) | odd_call_left
         affordable = F.greatest(F.lit(0), F.floor((budget - used - F.col("accounts")) / cost))
         fetched = F.when(F.col("listed"), F.least("unseen", affordable)).otherwise(F.lit(0)).cast("bigint")
     return totals.withColumn("listed", listed).withColumn("fetched", fetched).drop("unseen_in_previous")

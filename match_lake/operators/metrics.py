@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from match_lake import schemas
 from match_lake.operators.cohort import rank_buckets
 from match_lake.operators.ordering import running_total
+from match_lake.sources import manifest
+
+SIZES = "table_name string, records bigint, logical_bytes bigint"
 
 
 def tier_breakdown(df: DataFrame, tier: str = "tier") -> DataFrame:
@@ -62,13 +65,38 @@ def storage_summary(tables: Mapping[str, DataFrame], payload: str = "payload") -
     return _with_shares(reduce(DataFrame.unionByName, parts))
 
 
-def storage_by(df: DataFrame, group: str, payload: str = "payload") -> DataFrame:
-    """storage_summary over the groups of one table."""
-    sizes = df.groupBy(F.col(group).alias("table_name")).agg(
+def stored_summary(spark: SparkSession, database: str, names: Sequence[str]) -> DataFrame:
+    """storage_summary of document tables from their manifests: what each write counted, added up.
+
+    No document is read, unless an ingest has no counts of its own (a table without a manifest, or one
+    write for several platforms); only those ingests are scanned.
+    """
+    parts = []
+    for table in names:
+        name = f"{database}.{table}"
+        live = manifest.resolved(spark, name)
+        known = [x for x in live if x.documents is not None]
+        counts = spark.createDataFrame([(table, sum(x.documents for x in known), sum(x.bytes or 0 for x in known))], SIZES)
+        parts.append(counts)
+        if len(known) < len(live):
+            rest = manifest.of_ingests(spark.table(name), [x for x in live if x.documents is None])
+            parts.append(_sizes(rest.select(F.lit(table).alias("table_name"), "payload"), "payload"))
+    sizes = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+        F.sum("records").alias("records"), F.sum("logical_bytes").alias("logical_bytes")
+    )
+    return _with_shares(sizes)
+
+
+def _sizes(df: DataFrame, payload: str) -> DataFrame:
+    return df.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("records"),
         F.coalesce(F.sum(F.octet_length(payload).cast("bigint")), F.lit(0)).alias("logical_bytes"),
     )
-    return _with_shares(sizes)
+
+
+def storage_by(df: DataFrame, group: str, payload: str = "payload") -> DataFrame:
+    """storage_summary over the groups of one table."""
+    return _with_shares(_sizes(df.select(F.col(group).alias("table_name"), payload), payload))
 
 
 def _with_shares(sizes: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ slices, so that no task sees more than its slice.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from match_lake.session import cut_lineage
 
 BLOCK = 4_096
+# fixed value: bits of Spark's monotonically increasing ids that count rows within a partition
+ROW_BITS = 33
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread: int = 64) -> DataFrame:
@@ -36,14 +40,20 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 
 
 def sliced(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
-    """A written copy with `_slice`, the range of the order each row lies in.
+    """A written copy in order: `_slice`, the range of the order a row lies in, and `_within`, its place there.
 
-    Spark chooses the ranges. The slice is stored with the row, so whatever reads the
-    copy, or reads it again after losing an executor, sees the same slices.
+    Spark chooses the ranges from a sample. Both are stored with the row, so whatever reads the
+    copy, or reads it again after losing an executor, sees the same.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order_by).withColumn("_slice", F.spark_partition_id())
-    return cut_lineage(ranged, "sliced")
+    # the id counts the rows of a partition in its lower bits and the partitions above them
+    ranged = df.repartitionByRange(slices, *order_by).sortWithinPartitions(*order_by).withColumn("_id", F.monotonically_increasing_id())
+    return cut_lineage(
+        ranged.withColumns({
+            "_slice": F.shiftright("_id", ROW_BITS).cast("int"), "_within": F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
+        }).drop("_id"),
+        "sliced",
+    )
 
 
 def number_rows(
@@ -51,20 +61,19 @@ def number_rows(
 ) -> DataFrame:
     """Add the 0-based position of each row along `order_by`, which must be unique and not NULL.
 
-    Rows are numbered slice by slice, each slice starting at the count of rows before it.
-    With `at_most`, only the first that many rows are kept, and only the slices that
-    hold them are sorted.
+    One written copy holds the rows in order; a row's position is its place in its slice plus the rows of the slices
+    before. The result is a plain scan of the copy, so Spark knows its size. With `at_most`, only the first that many rows are
+    kept, and only the slices that hold them are read.
     """
     copy = sliced(df, order_by, slices)
-    sizes = copy.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    if at_most is not None:
-        offsets = offsets.filter(F.col("_offset") < at_most)
     # one row per slice
-    needed = copy.join(F.broadcast(offsets), "_slice")
-    within = F.row_number().over(W.partitionBy("_slice").orderBy(*order_by)) - 1
-    numbered = needed.withColumn("_within", within).select(*df.columns, (F.col("_offset") + F.col("_within")).alias(name))
+    sizes = dict(copy.groupBy("_slice").agg(F.count(F.lit(1))).collect())
+    offsets = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0))
+    if at_most is not None:
+        offsets = offsets[: max(1, bisect_left(offsets, at_most))]
+        copy = copy.filter(F.col("_slice") < len(offsets))
+    before = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in offsets]), F.col("_slice") + 1)
+    numbered = copy.select(*df.columns, (before + F.col("_within")).alias(name))
     return numbered if at_most is None else numbered.filter(F.col(name) < at_most)
 
 

@@ -13,7 +13,7 @@ from match_lake.functions.moments import instant
 from match_lake.operators import cohort, discovery, metrics, quality, silver
 from match_lake.operators.ordering import number_rows, spread_join
 from match_lake.session import cut_lineage
-from match_lake.sources import landing, manifest, store, tables
+from match_lake.sources import landing, latest, manifest, store, tables
 
 
 class Crawl(NamedTuple):
@@ -42,6 +42,7 @@ def cohort_crawl(
     """What a forward-only run for a ranked cohort lists and fetches.
 
     With `timelines`, a match counts as stored only when both its documents are.
+    `ladder` holds all snapshots, or the latest state kept of them.
     `per_account` replaces the fixed look-back by each account's own last listing
     (and so leaves nobody out for having been listed recently). `pending` takes the
     deferred ids of the run before, which a fixed look-back may not reach any more. `queue`
@@ -109,15 +110,18 @@ class Snapshot(NamedTuple):
 
 
 def ladder_snapshot(
-    pages: DataFrame, platform: str, fetched_at: datetime | str, database: str, fmt: str = "parquet"
+    pages: DataFrame, platform: str, fetched_at: datetime | str, database: str, keep_latest: bool = False, fmt: str = "parquet"
 ) -> Snapshot:
     """Append landed ladder pages (landing.read_documents) as one snapshot and count it.
 
-    The counts are read back from what was stored.
+    The counts are read back from what was stored. With `keep_latest` the snapshot is also merged into the latest state
+    (sources.latest), which a cohort can be chosen from instead of from all snapshots.
     """
     written = tables.append_ladder(landing.parse_ladder_page(pages, platform, fetched_at), database, fmt)
     stored = tables.read_or_empty(pages.sparkSession, database, schemas.LEAGUE_ENTRIES, platform)
     stored = stored.filter(F.col("fetched_at") == instant(fetched_at))
+    if keep_latest:
+        latest.merge_snapshot(stored, database, fmt)
     return Snapshot(written, metrics.snapshot_totals(stored), metrics.bucket_counts(stored))
 
 

@@ -87,6 +87,8 @@ def probe(candidates: DataFrame, spark: SparkSession, name: str, ingests: Collec
     A candidate meets, per size of index, the one block its hash falls into.
     """
     indexed = [x for x in ingests if x.level is not None]
+    if not indexed:
+        return candidates.select(id_col, F.lit("").alias("platform"), F.lit("").alias(manifest.INGEST)).limit(0)
     levels = spark.createDataFrame(sorted({(x.platform, x.ingest, x.level) for x in indexed}), "platform string, ingest string, level int")
     wanted = candidates.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
     sizes = sorted({x.level for x in indexed})

@@ -5,7 +5,7 @@ import pytest
 from conftest import plan_of, rows
 
 from match_lake import schemas
-from match_lake.operators import discovery, metrics
+from match_lake.operators import discovery, metrics, ordering
 from match_lake.sources.tables import empty
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -108,6 +108,64 @@ def test_crawl_plan_equals_the_walk(spark, seed):
     assert {r["match_id"] for r in plan.deferred.collect()} == seen - set(known) - set(fetched)
 
 
+def walk_with_pending(pending, accounts, played, known, budget, batch):
+    """As walk, after a first round that lists nobody and fetches what is pending."""
+    stored, new = set(known), sorted(set(pending) - set(known))
+    fetched = {m: (-1, pos) for pos, m in enumerate(new[: max(0, budget // 2)])}
+    listed, used = [-1] if pending else [], 2 * len(fetched)
+    # ids over the budget stay with their round
+    if new and used >= budget:
+        return fetched, listed, used
+    more, later, used_later = walk(accounts, played, stored | set(new), budget - used, batch) if accounts else ({}, [], 0)
+    return {**fetched, **more}, listed + later, used + used_later
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_pending_ids_come_first_and_cost_no_listing(spark, seed):
+    rng = random.Random(100 + seed)
+    batch = rng.choice([2, 3])
+    accounts = [f"a{i}" for i in range(rng.choice([0, 0, 4, 9]))]
+    played = {a: [f"m{rng.randint(0, 40)}" for _ in range(rng.randint(0, 6))] for a in accounts}
+    known = [f"m{i}" for i in range(40) if rng.random() < 0.2]
+    pending = [f"m{rng.randint(0, 60)}" for _ in range(rng.choice([0, 1, 8, 30]))]
+    budget = rng.choice([0, 1, 2, 7, 12, 40, 300])
+    plan = discovery.crawl_plan(
+        spark.createDataFrame([(a,) for a in accounts], "puuid string"), listing(spark, [(a, m, T0, 420) for a, ms in played.items() for m in ms]),
+        ids(spark, known), budget, platform="br1", batch=batch,
+        pending=spark.createDataFrame([(m,) for m in [*pending, None]], "match_id string"),
+    )
+    fetched, listed, used = walk_with_pending(pending, accounts, played, known, budget, batch)
+    assert {r["match_id"]: (r["batch_no"], r["pos"]) for r in plan.fetch.collect()} == fetched
+    assert sorted(r["batch_no"] for r in plan.batches.filter("listed").collect()) == listed
+    reached = accounts[: batch * (max(listed, default=-1) + 1)]
+    seen = set(pending) | {m for a in reached for m in played[a]}
+    assert {r["match_id"] for r in plan.deferred.collect()} == seen - set(known) - set(fetched)
+    progress = metrics.run_progress(plan.batches, budget).orderBy("batch_no").collect()
+    assert (progress[-1]["budget_used"] if progress else 0) == used
+
+
+def test_deferred_ids_outlive_runs_without_accounts(spark):
+    """A budget of two matches a run and nobody to list: what was deferred is fetched bit by bit, none is lost."""
+    nobody, nothing = empty(spark, "puuid string"), empty(spark, schemas.LISTING)
+    pending, stored = ids(spark, [f"m{i}" for i in range(5)]).select("match_id"), []
+    for left in (3, 1, 0):
+        plan = discovery.crawl_plan(nobody, nothing, ids(spark, stored), 5, platform="br1", pending=pending)
+        stored += [r["match_id"] for r in plan.fetch.collect()]
+        pending = spark.createDataFrame(plan.deferred.select("match_id").collect(), "match_id string")
+        assert pending.count() == left
+    assert sorted(stored) == [f"m{i}" for i in range(5)]
+
+
+def test_a_plan_writes_three_tables(spark, monkeypatch):
+    written = []
+    for module in (discovery, ordering):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, purpose="step", real=module.cut_lineage: (written.append(purpose), real(df, purpose))[1])
+    df = listing(spark, [("a", f"m{i}", T0, 1) for i in range(5)])
+    plan = discovery.crawl_plan(spark.createDataFrame([("a",)], "puuid string"), df, ids(spark, []), 7, platform="br1")
+    assert [plan.fetch.count(), plan.deferred.count(), plan.batches.count()] == [3, 2, 1]
+    assert written == ["sliced", "found", "sliced"]
+
+
 def test_without_a_budget_everything_is_fetched(spark):
     df = listing(spark, [("a", "m2", T0, 1), ("b", "m1", T0, 1), ("b", "m2", T0, 1)])
     plan = discovery.crawl_plan(

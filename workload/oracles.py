@@ -114,7 +114,8 @@ COHORT_NUMBERED = f"""
 COHORT_FIXED = f"""
     SELECT puuid AS account, (row_number() OVER (ORDER BY puuid) - 1) // 100 AS batch_no FROM (
       SELECT puuid FROM ({latest(ladder(), 'puuid')}) WHERE tier IN {GOLD_UP} ORDER BY puuid LIMIT 1000)
-    WHERE puuid NOT IN (SELECT puuid FROM ({CHECKPOINT}) WHERE listed_at > {AS_OF} - INTERVAL 8760 HOUR)"""
+    WHERE puuid NOT IN ({RECENT})"""
+TWO_DAYS = f"""SELECT * REPLACE ({AS_OF} - to_hours(CAST(substr(match_id, 3) AS BIGINT) % 48) AS played_at) FROM ({LISTING})"""
 
 SILVER = """
     SELECT 'M_' || o_orderkey AS match_id, 'br1' AS platform, TIMESTAMP '2024-02-01 06:00:00' AS fetched_at,
@@ -247,6 +248,7 @@ ORACLES: dict[str, str] = {
     "complete_ids": f"SELECT match_id, 'br1' AS platform FROM ({STORED_TIMELINES})",
     "missing_timelines": f"SELECT match_id, 'br1' AS platform FROM ({STORED}) WHERE match_id NOT IN ({STORED_TIMELINES})",
     "crawl_plan": crawl(NUMBERED, RECENT_LISTING, 12_000, FETCH),
+    "crawl_plan_in_place": crawl(NUMBERED, RECENT_LISTING, 12_000, FETCH),
     "crawl_plan_unbounded": crawl(NUMBERED, RECENT_LISTING, None, FETCH),
     "crawl_deferred": crawl(NUMBERED, RECENT_LISTING, 12_000, DEFERRED),
     "run_progress": crawl(NUMBERED, RECENT_LISTING, 12_000, PROGRESS),
@@ -319,6 +321,12 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'not_null', 'duration_seconds', count(*) FILTER (duration_seconds IS NULL) FROM ({DOUBTFUL})
           UNION ALL SELECT 'unique', 'match_id', count(*) FROM (
             SELECT match_id FROM ({DOUBTFUL}) GROUP BY match_id HAVING count(*) > 1))""",
+    "checks_by_ingest": f"""
+        SELECT *, failures = 0 AS passed FROM (
+          SELECT 'not_null' AS test, 'match_id' AS "column", count(*) FILTER (match_id IS NULL) AS failures FROM ({DOUBTFUL})
+          UNION ALL SELECT 'not_null', 'duration_seconds', count(*) FILTER (duration_seconds IS NULL) FROM ({DOUBTFUL})
+          UNION ALL SELECT 'unique', 'match_id', count(*) FROM (
+            SELECT match_id FROM ({DOUBTFUL}) GROUP BY match_id HAVING count(*) > 1))""",
     "snapshot_totals": totals(ladder()),
     "payload_sizes": """
         SELECT doc_id, length(text) // 1024 AS kb, CAST(octet_length(encode(text)) AS BIGINT) AS payload_bytes FROM documents""",
@@ -345,9 +353,25 @@ ORACLES: dict[str, str] = {
     "read_or_empty": f"SELECT match_id FROM ({LISTING})",
     "rebuild_silver": SILVER,
     "refresh_silver": SILVER,
+    "refresh_silver_replay": SILVER,
+    "unseen_by_index": f"SELECT match_id, account FROM ({LISTING}) WHERE match_id NOT IN ({STORED})",
+    "dead_letters": """
+        SELECT 'page-' || page_id AS file_path, CASE WHEN page_id % 2 = 0 THEN 'not_json' ELSE 'no_id' END AS reason FROM pages""",
+    "stored_summary": shares(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {MEASURE.format('text')} FROM {source}"
+        for t, source in (("matches", "documents"), ("timelines", "conversations")))),
+    "latest_state": latest(ladder(PLATFORM_CASE), "platform, puuid"),
+    "select_cohort_from_state": f"""
+        SELECT * FROM (
+          SELECT puuid, tier, league_points FROM ({latest(ladder(), 'puuid')}) WHERE tier IN {GOLD_UP}
+          ORDER BY puuid LIMIT 60) WHERE puuid NOT IN ({RECENT})""",
     "stream_land": SILVER,
+    "crawl_pending": f"""
+        SELECT CAST(-1 AS BIGINT) AS batch_no, match_id, pos, pos // 50 AS fetch_no, CAST(pos % 4 AS INTEGER) AS worker FROM (
+          SELECT match_id, row_number() OVER (ORDER BY match_id) - 1 AS pos FROM (
+            {crawl(NUMBERED, RECENT_LISTING, 900, DEFERRED)})) WHERE 2 * (pos + 1) <= 61""",
     "cohort_crawl_fixed": crawl(
-        COHORT_FIXED, f"SELECT * FROM ({MOVED_LISTING}) WHERE played_at > {AS_OF} - INTERVAL 8760 HOUR", 1_500, FETCH),
+        COHORT_FIXED, f"SELECT * FROM ({TWO_DAYS}) WHERE played_at > {AS_OF} - INTERVAL 24 HOUR", 1_500, FETCH),
     "cohort_crawl": crawl(COHORT_NUMBERED, since_last(24 * 365), 1_500, FETCH),
     "personal_crawl": f"""
         SELECT account, match_id, played_at, queue_id, pos, pos // 50 AS fetch_no, CAST(pos % 4 AS INTEGER) AS worker FROM (

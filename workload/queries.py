@@ -16,7 +16,8 @@ from match_lake.functions.moments import hours_before, iso_utc
 from match_lake.operators import cohort, discovery, metrics, quality, silver, timeline
 from match_lake.plans import jobs
 from match_lake.session import scratch_dir
-from match_lake.sources import landing, tables
+from match_lake.sources import checks, idindex, landing, latest, store, tables
+from match_lake.sources import listing as stored_by_account
 from match_lake.streaming import landing as streaming
 from workload import standins as given
 
@@ -28,6 +29,7 @@ LOOKBACK = 24
 SINCE = "1998-01-01 00:00:00"
 BUDGET = 12_000
 WORKERS = 4
+SMALL_BUDGET, PENDING_BUDGET = 900, 61
 
 
 def query(fn: Query) -> Query:
@@ -561,6 +563,101 @@ def refresh_silver(spark, sf):
     return plain_time(jobs.silver_refresh(spark, database), "fetched_at", "created_at").select(*columns)
 
 
+@query
+def refresh_silver_replay(spark, sf):
+    """A load run again with more documents than the first time, and others beside it: silver follows."""
+    database = new_database(spark)
+    docs = given.match_headers(spark, sf).select(
+        F.col("payload").alias("value"), F.col("match_id").alias("file_path"), F.col("match_id").alias("file_name")
+    )
+    part = F.pmod(F.xxhash64("file_path"), F.lit(4))
+    for load, of in (("a", part == 0), ("b", part == 1), ("a", part != 1)):
+        store.store_new(docs.filter(of), database, schemas.MATCHES, given.PLATFORM, load, given.FETCHED_AT)
+        rows = jobs.silver_refresh(spark, database)
+    return plain_time(rows, "fetched_at", "created_at").select(*silver.flatten_matches(given.match_headers(spark, sf)).columns)
+
+
+@query
+def checks_by_ingest(spark, sf):
+    """run_checks over a silver table refreshed after each of three appends, from notes of each ingest."""
+    database = new_database(spark)
+    once = given.damaged_headers(spark, sf)
+    again = once.filter(F.get_json_object("payload", "$.info.gameDuration") == "n/a")
+    odd = F.pmod(F.xxhash64("match_id"), F.lit(2)) == 1
+    for part in (once.filter(odd), again, once.filter(~odd)):
+        tables.append_table(part, database, schemas.MATCHES)
+        jobs.silver_refresh(spark, database, strict=False)
+        rows = checks.refresh_checks(spark, database)
+    return rows
+
+
+@query
+def unseen_by_index(spark, sf):
+    """unseen_ids against four stored ingests by way of their id indexes."""
+    database = new_database(spark)
+    finished = given.stored_matches(spark, sf).select(
+        "match_id", "platform", F.lit(given.FETCHED_AT).cast("timestamp").alias("fetched_at"), F.lit("{}").alias("payload")
+    )
+    for i in range(4):
+        tables.append_table(finished.filter(F.pmod(F.xxhash64("match_id"), F.lit(4)) == i), database, schemas.MATCHES)
+    candidates = given.listing(spark, sf).select("match_id", "account")
+    return idindex.unseen_ids(candidates, f"{database}.{schemas.MATCHES}", given.PLATFORM)
+
+
+@query
+def dead_letters(spark, sf):
+    """Pages, some raw and some as documents without an id, among match headers; the load is run twice."""
+    database = new_database(spark)
+    pages = given.table(spark, sf, "pages").select(
+        F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.to_json(F.struct("page_id", "html"))).alias("value"),
+        given.prefixed("page-", "page_id").alias("file_path"),
+    )
+    headers = given.match_headers(spark, sf).select(F.col("payload").alias("value"), F.col("match_id").alias("file_path"))
+    docs = pages.unionByName(headers).withColumn("file_name", F.col("file_path"))
+    for _ in range(2):
+        store.store_new(docs, database, schemas.MATCHES, given.PLATFORM, "one", given.FETCHED_AT, whole_files=False)
+    return store.dead_letters(spark, database, schemas.MATCHES, given.PLATFORM).select("file_path", "reason")
+
+
+@query
+def stored_summary(spark, sf):
+    """What the writes of two tables counted, after a compaction; no document is read."""
+    database = new_database(spark)
+    for name, source, text in ((schemas.MATCHES, "documents", "text"), (schemas.TIMELINES, "conversations", "text")):
+        rows = given.table(spark, sf, source)
+        ids = F.monotonically_increasing_id().cast("string").alias("match_id")
+        docs = rows.select(
+            ids, F.lit(given.PLATFORM).alias("platform"), F.lit(given.FETCHED_AT).cast("timestamp").alias("fetched_at"), F.col(text).alias("payload")
+        )
+        half = F.pmod(F.xxhash64("payload"), F.lit(2)) == 0
+        for part in (docs.filter(half), docs.filter(~half)):
+            tables.append_table(part, database, name)
+    tables.compact(spark, database, schemas.MATCHES, given.PLATFORM)
+    return metrics.stored_summary(spark, database, (schemas.MATCHES, schemas.TIMELINES))
+
+
+def _merged_state(spark, sf, platform) -> DataFrame:
+    """The ladder in four snapshots that arrive in no order, one of them twice."""
+    database = new_database(spark)
+    rows = given.ladder(spark, sf, platform)
+    for i in (2, 0, 3, 2, 1):
+        latest.merge_snapshot(rows.filter(F.pmod(F.xxhash64("puuid", "fetched_at"), F.lit(4)) == i), database)
+    return latest.read_latest(spark, database, platform)
+
+
+@query
+def latest_state(spark, sf):
+    return plain_time(_merged_state(spark, sf, None), "fetched_at")
+
+
+@query
+def select_cohort_from_state(spark, sf):
+    """select_cohort, from the latest state instead of all snapshots."""
+    return cohort.select_cohort(
+        _merged_state(spark, sf, given.PLATFORM), given.checkpoint(spark, sf), "GOLD+", 60, given.AS_OF, LOOKBACK, given.PLATFORM, TIE
+    )
+
+
 @query
 def stream_land(spark, sf):
     """Headers written out as lines, streamed in; then written out again and streamed on top: nothing changes."""
@@ -580,25 +677,48 @@ def stream_land(spark, sf):
 # --- jobs --------------------------------------------------------------------
 
 
-def _cohort_crawl(spark, sf, **options) -> jobs.Crawl:
-    # the listing dates from before the ladder: move it into the same days
-    moved = given.listing(spark, sf).withColumn("played_at", F.expr("played_at + interval 8240 days"))
+def _cohort_crawl(spark, sf, listing, lookback, **options) -> jobs.Crawl:
     return jobs.cohort_crawl(
-        given.ladder(spark, sf), given.checkpoint(spark, sf), moved, given.stored_matches(spark, sf),
+        given.ladder(spark, sf), given.checkpoint(spark, sf), listing, given.stored_matches(spark, sf),
         datetime.fromisoformat(given.AS_OF), given.PLATFORM, tiers="GOLD+", max_accounts=1_000,
-        lookback_hours=24 * 365, call_budget=1_500, workers=WORKERS, **options,
+        lookback_hours=lookback, call_budget=1_500, workers=WORKERS, **options,
     )
 
 
 @query
 def cohort_crawl(spark, sf):
-    return _cohort_crawl(spark, sf, per_account=True).plan.fetch
+    # the listing dates from before the ladder: move it into the same days
+    moved = given.listing(spark, sf).withColumn("played_at", F.expr("played_at + interval 8240 days"))
+    return _cohort_crawl(spark, sf, moved, 24 * 365, per_account=True).plan.fetch
 
 
 @query
 def cohort_crawl_fixed(spark, sf):
-    """The look-back of the default job."""
-    return _cohort_crawl(spark, sf).plan.fetch
+    """The look-back of the default job. Matches are spread over the two days before it."""
+    hours = F.make_interval(hours=F.pmod(F.substr("match_id", F.lit(3)).cast("int"), F.lit(48)))
+    recent = given.listing(spark, sf).withColumn("played_at", F.lit(given.AS_OF).cast("timestamp") - hours)
+    return _cohort_crawl(spark, sf, recent, LOOKBACK).plan.fetch
+
+
+@query
+def crawl_pending(spark, sf):
+    """What a run without accounts to list fetches of the ids an earlier one deferred, under a smaller budget than they need."""
+    deferred = _crawl(spark, sf, SMALL_BUDGET).deferred
+    nobody, nothing = given.accounts(spark, sf).limit(0), given.listing(spark, sf).limit(0)
+    return discovery.crawl_plan(
+        nobody, nothing, given.stored_matches(spark, sf), PENDING_BUDGET, WORKERS, given.PLATFORM, pending=deferred
+    ).fetch
+
+
+@query
+def crawl_plan_in_place(spark, sf):
+    """crawl_plan, from the listing stored by account."""
+    database = new_database(spark)
+    stored_by_account.append_listing(given.listing(spark, sf), database)
+    listing = discovery.played(stored_by_account.read_listing(spark, database), SINCE)
+    return discovery.crawl_plan(
+        given.accounts(spark, sf), listing, given.stored_matches(spark, sf), BUDGET, WORKERS, given.PLATFORM
+    ).fetch
 
 
 @query
