@@ -18,7 +18,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from match_lake.session import cut_lineage
 from match_lake.sources import manifest
 
 DDL = "block bigint, bits binary, platform string, ingest string"
@@ -106,21 +105,18 @@ def stored_ids(
 ) -> DataFrame:
     """Distinct candidate ids that are stored in the live ingests (or in those given), read from the ones that may hold them.
 
-    Ingests that are hit are named to the scan, one literal each; the ids of those are semi-joined with the candidates that hit.
+    Ingests that are hit are named to the scan, one literal each; their ids are semi-joined with the candidates.
     """
     spark = candidates.sparkSession
     ingests = manifest.resolved(spark, name) if ingests is None else ingests
     ingests = [x for x in ingests if platform in (None, x.platform)]
-    rows, wanted = spark.table(name), candidates.select(id_col)
-    opened = [x for x in ingests if x.level is None]
-    if len(opened) < len(ingests):
-        hits = cut_lineage(probe(candidates, spark, name, ingests, id_col), "hits")
+    named: set[tuple[str, str]] = set()
+    if any(x.level is not None for x in ingests):
         # at most one row per ingest
-        named = {tuple(r) for r in hits.select("platform", manifest.INGEST).distinct().collect()}
-        if not opened:
-            wanted = hits.select(id_col)
-        opened += [x for x in ingests if (x.platform, x.ingest) in named and x.level is not None]
-    return manifest.of_ingests(rows, opened).select(id_col).join(wanted.distinct(), id_col, "left_semi").distinct()
+        named = {tuple(r) for r in probe(candidates, spark, name, ingests, id_col).select("platform", manifest.INGEST).distinct().collect()}
+    opened = [x for x in ingests if x.level is None or (x.platform, x.ingest) in named]
+    rows = manifest.of_ingests(spark.table(name), opened).select(id_col)
+    return rows.join(candidates.select(id_col).distinct(), id_col, "left_semi").distinct()
 
 
 def unseen_ids(candidates: DataFrame, name: str, platform: str | None = None, id_col: str = "match_id") -> DataFrame:

@@ -90,18 +90,21 @@ def ladder_rejects(pages: DataFrame, value: str = "value") -> DataFrame:
 
 def page_rejects(pages: DataFrame, value: str = "value") -> DataFrame:
     """Pages that are not JSON ("malformed") or hold values of the wrong type ("wrong type"), with the reason."""
-    unread = F.from_json(value, schemas.LADDER_PAGE).isNull()
     columns = schemas.LADDER_PAGE.removeprefix("array<struct<").removesuffix(">>")
-    loose = ", ".join(f"{c.split(':')[0]}: string" for c in columns.split(", "))
-    texts, typed = F.from_json(value, f"array<struct<{loose}>>"), F.from_json(value, schemas.LADDER_PAGE)
+    names = [c.split(":")[0] for c in columns.split(", ")]
+    loose = f"array<struct<{', '.join(f'{n}: string' for n in names)}>>"
 
     def given(entries: Column) -> Column:
-        names = [c.split(":")[0] for c in columns.split(", ")]
         return F.transform(entries, lambda e: F.array(*[e[n].isNotNull() for n in names]))
 
+    # In generators, so that the filter does not read pages once more; what is no JSON is not read as a page at all.
     is_json = F.coalesce(F.try_parse_json(value).isNotNull(), F.lit(False))
-    reason = F.when(~is_json | texts.isNull(), F.lit("malformed")).when(unread | (given(texts) != given(typed)), F.lit("wrong type"))
-    return pages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    read = pages.withColumn("_is_json", F.explode(F.array(is_json)))
+    both = F.struct(F.from_json(value, loose).alias("texts"), F.from_json(value, schemas.LADDER_PAGE).alias("typed"))
+    read = read.withColumn("_read", F.explode(F.array(F.when(F.col("_is_json"), both))))
+    texts, typed = F.col("_read.texts"), F.col("_read.typed")
+    reason = F.when(texts.isNull(), F.lit("malformed")).when(typed.isNull() | (given(texts) != given(typed)), F.lit("wrong type"))
+    return read.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_is_json", "_read")
 
 
 def _entries(pages: DataFrame, value: str) -> DataFrame:

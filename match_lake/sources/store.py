@@ -111,8 +111,10 @@ def store_new(
         F.col("value").alias("payload"),
     )
     rows = everything.filter(F.col("match_id").isNotNull())
-    counted = rows.groupBy("match_id", "origin").agg(F.count(F.lit(1)).alias("copies"))
-    arrived = cut_lineage(counted.groupBy("match_id").agg(F.min(F.struct("origin", "copies")).alias("first")), "arrived")
+    counted = everything.groupBy("match_id", "origin").agg(F.count(F.lit(1)).alias("copies"))
+    # documents without an id are counted along: one row, if there are any
+    met = cut_lineage(counted.groupBy("match_id").agg(F.min(F.struct("origin", "copies")).alias("first")), "arrived")
+    arrived, nameless = met.filter(F.col("match_id").isNotNull()), not met.filter(F.col("match_id").isNull()).isEmpty()
     live = manifest.resolved(spark, table)
     own = own_ingests(live, platform, ingest)
     if own and not manifest.of_ingests(spark.table(table), own).select("match_id").join(arrived, "match_id", "left_anti").isEmpty():
@@ -127,20 +129,20 @@ def store_new(
     if not whole_files:
         out = out.union(picked(new.filter("copies > 1")).dropDuplicates(["match_id"]))
     lost = everything.filter(F.col("match_id").isNull())
-    store_dead_letters(lost, database, kind, platform, ingest, stamp, fmt)
+    store_dead_letters(lost, nameless, database, kind, platform, ingest, stamp, fmt)
     replace_load(out.select("match_id", stamp.alias("fetched_at"), "payload"), table, platform, ingest, live, fmt=fmt)
 
 
 def store_dead_letters(
-    lost: DataFrame, database: str, kind: str, platform: str, ingest: str, stamp: Column, fmt: str = "parquet"
+    lost: DataFrame, any_lost: bool, database: str, kind: str, platform: str, ingest: str, stamp: Column, fmt: str = "parquet"
 ) -> None:
-    """Store what a load brought without an id, in place of what it stored before. The table is made with the first of them."""
+    """Store the documents a load brought without an id, in place of what it stored before. The table is made with the first of them."""
     spark = lost.sparkSession
     name = qualified(database, dead_letter_table(kind))
     there = spark.catalog.tableExists(name)
+    if not any_lost and not (there and own_ingests(manifest.resolved(spark, name), platform, ingest)):
+        return
     if not there:
-        if lost.isEmpty():
-            return
         manifest.publish(spark, name, [])
         layout = ["platform", INGEST]
         empty(spark, f"{DEAD_LETTERS}, platform string, {INGEST} string").write.format(fmt).partitionBy(*layout).mode("ignore").saveAsTable(name)
