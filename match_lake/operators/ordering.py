@@ -46,12 +46,14 @@ def sliced(df: DataFrame, order_by: Sequence[str], slices: int | None = None) ->
     copy, or reads it again after losing an executor, sees the same.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the id counts the rows of a partition in its lower bits and the partitions above them
-    ranged = df.repartitionByRange(slices, *order_by).sortWithinPartitions(*order_by).withColumn("_id", F.monotonically_increasing_id())
+    # Spark's id counts the rows of a partition in its lower bits and the partitions above them
+    place = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(slices, *order_by).sortWithinPartitions(*order_by)
     return cut_lineage(
-        ranged.withColumns({
-            "_slice": F.shiftright("_id", ROW_BITS).cast("int"), "_within": F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
-        }).drop("_id"),
+        ranged.select(
+            "*", F.shiftright(place, ROW_BITS).cast("int").alias("_slice"),
+            place.bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_within"),
+        ),
         "sliced",
     )
 

@@ -37,6 +37,12 @@ def test_at_most_keeps_the_first_rows(spark):
         assert rows(got) == sorted([(i, i) for i in range(40)], key=repr)
 
 
+def test_columns_of_any_name_pass_through(spark):
+    df = spark.range(100).select((F.col("id") * 7 % 100).alias("_id"), F.col("id").alias("_rows"))
+    got = ordering.number_rows(df, ["_id"], "_pos", slices=3)
+    assert got.columns == ["_id", "_rows", "_pos"] and all(r["_id"] == r["_pos"] for r in got.collect())
+
+
 def test_empty_input(spark):
     df = spark.range(0).select(F.col("id").alias("k"))
     assert ordering.number_rows(df, ["k"]).count() == 0
