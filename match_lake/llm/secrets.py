@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from match_lake.operators.ordering import first_rows
+
 # The patterns of the three base kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -207,8 +209,9 @@ def count_words(docs: DataFrame, text: str = "text", at_most: int = WORDS, least
 
     counted = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "word string, n bigint")
     common = counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_documents)
-    top = common.orderBy(F.col("n").desc(), "word").limit(at_most).collect()
-    return ranked([*COMMON, *(r["word"] for r in top)])
+    # cut in ranges of the order: no task and not the driver meets more than the words that are wanted
+    top = first_rows(common.withColumn("_down", -F.col("n")), ["_down", "word"], at_most).collect()
+    return ranked([*COMMON, *(r["word"] for r in sorted(top, key=lambda r: (-r["n"], r["word"])))])
 
 
 def find_secrets(
