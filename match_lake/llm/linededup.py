@@ -24,7 +24,6 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from functools import reduce
 from hashlib import blake2b
 
 import pandas as pd
@@ -96,6 +95,8 @@ class LineRuns:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self.paths: dict[str, str] = {}
+        # all runs as partitions of one bucketed table, over the files of their own tables
+        self.all_runs: str | None = None
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
@@ -113,6 +114,7 @@ class LineRuns:
         self.paths[name] = scratch_dir(self.spark, name)
         writer = entries.write.bucketBy(self.buckets, "key").sortBy("key").option("path", self.paths[name])
         writer.saveAsTable(name)
+        self._enlist(name)
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(name)
@@ -122,9 +124,26 @@ class LineRuns:
             self.levels[level] = []
             self._drop(old)
 
+    def _enlist(self, name: str) -> None:
+        if self.all_runs is None:
+            self.all_runs = f"line_levels_{uuid.uuid4().hex}"
+            self.paths[self.all_runs] = scratch_dir(self.spark, self.all_runs)
+            self.spark.sql(
+                f"create table {self.all_runs} (key binary, docs bigint, run string) using {self._format()} partitioned by (run) "
+                f"clustered by (key) into {self.buckets} buckets location '{self.paths[self.all_runs]}'"
+            )
+        self.spark.sql(f"alter table {self.all_runs} add partition (run = '{name}') location '{self.paths[name]}'")
+
+    def _format(self) -> str:
+        return self.spark.conf.get("spark.sql.sources.default")
+
     def _merged(self, names: Sequence[str]) -> DataFrame:
-        """Runs merged bucket by bucket, counts added up."""
-        both = reduce(DataFrame.union, [self.spark.table(name).select("key", "docs") for name in names])
+        """Runs merged bucket by bucket, counts added up.
+
+        One scan reads a bucket of all the runs in one task. A union of their tables would not do: Spark may take
+        it for bucketed like its parts and still run it part by part, so a key in several runs would stay apart.
+        """
+        both = self.spark.table(self.all_runs).filter(F.col("run").isin(list(names)))
         return both.groupBy("key").agg(F.sum("docs").alias("docs"))
 
     def common(self) -> DataFrame:
@@ -135,6 +154,7 @@ class LineRuns:
 
     def _drop(self, names: Sequence[str]) -> None:
         for name in names:
+            self.spark.sql(f"alter table {self.all_runs} drop if exists partition (run = '{name}')")
             self.spark.sql(f"drop table if exists {name}")
             remove_folder(self.spark, self.paths.pop(name))
 
@@ -142,6 +162,10 @@ class LineRuns:
         """Remove all runs."""
         self._drop(self.runs())
         self.levels = []
+        if self.all_runs is not None:
+            self.spark.sql(f"drop table if exists {self.all_runs}")
+            remove_folder(self.spark, self.paths.pop(self.all_runs))
+            self.all_runs = None
 
 
 def file_batches(docs: DataFrame, at_most: int = BATCHES) -> list[DataFrame]:

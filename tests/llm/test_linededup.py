@@ -87,6 +87,25 @@ def test_runs_by_level(spark):
     runs.remove()
 
 
+@pytest.mark.parametrize("codegen", ["true", "false"])
+def test_keys_spread_over_batches(spark, codegen):
+    """Keys that no single run knows to be common, with whole-stage code as outside of the tests."""
+    rows = [(i, f"line {i % 40}\nline {i % 7} of seven\nown {i}") for i in range(480)]
+    batches = [frame(spark, rows[i * 80 : i * 80 + 80], 1) for i in range(6)]
+    spark.conf.set("spark.sql.codegen.wholeStage", codegen)
+    try:
+        assert result(linededup.drop_common_lines(frame(spark, rows), least=10, batches=batches)) == brute(rows, 10)
+        runs = linededup.LineRuns(spark, least=10)
+        for batch in batches:
+            runs.add(batch)
+        assert [len(level) for level in runs.levels] == [2, 1]
+        held = [bytes(r.key) for r in spark.table(runs.levels[1][0]).collect()]
+        assert len(held) == len(set(held))
+        runs.remove()
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def test_clashing_columns_and_empty_table(spark):
     rows = lined_rows()
     docs = frame(spark, rows).withColumnRenamed("bucket", "N_lines").withColumnRenamed("component_id", "key")
