@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from match_lake.llm.words import SPACE, free_names, one_row_each, row_hash, text_or_empty, word_count
+from match_lake.operators.ordering import number_rows
 from match_lake.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
@@ -127,6 +128,43 @@ def _placed(sized: DataFrame, ties: Sequence[str], weights: Sequence[int], ramps
     return placed.withColumn("before", F.col("_base") + F.col("_inside")).drop("_part", "_all", "_base", "_inside", "_source", "_known")
 
 
+def in_training_order(copies: DataFrame, *by: str) -> DataFrame:
+    """Copies range-sorted by position; the other columns settle what starts at the same time."""
+    return copies.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
+def training_order(plan: DataFrame, cap: int = CAP) -> DataFrame:
+    """The copies that the mix takes of the rows of a plan, narrow and numbered in training order, in a written copy.
+
+    place: from 0, over all sources. source, before: the row of the plan (rows with words differ in them). copy: from 0.
+    words: what is taken of the copy. position: when it starts.
+    """
+    turned = plan.filter((F.col("size") > 0) & (F.col("before") < F.floor("target"))).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.lit(cap - 1)))
+    )
+    done = F.col("copy") * F.col("source_size") + F.col("before")
+    copies = turned.withColumn("words", F.least(F.col("size"), F.floor("target") - done)).filter(F.col("words") > 0)
+    position = reached_at(done, F.col("target"), F.col("ramp_start"), F.col("ramp_end"))
+    placed = copies.select("source", "before", "turn", "copy", "words", position.alias("position"))
+    return number_rows(placed, ["position", "turn", "source", "before", "copy"], "place")
+
+
+def scheduled(plan: DataFrame, cap: int = CAP) -> DataFrame:
+    """The rows of a plan in the order in which training first meets them; those it leaves out come when their turn would.
+
+    `taken` and `first_position` are told by the row's copies in the training order. `plan` is read twice.
+    """
+    met = training_order(plan, cap).groupBy("source", "before").agg(
+        F.sum("words").cast("bigint").alias("taken"), F.min("position").alias("_first"), F.min("place").alias("_place")
+    ).withColumnsRenamed({"source": "_source", "before": "_before"})
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("before") == F.col("_before")) & (F.col("size") > 0)
+    turn_comes = reached_at(F.col("before"), F.col("target"), F.col("ramp_start"), F.col("ramp_end"))
+    rows = plan.drop("taken").join(met, same, "left").withColumns({
+        "taken": F.coalesce("taken", F.lit(0).cast("bigint")), "first_position": F.coalesce("_first", turn_comes),
+    })
+    return in_training_order(rows, "first_position", "_place", "turn").drop("_source", "_before", "_first", "_place")
+
+
 def first_words(text: str, n: Column) -> Column:
     """The first n words, one space between them."""
     parts = F.filter(F.split(text_or_empty(text), SPACE), lambda word: word != "")
@@ -166,5 +204,5 @@ def mix(
         position, reached_at(done, F.col(target), F.col(start), F.col(end))
     )
     cut = F.when(F.col(words) < F.col(ssize), first_words(text, F.col(words))).otherwise(F.col(text))
-    ordered = copies.repartitionByRange(position, turn, row, copy, nth).sortWithinPartitions(position, turn, row, copy, nth)
+    ordered = in_training_order(copies, position, turn, row, copy, nth)
     return ordered.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

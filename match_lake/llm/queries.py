@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from match_lake.llm import exact_dedup, jaccard, licenses, linededup, mixing, packing, pii, quality, resampling, secrets, substring, topk, whitening
+from match_lake.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,10 +79,10 @@ def op9_license_notices(spark, sf_dir):
 
 @query
 def op10_curriculum_mix(spark, sf_dir):
-    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
-    start = mixing.reached_at(F.col("before"), F.col("target"), F.col("ramp_start"), F.col("ramp_end"))
-    return plan.select(
-        F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken", start.alias("first_position")
+    # narrow, and read for the copies and for the documents
+    plan = cut_lineage(mixing.plan_mix(table(spark, sf_dir, "documents")), "plan")
+    return mixing.scheduled(plan).select(
+        F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken", "first_position"
     )
 
 

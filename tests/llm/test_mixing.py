@@ -5,6 +5,7 @@ import pytest
 from corpora import frame, odd_texts
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from match_lake.llm import mixing
 
 
@@ -82,6 +83,41 @@ def test_training_order(spark):
     assert dict(copies) == {k: v for k, v in taken.items() if v}
 
 
+def test_all_copies_in_training_order(spark):
+    """Every copy has a place and a position of its own, and the documents' columns follow from them."""
+    rows = odd_texts()
+    plan = mixing.plan_mix(frame(spark, rows))
+    told = {(r.source, r.before): r for r in plan.collect() if r["size"]}
+    ordered = sorted(mixing.training_order(plan).collect(), key=lambda r: r.place)
+    assert [r.place for r in ordered] == list(range(len(ordered)))
+    assert [r.position for r in ordered] == sorted(r.position for r in ordered)
+    assert {r.copy for r in ordered} == {0, 1, 2}
+    words, first = defaultdict(int), {}
+    for r in ordered:
+        row = told[r.source, r.before]
+        done, t = r.copy * row.source_size + r.before, r.position
+        assert row.ramp_start * t + (row.ramp_end - row.ramp_start) * t**2 / 2 == pytest.approx(done / row.target)
+        words[r.source, r.before] += r.words
+        first.setdefault((r.source, r.before), t)
+    assert {k: r.taken for k, r in told.items() if r.taken} == dict(words)
+    out = mixing.scheduled(plan).collect()
+    assert Counter((r.id, r.source, r.size, r.taken) for r in plan.collect()) == Counter((r.id, r.source, r.size, r.taken) for r in out)
+    assert [r.first_position for r in out] == sorted(r.first_position for r in out)
+    assert all(r.first_position == first[r.source, r.before] for r in out if r.taken)
+
+
+def test_query_orders_the_copies(spark, tmp_path):
+    """The query takes its figures from the copies in training order, not from the plan alone."""
+    from match_lake.llm.queries import QUERIES
+
+    frame(spark, odd_texts()).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_curriculum_mix"](spark, str(tmp_path))
+    plan = plan_of(found)
+    assert "sliced" in plan and "rangepartitioning(first_position" in plan
+    starts = [r.first_position for r in found.collect()]
+    assert starts == sorted(starts)
+
+
 def test_repeated_rows_take_their_own_turns(spark):
     """All rows of a source but a few repeat one id, some with another text of the same length."""
     rows = [(3, f"{w} b c d e") for w in ("a", "a", "a", "x")] * 25 + [(6, "f g h i j"), (1, "k l m"), (4, "n o p"), (2, "q " * 700)]
