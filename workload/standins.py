@@ -1,7 +1,7 @@
 """Native tables and documents derived, row by row, from the generated tables.
 
 Nothing here groups or collects: each document is built from one input row, so
-the stand-ins grow with the tables and cost no shuffle.
+the stand-ins grow with the tables and cost no shuffle but that of the rows they are built from.
 """
 
 from __future__ import annotations
@@ -30,10 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows that are about to grow into documents, over all cores if their file gave fewer parts."""
+def spread(df: DataFrame, per_core: int = 1) -> DataFrame:
+    """Rows that are about to grow into documents, dealt evenly over all cores.
+
+    How many parts a scan has tells nothing: a row group goes to one of them whole, and a file may hold all its rows in one.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(per_core * cores, df.rdd.getNumPartitions()))
 
 
 def lookup(mapping: dict, key: Column) -> Column:
@@ -141,8 +144,12 @@ def match_info(participants: Column | None = None) -> Column:
     return F.struct(*fields, *([] if participants is None else [participants.alias("participants")]))
 
 
-def _bronze(df: DataFrame, match_id: Column, payload: Column) -> DataFrame:
-    return spread(df).select(
+# Parts a core has of documents with players or minutes, so that a slow core does not hold up the others.
+PARTS = 4
+
+
+def _bronze(df: DataFrame, match_id: Column, payload: Column, per_core: int = 1) -> DataFrame:
+    return spread(df, per_core).select(
         match_id.alias("match_id"), F.lit(PLATFORM).alias("platform"), instant(FETCHED_AT).alias("fetched_at"),
         payload.alias("payload"),
     )
@@ -165,9 +172,11 @@ def stored_once(build):
     return read
 
 
-@stored_once
 def match_docs(spark: SparkSession, sf_dir: str, rendition: str = "k1", players: int = 10) -> DataFrame:
-    """Bronze matches: an order is a match; `rendition` is the key it was fetched with."""
+    """Bronze matches: an order is a match; `rendition` is the key it was fetched with.
+
+    Not stored: the documents are some 25 times the size of their orders.
+    """
     seats = F.sequence(F.lit(1), F.lit(players))
     people = F.transform(seats, lambda seat: _player(seat, rendition))
     names = F.transform(seats, lambda seat: F.concat(F.lit(f"{rendition}-"), seat.cast("string")))
@@ -175,7 +184,7 @@ def match_docs(spark: SparkSession, sf_dir: str, rendition: str = "k1", players:
     meta = F.struct(match_id.alias("matchId"), names.alias("participants"))
     return _bronze(
         table(spark, sf_dir, "orders"), match_id,
-        F.to_json(F.struct(meta.alias("metadata"), match_info(people).alias("info"))),
+        F.to_json(F.struct(meta.alias("metadata"), match_info(people).alias("info"))), PARTS,
     )
 
 
@@ -238,7 +247,7 @@ def timeline_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     match_id = prefixed("M_", F.col("conv_id") * 10 + F.col("turn"))
     frames = F.transform(F.split("text", " "), lambda word, minute: _frame(word, minute))
     doc = F.struct(F.struct(match_id.alias("matchId")).alias("metadata"), F.struct(frames.alias("frames")).alias("info"))
-    return _bronze(table(spark, sf_dir, "conversations"), match_id, F.to_json(doc))
+    return _bronze(table(spark, sf_dir, "conversations"), match_id, F.to_json(doc), PARTS)
 
 
 def ladder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
