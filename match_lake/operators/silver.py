@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from match_lake import schemas
 from match_lake.functions.documents import array_rejects, flatten_payload, flatten_rejects, parse_mode
 from match_lake.functions.identity import player_identity
+from match_lake.session import cut_lineage
 
 KEYS = ("match_id", "platform", "fetched_at")
 
@@ -92,7 +93,8 @@ def rendition_differences(one: DataFrame, other: DataFrame) -> DataFrame:
     """`differences` of the stable views of two sets of match documents.
 
     Documents are compared by a digest of their players first, one narrow row each; only
-    the matches whose digests differ are unfolded.
+    the matches whose digests differ are unfolded. These are written before the documents are read again: Spark
+    then knows how few they are and takes them to the documents instead of shuffling both sides.
     """
     keys = ["match_id", "platform"]
 
@@ -102,7 +104,7 @@ def rendition_differences(one: DataFrame, other: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.struct(F.count(F.lit(1)), F.sum("_digest")).alias(side))
 
     both = digests(one, "_one").join(digests(other, "_other"), keys, "full_outer")
-    suspects = both.filter(~F.col("_one").eqNullSafe(F.col("_other"))).select(*keys)
+    suspects = cut_lineage(both.filter(~F.col("_one").eqNullSafe(F.col("_other"))).select(*keys), "suspects")
     views = [stable_view(docs.join(suspects, keys, "left_semi")) for docs in (one, other)]
     return differences(*views)
 

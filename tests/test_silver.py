@@ -184,3 +184,17 @@ def test_damaged_documents_are_rejected_not_lost(spark):
     assert kept == {"m0", "m7"}
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         silver.participants(docs.filter("match_id = 'm7'"), strict=True).collect()
+
+
+def test_documents_stay_where_they_are_for_few_differences(spark, tmp_path):
+    """The matches that differ are known before the documents are read again, and go to them."""
+    text = '{"info": {"participants": [{"riotIdGameName": "n%s", "kills": %s}]}}'
+    schema = "match_id string, platform string, fetched_at timestamp, payload string"
+    for side in (0, 1):
+        docs = [(f"M_{i}", "br1", None, text % (i, i + side * (i == 7))) for i in range(200)]
+        spark.createDataFrame(docs, schema).write.parquet(f"{tmp_path}/{side}")
+    one, other = (spark.read.parquet(f"{tmp_path}/{side}") for side in (0, 1))
+    found = silver.rendition_differences(one, other)
+    plan = plan_of(found)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "FullOuter" not in plan
+    assert rows(found, "match_id", "kills", "surplus") == [("M_7", 7, 1), ("M_7", 8, -1)]
