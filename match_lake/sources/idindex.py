@@ -23,6 +23,8 @@ from match_lake.sources import manifest
 DDL = "block bigint, bits binary, platform string, ingest string"
 BLOCK_IDS = 2_048
 PROBES = 4
+# Of many candidates, one in so many is probed before the others.
+PARTS = 64
 # fixed value: bits of one block, as Spark's bitmap functions have them
 BLOCK_BITS = 32_768
 
@@ -91,14 +93,32 @@ def probe(candidates: DataFrame, spark: SparkSession, name: str, ingests: Collec
     levels = spark.createDataFrame(sorted({(x.platform, x.ingest, x.level) for x in indexed}), "platform string, ingest string, level int")
     wanted = candidates.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
     sizes = sorted({x.level for x in indexed})
-    probes = wanted.select(id_col, *[p.alias(f"_p{i}") for i, p in enumerate(_places(id_col))], F.explode(F.array(*map(F.lit, sizes))).alias("level"))
-    probes = probes.withColumn("block", _block(id_col, F.col("level")))
+    probes = wanted.withColumn("level", F.explode(F.array(*map(F.lit, sizes)))).withColumn("block", _block(id_col, F.col("level")))
     spark.catalog.refreshTable(index_table(name))
     blocks = manifest.of_ingests(spark.table(index_table(name)), indexed).join(levels, ["platform", manifest.INGEST])
-    hit = reduce(and_, [_is_set("bits", F.col(f"_p{i}")) for i in range(PROBES)])
+    # taken of the id where it meets its block, so that probes move without them
+    hit = reduce(and_, [_is_set("bits", place) for place in _places(id_col)])
     return blocks.join(probes, ["level", "block"]).filter(hit).select(id_col, "platform", manifest.INGEST)
 
 
+def ingests_hit(
+    candidates: DataFrame, spark: SparkSession, name: str, ingests: Collection[manifest.Live], id_col: str = "match_id", many: bool = False
+) -> set[tuple[str, str]]:
+    """(platform, ingest) of the indexed ingests that may hold a candidate.
+
+    Of `many` candidates some hit almost any ingest, be it by chance. One in PARTS of them, told by their hash, is probed
+    first then; all meet the ingests that these did not hit. The result is the same either way.
+    """
+    hit: set[tuple[str, str]] = set()
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col(id_col)), F.lit(PARTS)) == 0
+    for some in [candidates.filter(part), candidates] if many else [candidates]:
+        left = [x for x in ingests if x.level is not None and (x.platform, x.ingest) not in hit]
+        if left:
+            # at most one row per ingest
+            hit |= {tuple(r) for r in probe(some, spark, name, left, id_col).select("platform", manifest.INGEST).distinct().collect()}
+    return hit
+
+
 def stored_ids(
     candidates: DataFrame, name: str, platform: str | None = None, ingests: Collection[manifest.Live] | None = None,
     id_col: str = "match_id",
@@ -110,10 +130,7 @@ def stored_ids(
     spark = candidates.sparkSession
     ingests = manifest.resolved(spark, name) if ingests is None else ingests
     ingests = [x for x in ingests if platform in (None, x.platform)]
-    named: set[tuple[str, str]] = set()
-    if any(x.level is not None for x in ingests):
-        # at most one row per ingest
-        named = {tuple(r) for r in probe(candidates, spark, name, ingests, id_col).select("platform", manifest.INGEST).distinct().collect()}
+    named = ingests_hit(candidates, spark, name, ingests, id_col)
     opened = [x for x in ingests if x.level is None or (x.platform, x.ingest) in named]
     rows = manifest.of_ingests(spark.table(name), opened).select(id_col)
     return rows.join(candidates.select(id_col).distinct(), id_col, "left_semi").distinct()

@@ -1,5 +1,6 @@
 import pyarrow as pa
 import pyarrow.parquet as pq
+from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
 from workload import standins
@@ -21,3 +22,9 @@ def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
         spark.conf.set(size, before)
     assert len(dealt) >= 4
     assert max(r["count"] for r in dealt) <= 2 * 4000 / len(dealt)
+
+
+def test_documents_that_are_filtered_are_built_after_they_are_dealt_out(spark):
+    again = standins.damaged_headers(spark, SF_DIR).filter(F.get_json_object("payload", "$.info.gameDuration") == "n/a")
+    built, _, scanned = plan_of(again).partition("Exchange")
+    assert "json" in built.lower() and "json" not in scanned.lower()

@@ -198,13 +198,16 @@ def match_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As match_headers, with text for a duration where the order is pending and a cut-off end where it is open."""
     match_id = prefixed("M_", "o_orderkey")
-    doc = F.to_json(F.struct(F.struct(match_id.alias("matchId")).alias("metadata"), match_info().alias("info")))
+    whole = F.to_json(F.struct(F.struct(match_id.alias("matchId")).alias("metadata"), match_info().alias("info")))
+    # Out of a generator: a filter on documents would otherwise be pushed below the dealing out, and they be built where their file is read.
+    built = F.explode(F.array(F.struct(F.col("o_orderstatus").alias("status"), whole.alias("doc"))))
+    status, doc = F.col("payload.status"), F.col("payload.doc")
     payload = (
-        F.when(F.col("o_orderstatus") == "P", F.regexp_replace(doc, r'"gameDuration":\d+', '"gameDuration":"n/a"'))
-        .when(F.col("o_orderstatus") == "O", F.substr(doc, F.lit(1), F.length(doc) - 1))
+        F.when(status == "P", F.regexp_replace(doc, r'"gameDuration":\d+', '"gameDuration":"n/a"'))
+        .when(status == "O", F.substr(doc, F.lit(1), F.length(doc) - 1))
         .otherwise(doc)
     )
-    return _bronze(table(spark, sf_dir, "orders"), match_id, payload)
+    return _bronze(table(spark, sf_dir, "orders"), match_id, built).withColumn("payload", payload)
 
 
 def _frame(word: Column, minute: Column) -> Column:
