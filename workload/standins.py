@@ -156,6 +156,8 @@ def _bronze(df: DataFrame, match_id: Column, payload: Column, per_core: int = 1)
 
 
 _STORED: dict[tuple, str] = {}
+# How they are written. A reader holds up to 4,096 rows of a row group at once, so a group is kept to few documents, whatever they weigh.
+STORED_AS = {"compression": "zstd", "parquet.block.row.count.limit": 128, "parquet.block.size": 2 << 20, "parquet.page.size.row.check.min": 4}
 
 
 def stored_once(build):
@@ -165,7 +167,7 @@ def stored_once(build):
         key = (spark.sparkContext.applicationId, build.__name__, sf_dir, args, tuple(options.items()))
         if key not in _STORED:
             path = scratch_dir(spark, build.__name__)
-            build(spark, sf_dir, *args, **options).write.parquet(path)
+            build(spark, sf_dir, *args, **options).write.options(**STORED_AS).parquet(path)
             _STORED[key] = path
         return spark.read.parquet(_STORED[key])
 
